@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import casts, dates
@@ -193,3 +193,32 @@ def search_page(
         .withColumn("page", F.lit(page))
         .withColumn("has_next", total > F.lit(page_size * page))
     )
+
+
+def number_pages(
+    rows: DataFrame, stage: str, tie_break: Sequence[str], page_size: int = SEARCH_PAGE_SIZE
+) -> DataFrame:
+    """Every row with its page, as a full drain of the pages would return them.
+
+    A rank over the whole result would sort it in one task. Instead the rows are range-partitioned
+    once, numbered inside their partition and written to ``stage`` (a path in the shared folder, so
+    the partitioning is fixed even when executors are lost). A row's rank is then its local number
+    plus the sizes of the partitions before it, of which there are only as many as partitions.
+    ``tie_break`` should make the order unique; many rows of one amount then still spread.
+    """
+    spark = rows.sparkSession
+    order = [F.col("amount").desc(), *[q(c) for c in tie_break]]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # The generated id holds the partition in its upper bits and the row in the lower 33.
+    ordered.withColumn("_id", F.monotonically_increasing_id()).write.parquet(stage)
+    kept = spark.read.parquet(stage).withColumn("_part", F.shiftright("_id", 33))
+    sizes = kept.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    rank = F.col("_before") + F.col("_id").bitwiseAND(F.lit(2**33 - 1))
+    return (
+        kept.join(F.broadcast(offsets), "_part")
+        .withColumn("page", F.floor(rank / page_size) + 1)
+        .select(*[q(c) for c in rows.columns], "page")
+    )

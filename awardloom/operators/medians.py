@@ -11,80 +11,74 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import q
+from ..schema import quoted, text_literal
 
 # Interval widths in whole units. DECIMAL(20,2) has at most 18 integer digits, so the first level
-# has at most 200,000 intervals and every later one 100,000; the last level is the value itself.
+# has at most 200,000 intervals and the next two 100,000; the last level is hundredths.
 WIDTHS = (10**13, 10**8, 10**3)
 
 
-def _long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    cells = [F.struct(F.lit(c).alias("column_name"), _number(df, c).alias("v")) for c in columns]
-    return (
-        df.select(F.inline(F.array(*cells)))
-        .filter(F.col("v").isNotNull())
-        .withColumn("d", F.floor("v").cast("bigint"))
-    )
-
-
-def _number(df: DataFrame, column: str) -> Column:
-    col = q(column)
-    if dict(df.dtypes)[column] == "boolean":
-        col = col.cast("int")
-    return col.cast("decimal(20,2)")
+def flag_median(true_count: str, present: str) -> Column:
+    """Median of a boolean column as 0/1: its two middle ranks follow from two counts."""
+    false_count = f"({present} - {true_count})"
+    low = f"int(({present} + 1) div 2 > {false_count})"
+    high = f"int({present} div 2 + 1 > {false_count})"
+    return F.expr(f"CASE WHEN {present} > 0 THEN ({low} + {high}) / 2.0D END")
 
 
-def _interval(level: int) -> Column:
-    if level == len(WIDTHS):
-        return F.col("v")
-    return (F.col("d") - F.pmod(F.col("d"), F.lit(WIDTHS[level]))).cast("decimal(20,2)")
+def _interval(level: int) -> str:
+    """Start of the interval of whole units that the value falls into."""
+    return f"d - pmod(d, {WIDTHS[level]}L)"
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column_name, median)`` per numeric or boolean column; null where all values are null.
+    """``(column_name, median)`` per numeric column; null where all values are null.
 
     ``df`` should be a stored table: it is read once per level, only the named columns of it.
     """
-    cells = _long_form(df, columns)
-    counts = cells.withColumn("b", _interval(0)).groupBy("column_name", "b").agg(F.count("*").alias("n"))
-    total = F.sum("n").over(Window.partitionBy("column_name"))
-    # lo and hi are the ranks of the lower and the upper middle value, counted inside the interval.
-    counts = counts.withColumn("p", F.lit(0)).withColumn("total", total).select(
-        "column_name", "p", "b", "n",
-        F.expr("(total + 1) div 2").alias("lo"), F.expr("total div 2 + 1").alias("hi"),
+    cells = ", ".join(
+        f"named_struct('column_name', {text_literal(c)}, 'v', cast({quoted(c)} AS decimal(20,2)))" for c in columns
+    )
+    # d grows with v; that is all the intervals need.
+    values = df.selectExpr(f"inline(array({cells}))").filter("v IS NOT NULL").selectExpr(
+        "column_name", "v", "cast(v AS bigint) AS d"
+    )
+    counts = (
+        values.selectExpr("column_name", f"{_interval(0)} AS b")
+        .groupBy("column_name", "b")
+        .agg(F.count("*").alias("n"))
+        .selectExpr("column_name", "0L AS p", "b", "n", "sum(n) OVER (PARTITION BY column_name) AS total")
+        # lo and hi are the ranks of the lower and the upper middle value inside interval p.
+        .selectExpr("column_name", "p", "b", "n", "(total + 1) div 2 AS lo", "total div 2 + 1 AS hi")
     )
-    found = _narrow(counts)
+    found = _narrow(counts, "b")
     for level in range(1, len(WIDTHS) + 1):
+        last = level == len(WIDTHS)
         # One or two intervals per column are still open: a broadcast of a few rows.
-        step = cells.withColumn("p", _interval(level - 1)).withColumn("b", _interval(level))
+        inside = values.selectExpr("column_name", "v", "d", f"{_interval(level - 1)} AS p").join(
+            F.broadcast(found), ["column_name", "p"]
+        )
+        finer = "cast((v - p) * 100 AS bigint)" if last else _interval(level)
         counts = (
-            step.join(F.broadcast(found), ["column_name", "p"])
-            .groupBy("column_name", "p", "b", "lo", "hi")
+            inside.selectExpr("column_name", "p", "lo", "hi", f"{finer} AS b")
+            .groupBy("column_name", "p", "lo", "hi", "b")
             .agg(F.count("*").alias("n"))
         )
-        found = _narrow(counts)
+        found = _narrow(counts, "cast(p + b / 100bd AS decimal(20,2))" if last else "b")
     names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
     medians = found.groupBy("column_name").agg(F.avg("p").cast("double").alias("median"))
     return names.join(F.broadcast(medians), "column_name", "left")
 
 
-def _narrow(counts: DataFrame) -> DataFrame:
+def _narrow(counts: DataFrame, start: str) -> DataFrame:
     """Keep the intervals that hold a middle rank, with the rank counted from their start."""
-    upto = F.sum("n").over(
-        Window.partitionBy("column_name", "p").orderBy("b").rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
+    upto = counts.selectExpr(
+        "*", "sum(n) OVER (PARTITION BY column_name, p ORDER BY b ROWS UNBOUNDED PRECEDING) AS upto"
     )
-    before = F.col("upto") - F.col("n")
-
-    def inside(rank: str) -> Column:
-        return F.when((before < F.col(rank)) & (F.col(rank) <= F.col("upto")), F.col(rank) - before)
-
-    return (
-        counts.withColumn("upto", upto)
-        .select("column_name", F.col("b").alias("p"), inside("lo").alias("lo"), inside("hi").alias("hi"))
-        .filter(F.col("lo").isNotNull() | F.col("hi").isNotNull())
+    rank = "CASE WHEN upto - n < {0} AND {0} <= upto THEN {0} - upto + n END AS {0}"
+    return upto.selectExpr("column_name", f"{start} AS p", rank.format("lo"), rank.format("hi")).filter(
+        "lo IS NOT NULL OR hi IS NOT NULL"
     )

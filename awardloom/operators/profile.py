@@ -8,26 +8,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import q
-from .medians import exact_medians
+from ..schema import quoted, text_literal
+from .medians import exact_medians, flag_median
 
 
 def _per_column(df: DataFrame, columns: Sequence[str], **measures) -> DataFrame:
     """One global aggregate over all columns, turned into one row per column.
 
-    ``measures`` maps an output name to a function from column name to aggregate Column.
+    ``measures`` maps an output name to a function from column name to aggregate SQL text; text
+    keeps the hundreds of small expressions cheap to build.
     """
-    aggs, cells = [F.count("*").alias("rows")], []
+    aggs, cells = ["count(*) AS rows"], []
     for i, c in enumerate(columns):
-        aggs += [make(c).alias(f"{m}_{i}") for m, make in measures.items()]
-        cells.append(
-            F.struct(F.lit(c).alias("column_name"), *[F.col(f"{m}_{i}").alias(m) for m in measures])
-        )
-    return df.agg(*aggs).select("rows", F.inline(F.array(*cells)))
+        aggs += [f"{make(c)} AS {m}_{i}" for m, make in measures.items()]
+        fields = "".join(f", '{m}', {m}_{i}" for m in measures)
+        cells.append(f"named_struct('column_name', {text_literal(c)}{fields})")
+    return df.selectExpr(*aggs).selectExpr("rows", f"inline(array({', '.join(cells)}))")
 
 
-def _nulls(c: str) -> Column:
-    return F.count_if(q(c).isNull())
+def _nulls(c: str) -> str:
+    return f"count_if({quoted(c)} IS NULL)"
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -37,15 +37,13 @@ def _percent(part: Column, whole: Column) -> Column:
 def summary_stats(df: DataFrame) -> DataFrame:
     """Rows, columns, and per column its type and null count."""
     types = dict(df.dtypes)
-    cols = df.columns
-    counts = _per_column(df, cols, null_count=_nulls)
-    type_of = F.create_map(*[F.lit(x) for c in cols for x in (c, types[c])])
+    counts = _per_column(df, df.columns, data_type=lambda c: f"first('{types[c]}')", null_count=_nulls)
     return counts.select(
         "column_name",
-        type_of[F.col("column_name")].alias("data_type"),
+        "data_type",
         "null_count",
         F.col("rows").alias("total_rows"),
-        F.lit(len(cols)).alias("total_columns"),
+        F.lit(len(types)).alias("total_columns"),
     )
 
 
@@ -63,12 +61,14 @@ def profile_distinct(df: DataFrame, approx: bool = False) -> DataFrame:
     before the shuffle; many distinct counts in one aggregate would copy each row once per column.
     """
     if approx:
-        counts = _per_column(df, df.columns, unique_count=lambda c: F.approx_count_distinct(q(c)))
+        counts = _per_column(df, df.columns, unique_count=lambda c: f"approx_count_distinct({quoted(c)})")
         total = F.col("rows")
     else:
-        cells = [F.struct(F.lit(c).alias("column_name"), q(c).cast("string").alias("value")) for c in df.columns]
+        cells = ", ".join(
+            f"named_struct('column_name', {text_literal(c)}, 'value', cast({quoted(c)} AS string))" for c in df.columns
+        )
         per_value = (
-            df.select(F.inline(F.array(*cells)))
+            df.selectExpr(f"inline(array({cells}))")
             .groupBy("column_name", "value")
             .agg(F.count("*").alias("n"))
         )
@@ -86,73 +86,93 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.BooleanType))]
 
 
+def flag_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.BooleanType)]
+
+
 def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def profile_numeric(df: DataFrame) -> DataFrame:
-    cols = numeric_columns(df)
-    types = {f.name: f.dataType for f in df.schema.fields}
+def _measures(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Null count, range, sum and text lengths of each column, all in one scan.
+
+    Measures that a column's type does not have are null. Text lengths skip nulls.
+    """
+    types = dict(df.dtypes)
+    numbers, flags, texts = set(numeric_columns(df)), set(flag_columns(df)), set(text_columns(df))
 
-    def num(c: str) -> Column:
-        return (q(c).cast("int") if isinstance(types[c], T.BooleanType) else q(c)).cast("decimal(20,2)")
+    def number(c: str) -> str:
+        if c not in numbers:
+            return "cast(null AS decimal(20,2))"
+        return f"cast({f'int({quoted(c)})' if c in flags else quoted(c)} AS decimal(20,2))"
 
-    basics = _per_column(
+    def length(c: str) -> str:
+        return f"length({quoted(c)})" if c in texts else "cast(null AS int)"
+
+    return _per_column(
         df,
-        cols,
-        min=lambda c: F.min(num(c)),
-        max=lambda c: F.max(num(c)),
-        total=lambda c: F.sum(num(c)),
-        present=lambda c: F.count(q(c)),
-    ).select(
-        "column_name",
+        columns,
+        ord=lambda c: f"first({df.columns.index(c)})",
+        data_type=lambda c: f"first('{types[c]}')",
+        null_count=_nulls,
+        present=lambda c: f"count({quoted(c)})",
+        min=lambda c: f"min({number(c)})",
+        max=lambda c: f"max({number(c)})",
+        total=lambda c: f"sum({number(c)})",
+        total_length=lambda c: f"sum({length(c)})",
+        longest=lambda c: f"max({length(c)})",
+    )
+
+
+def _numeric_part(df: DataFrame, measures: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """``measures`` joined with exact medians, and the numeric output columns."""
+    flags = flag_columns(df)
+    numbers = [c for c in numeric_columns(df) if c not in flags]
+    # Flags need no search: their median follows from the counts.
+    median = F.when(F.col("column_name").isin(*flags), flag_median("total", "present"))
+    if numbers:
+        # One row per numeric column.
+        measures = measures.join(F.broadcast(exact_medians(df, numbers)), "column_name", "left")
+        median = F.coalesce(median, F.col("median"))
+    return measures, [
         F.col("min").cast("double").alias("min"),
         F.col("max").cast("double").alias("max"),
         F.round(F.try_divide(F.col("total").cast("double"), F.col("present")), 4).alias("mean"),
-    )
-    return basics.join(F.broadcast(exact_medians(df, cols)), "column_name")
+        median.alias("median"),
+    ]
+
+
+def _text_part() -> list[Column]:
+    mean = F.try_divide(F.col("total_length").cast("double"), F.col("present"))
+    return [F.round(mean, 4).alias("avg_length"), F.col("longest").cast("bigint").alias("max_length")]
+
+
+def profile_numeric(df: DataFrame) -> DataFrame:
+    """Minimum, maximum, mean and exact median per numeric or boolean column."""
+    rows, columns = _numeric_part(df, _measures(df, numeric_columns(df)))
+    return rows.select("column_name", *columns)
 
 
 def profile_text(df: DataFrame) -> DataFrame:
     """Average and longest length of the present values; nulls do not count."""
-    return _per_column(
-        df,
-        text_columns(df),
-        total=lambda c: F.sum(F.length(q(c))),
-        present=lambda c: F.count(q(c)),
-        max_length=lambda c: F.max(F.length(q(c))),
-    ).select(
-        "column_name",
-        F.round(F.try_divide(F.col("total").cast("double"), F.col("present")), 4).alias("avg_length"),
-        F.col("max_length").cast("bigint").alias("max_length"),
-    )
+    return _measures(df, text_columns(df)).select("column_name", *_text_part())
 
 
-def column_profiles(df: DataFrame) -> DataFrame:
-    """Everything known about each column, one row per column (the profile part of the report)."""
-    types = dict(df.dtypes)
-    kinds = df.sparkSession.createDataFrame(
-        [(i, c, types[c]) for i, c in enumerate(df.columns)],
-        "ord int, column_name string, data_type string",
-    )
-    out = kinds
-    # Every part has one row per column, so all sides are as small as the column list.
-    for part in (profile_nulls(df), profile_distinct(df), profile_numeric(df), profile_text(df)):
-        out = out.join(F.broadcast(part), "column_name", "left")
-    return out
-
-
-def missing_data_ranked(df: DataFrame) -> DataFrame:
-    return profile_nulls(df).filter("null_count > 0").orderBy(F.col("null_count").desc(), "column_name")
-
-
-def completeness(df: DataFrame) -> DataFrame:
-    """Share of filled cells in the whole table."""
-    cols = df.columns
-    cells = F.lit(len(cols)) * F.count("*")
-    filled = sum((F.count(q(c)) for c in cols[1:]), F.count(q(cols[0])))
-    return df.agg(cells.alias("total_cells"), filled.alias("filled")).select(
-        "total_cells",
-        (F.col("total_cells") - F.col("filled")).alias("missing_cells"),
-        _percent(F.col("filled"), F.col("total_cells")).alias("completeness"),
+def column_profiles(df: DataFrame, approx: bool = False) -> DataFrame:
+    """Everything known about each column, one row per column (the profile part of the report).
+
+    One scan for all plain measures, one for the distinct counts, and the median search.
+    """
+    rows, numeric = _numeric_part(df, _measures(df, df.columns))
+    return rows.join(F.broadcast(profile_distinct(df, approx)), "column_name").select(
+        "ord",
+        "column_name",
+        "data_type",
+        "null_count",
+        _percent(F.col("null_count"), F.col("rows")).alias("null_percentage"),
+        "unique_count",
+        "unique_percentage",
+        *numeric,
+        *_text_part(),
     )

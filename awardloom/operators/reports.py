@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import flag_label
-from ..schema import FLAG_PREFIX, q
-from . import profile
+from ..schema import FLAG_PREFIX, q, quoted, text_literal
 from .dedup import union_all
 from .medians import exact_medians
 
@@ -17,41 +17,132 @@ AGENCY, VENDOR, TYPE = "Funding Agency Name", "Legal Business Name", "Instrument
 DOLLARS, YEAR, SIGNED = "Dollars Obligated", "Fiscal Year", "Date Signed"
 
 
-def _sum_dollars():
-    """Exact decimal sum as double; a group without amounts sums to zero."""
-    return F.coalesce(F.sum(q(DOLLARS)), F.lit(0)).cast("double")
+def _exact_sum(amount: Column) -> Column:
+    """Exact decimal sum as double; no amounts at all sum to zero."""
+    return F.coalesce(F.sum(amount), F.lit(0)).cast("double")
+
+
+def _percent(part: Column, whole: Column) -> Column:
+    return F.round(F.try_divide(part * 100.0, whole), 4)
+
+
+def _flags(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if FLAG_PREFIX.strip(" -") in c]
+
+
+def facts(df: DataFrame) -> DataFrame:
+    """One row with every ungrouped measure of the reports, from a single scan.
+
+    A report that selects a few of them makes Spark drop the other aggregates and their columns.
+    SQL text keeps the many small expressions cheap to build.
+    """
+    flags, names = _flags(df), df.columns
+    money = quoted(DOLLARS) if DOLLARS in names else None
+    total = "cast(coalesce(sum({}), 0) AS double)"
+    aggs = ["count(*) AS total_records"]
+    kept = ["total_records"]
+    if SIGNED in names:
+        aggs += [f"min({quoted(SIGNED)}) AS first_date", f"max({quoted(SIGNED)}) AS last_date"]
+        kept += ["first_date", "last_date"]
+    if money:
+        aggs += [
+            f"{total.format(money)} AS total",
+            f"count({money}) AS present",
+            f"cast(min({money}) AS double) AS min",
+            f"cast(max({money}) AS double) AS max",
+        ]
+        kept += ["total", "present", "min", "max"]
+    aggs += [f"count({quoted(c)}) AS filled_{i}" for i, c in enumerate(names)]
+    flag_cells = []
+    for i, c in enumerate(flags):
+        aggs.append(f"count_if({quoted(c)}) AS true_{i}")
+        dollars = "cast(null AS double)"
+        if money:
+            aggs.append(f"{total.format(f'CASE WHEN {quoted(c)} THEN {money} END')} AS dollars_{i}")
+            dollars = f"dollars_{i}"
+        flag_cells.append(
+            f"named_struct('business_type', {text_literal(flag_label(c))}, 'true_count', true_{i}, "
+            f"'present', filled_{names.index(c)}, 'dollars', {dollars})"
+        )
+    null_cells = ", ".join(
+        f"named_struct('column_name', {text_literal(c)}, 'null_count', total_records - filled_{i})"
+        for i, c in enumerate(names)
+    )
+    filled = " + ".join(f"filled_{i}" for i in range(len(names)))
+    cells = f"(total_records * {len(names)})"
+    return df.selectExpr(*aggs).selectExpr(
+        *kept,
+        f"{len(names)} AS total_columns",
+        f"{cells} AS total_cells",
+        f"{cells} - ({filled}) AS missing_cells",
+        f"round(try_divide(({filled}) * double(100), {cells}), 4) AS completeness",
+        f"array({null_cells}) AS nulls",
+        *([f"array({', '.join(flag_cells)}) AS flags"] if flags else []),
+    )
 
 
 def basic_stats(df: DataFrame) -> DataFrame:
-    return df.agg(
-        F.count("*").alias("total_records"),
-        F.min(q(SIGNED)).alias("first_date"),
-        F.max(q(SIGNED)).alias("last_date"),
-    ).withColumn("total_columns", F.lit(len(df.columns)))
+    return facts(df).select("total_records", "first_date", "last_date", "total_columns")
 
 
-def fiscal_year_distribution(df: DataFrame) -> DataFrame:
-    counts = df.filter(q(YEAR).isNotNull()).groupBy(q(YEAR).alias("fiscal_year"))
-    return counts.agg(F.count("*").alias("records")).orderBy("fiscal_year")
+def _mean() -> Column:
+    return F.round(F.try_divide(F.col("total"), F.col("present")), 4)
+
+
+def _median(df: DataFrame) -> Column:
+    return exact_medians(df, [DOLLARS]).select("median").scalar()
 
 
 def dollar_stats(df: DataFrame) -> DataFrame:
-    stats = df.agg(
-        _sum_dollars().alias("total"),
-        F.count(q(DOLLARS)).alias("present"),
-        F.min(q(DOLLARS)).cast("double").alias("min"),
-        F.max(q(DOLLARS)).cast("double").alias("max"),
+    return facts(df).select("total", _mean().alias("mean"), _median(df).alias("median"), "min", "max")
+
+
+def missing_data_ranked(df: DataFrame) -> DataFrame:
+    return (
+        facts(df)
+        .select("total_records", F.inline("nulls"))
+        .filter("null_count > 0")
+        .select(
+            "column_name",
+            "null_count",
+            _percent(F.col("null_count"), F.col("total_records")).alias("null_percentage"),
+        )
+        .orderBy(F.col("null_count").desc(), "column_name")
+    )
+
+
+def completeness(df: DataFrame) -> DataFrame:
+    """Share of filled cells in the whole table."""
+    return facts(df).select("total_cells", "missing_cells", "completeness")
+
+
+def small_business_participation(df: DataFrame) -> DataFrame:
+    """True count and share of the non-null values per vendor-type flag."""
+    return (
+        facts(df)
+        .select(F.inline("flags"))
+        .filter("present > 0")
+        .select(
+            "business_type", "true_count", _percent(F.col("true_count"), F.col("present")).alias("percentage")
+        )
     )
-    median = exact_medians(df, [DOLLARS]).select("median").scalar()
-    return stats.select(
-        "total",
-        F.round(F.try_divide(F.col("total"), F.col("present")), 4).alias("mean"),
-        median.alias("median"),
-        "min",
-        "max",
+
+
+def small_business_dollars(df: DataFrame, first: int = 3) -> DataFrame:
+    """Dollars under a true flag and their share of all dollars, for the first few flags."""
+    share = F.when(F.col("total") > 0, _percent(F.col("dollars"), F.col("total"))).otherwise(0.0)
+    return (
+        facts(df)
+        .select("total", F.inline(F.slice("flags", 1, first)))
+        .select("business_type", "dollars", share.alias("percentage"))
     )
 
 
+def fiscal_year_distribution(df: DataFrame) -> DataFrame:
+    counts = df.filter(q(YEAR).isNotNull()).groupBy(q(YEAR).alias("fiscal_year"))
+    return counts.agg(F.count("*").alias("records")).orderBy("fiscal_year")
+
+
 def top_by_count(df: DataFrame, column: str, n: int) -> DataFrame:
     """Most frequent values; ties go by name."""
     counts = df.filter(q(column).isNotNull()).groupBy(q(column).alias("name"))
@@ -60,7 +151,7 @@ def top_by_count(df: DataFrame, column: str, n: int) -> DataFrame:
 
 def top_by_dollars(df: DataFrame, column: str, n: int) -> DataFrame:
     sums = df.filter(q(column).isNotNull()).groupBy(q(column).alias("name"))
-    return sums.agg(_sum_dollars().alias("dollars")).orderBy(F.col("dollars").desc(), "name").limit(n)
+    return sums.agg(_exact_sum(q(DOLLARS)).alias("dollars")).orderBy(F.col("dollars").desc(), "name").limit(n)
 
 
 def contract_type_distribution(df: DataFrame) -> DataFrame:
@@ -68,7 +159,7 @@ def contract_type_distribution(df: DataFrame) -> DataFrame:
     counts = df.groupBy(q(TYPE).alias("instrument_type")).agg(F.count("*").alias("records"))
     total = counts.agg(F.sum("records").alias("n")).scalar()
     return (
-        counts.withColumn("percentage", F.round(F.col("records") * 100.0 / total, 4))
+        counts.withColumn("percentage", _percent(F.col("records"), total))
         .filter(F.col("instrument_type").isNotNull())
         .orderBy(F.col("records").desc(), "instrument_type")
     )
@@ -77,64 +168,28 @@ def contract_type_distribution(df: DataFrame) -> DataFrame:
 def contract_type_value(df: DataFrame) -> DataFrame:
     sums = df.filter(q(TYPE).isNotNull()).groupBy(q(TYPE).alias("instrument_type"))
     return (
-        sums.agg(F.count(q(DOLLARS)).alias("records"), _sum_dollars().alias("total"))
+        sums.agg(F.count(q(DOLLARS)).alias("records"), _exact_sum(q(DOLLARS)).alias("total"))
         .withColumn("mean", F.round(F.try_divide(F.col("total"), F.col("records")), 4))
         .orderBy(F.col("total").desc(), "instrument_type")
     )
 
 
-def _flags(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if FLAG_PREFIX.strip(" -") in c]
-
-
-def small_business_participation(df: DataFrame) -> DataFrame:
-    """True count and share of the non-null values per vendor-type flag."""
-    flags = _flags(df)
-    aggs, cells = [], []
-    for i, c in enumerate(flags):
-        aggs += [F.count_if(q(c)).alias(f"t{i}"), F.count(q(c)).alias(f"n{i}")]
-        cells.append(
-            F.struct(
-                F.lit(flag_label(c)).alias("business_type"),
-                F.col(f"t{i}").alias("true_count"),
-                F.col(f"n{i}").alias("present"),
-            )
-        )
-    return (
-        df.agg(*aggs)
-        .select(F.inline(F.array(*cells)))
-        .filter("present > 0")
-        .select(
-            "business_type",
-            "true_count",
-            F.round(F.col("true_count") * 100.0 / F.col("present"), 4).alias("percentage"),
-        )
-    )
-
+# -- report lines ---------------------------------------------------------------
+#
+# Lines are (section, ord, label, value); ord is the sort key inside a section, so a section of
+# any length is ordered without numbering its rows in one task.
 
-def small_business_dollars(df: DataFrame, first: int = 3) -> DataFrame:
-    """Dollars under a true flag and their share of all dollars, for the first few flags."""
-    flags = _flags(df)[:first]
-    aggs = [F.coalesce(F.sum(q(DOLLARS)), F.lit(0)).cast("double").alias("total")]
-    cells = []
-    for i, c in enumerate(flags):
-        part = F.sum(F.when(q(c), q(DOLLARS)))
-        aggs.append(F.coalesce(part, F.lit(0)).cast("double").alias(f"d{i}"))
-        cells.append(F.struct(F.lit(flag_label(c)).alias("business_type"), F.col(f"d{i}").alias("dollars")))
-    share = F.when(F.col("total") > 0, F.round(F.col("dollars") * 100.0 / F.col("total"), 4)).otherwise(0.0)
-    return (
-        df.agg(*aggs)
-        .select("total", F.inline(F.array(*cells)))
-        .select("business_type", "dollars", share.alias("percentage"))
-    )
 
+@dataclass
+class Section:
+    """Lines of one section: arrays built from the facts row, and frames of lines."""
 
-# Report lines are (section, ord, label, value); ord is the sort key inside a section, so a section
-# of any length is ordered without numbering its rows in one task.
+    from_facts: list[Column] = field(default_factory=list)
+    frames: list[DataFrame] = field(default_factory=list)
 
 
-def _lines(section: str, rows: DataFrame, label: Column, value: Column, ord_: Column) -> DataFrame:
-    return rows.select(
+def _line(section: str, ord_: Column, label: Column, value: Column) -> Column:
+    return F.struct(
         F.lit(section).alias("section"),
         ord_.cast("double").alias("ord"),
         label.cast("string").alias("label"),
@@ -142,95 +197,97 @@ def _lines(section: str, rows: DataFrame, label: Column, value: Column, ord_: Co
     )
 
 
-def _cells(section: str, one_row: DataFrame, lines: list[tuple[Column, Column]]) -> DataFrame:
-    """Several lines from the columns of a one-row frame."""
-    cells = [
-        F.struct(
-            F.lit(float(i + 1)).alias("ord"),
-            label.cast("string").alias("label"),
-            value.cast("double").alias("value"),
-        )
-        for i, (label, value) in enumerate(lines)
-    ]
-    return one_row.select(F.lit(section).alias("section"), F.inline(F.array(*cells)))
+def _listed(section: str, lines: list[tuple[Column, Column]]) -> Column:
+    return F.array(*[_line(section, F.lit(i), label, value) for i, (label, value) in enumerate(lines, 1)])
+
+
+def _named(section: str, names: list[str]) -> Column:
+    return _listed(section, [(F.lit(n), F.col(n)) for n in names])
 
 
-def _as_lines(section: str, one_row: DataFrame, columns: list[str]) -> DataFrame:
-    return _cells(section, one_row, [(F.lit(c), F.col(c)) for c in columns])
+def _ranked_cells(section: str, array: Column, label: str, value: str) -> Column:
+    return F.transform(array, lambda x: _line(section, -x[value], x[label], x[value]))
 
 
 def _ranked(section: str, rows: DataFrame, label: str, value: str) -> DataFrame:
-    return _lines(section, rows, F.col(label), F.col(value), -F.col(value))
+    line = _line(section, -F.col(value), F.col(label), F.col(value))
+    return rows.select(line.alias("l")).select("l.*")
+
+
+def _years(df: DataFrame) -> DataFrame:
+    year = F.col("fiscal_year")
+    line = _line("fiscal_years", year, year, F.col("records"))
+    return fiscal_year_distribution(df).select(line.alias("l")).select("l.*")
+
+
+def section_basic(df: DataFrame) -> Section:
+    out = Section([_named("basic", ["total_records", "total_columns"])])
+    if SIGNED in df.columns:
+        out.from_facts.append(
+            _listed(
+                "date_range",
+                [
+                    (F.concat(F.lit("from "), F.col("first_date").cast("string")), F.lit(None)),
+                    (F.concat(F.lit("to "), F.col("last_date").cast("string")), F.lit(None)),
+                ],
+            )
+        )
+    if YEAR in df.columns:
+        out.frames.append(_years(df))
+    if DOLLARS in df.columns:
+        values = {
+            "total": F.col("total"), "mean": _mean(), "median": _median(df), "min": F.col("min"), "max": F.col("max"),
+        }
+        out.from_facts.append(_listed("dollars", [(F.lit(k), v) for k, v in values.items()]))
+    return out
 
 
-def section_basic(df: DataFrame) -> DataFrame:
-    stats = basic_stats(df)
-    dates = _cells(
-        "date_range",
-        stats,
-        [
-            (F.concat(F.lit("from "), F.col("first_date").cast("string")), F.lit(None)),
-            (F.concat(F.lit("to "), F.col("last_date").cast("string")), F.lit(None)),
-        ],
-    )
-    years = fiscal_year_distribution(df)
-    return union_all(
-        [
-            _as_lines("basic", stats, ["total_records", "total_columns"]),
-            dates,
-            _lines("fiscal_years", years, F.col("fiscal_year"), F.col("records"), F.col("fiscal_year")),
-            _as_lines("dollars", dollar_stats(df), ["total", "mean", "median", "min", "max"]),
-        ]
-    )
+def _top_section(df: DataFrame, column: str, name: str) -> Section:
+    out = Section(frames=[_ranked(f"{name}_by_count", top_by_count(df, column, 10), "name", "records")])
+    if DOLLARS in df.columns:
+        out.frames.append(_ranked(f"{name}_by_dollars", top_by_dollars(df, column, 10), "name", "dollars"))
+    return out
 
 
-def section_agency(df: DataFrame) -> DataFrame:
-    return union_all(
-        [
-            _ranked("agencies_by_count", top_by_count(df, AGENCY, 10), "name", "records"),
-            _ranked("agencies_by_dollars", top_by_dollars(df, AGENCY, 10), "name", "dollars"),
-        ]
-    )
+def section_agency(df: DataFrame) -> Section:
+    return _top_section(df, AGENCY, "agencies")
 
 
-def section_contracts(df: DataFrame) -> DataFrame:
-    return union_all(
-        [
-            _ranked("types_by_count", contract_type_distribution(df), "instrument_type", "records"),
-            _ranked("types_by_dollars", contract_type_value(df), "instrument_type", "total"),
-        ]
-    )
+def section_vendors(df: DataFrame) -> Section:
+    return _top_section(df, VENDOR, "vendors")
 
 
-def section_small_business(df: DataFrame) -> DataFrame:
-    return union_all(
-        [
-            _ranked("flag_participation", small_business_participation(df), "business_type", "true_count"),
-            _ranked("flag_dollars", small_business_dollars(df), "business_type", "dollars"),
-        ]
-    )
+def section_contracts(df: DataFrame) -> Section:
+    out = Section(frames=[_ranked("types_by_count", contract_type_distribution(df), "instrument_type", "records")])
+    if DOLLARS in df.columns:
+        out.frames.append(_ranked("types_by_dollars", contract_type_value(df), "instrument_type", "total"))
+    return out
 
 
-def section_vendors(df: DataFrame) -> DataFrame:
-    return union_all(
-        [
-            _ranked("vendors_by_count", top_by_count(df, VENDOR, 10), "name", "records"),
-            _ranked("vendors_by_dollars", top_by_dollars(df, VENDOR, 10), "name", "dollars"),
-        ]
-    )
+def section_small_business(df: DataFrame) -> Section:
+    if not _flags(df):
+        return Section()
+    with_values = F.filter("flags", lambda x: x["present"] > 0)
+    out = Section([_ranked_cells("flag_participation", with_values, "business_type", "true_count")])
+    if DOLLARS in df.columns:
+        out.from_facts.append(
+            _ranked_cells("flag_dollars", F.slice("flags", 1, 3), "business_type", "dollars")
+        )
+    return out
 
 
-def section_quality(df: DataFrame) -> DataFrame:
-    return union_all(
+def section_quality(df: DataFrame) -> Section:
+    missing = F.filter("nulls", lambda x: x["null_count"] > 0)
+    return Section(
         [
-            _ranked("missing_data", profile.missing_data_ranked(df), "column_name", "null_count"),
-            _as_lines("completeness", profile.completeness(df), ["completeness"]),
+            _ranked_cells("missing_data", missing, "column_name", "null_count"),
+            _named("completeness", ["completeness"]),
         ]
     )
 
 
-# Needed columns per section: a section is left out when its column is absent.
-SECTIONS: dict[str, tuple[str | None, Callable[[DataFrame], DataFrame]]] = {
+# Needed column per section: a section is left out when its column is absent.
+SECTIONS: dict[str, tuple[str | None, Callable[[DataFrame], Section]]] = {
     "basic": (None, section_basic),
     "agency": (AGENCY, section_agency),
     "contracts": (TYPE, section_contracts),
@@ -243,13 +300,18 @@ SECTIONS: dict[str, tuple[str | None, Callable[[DataFrame], DataFrame]]] = {
 def report(df: DataFrame, analysis: str = "full") -> DataFrame:
     """Long-form report of one section, or of all of them.
 
-    ``df`` should be the stored processed table: each section reads only the columns it needs.
+    ``df`` should be the stored processed table: all ungrouped measures of all sections share one
+    scan, and each grouping reads only its own columns.
     """
     if analysis != "full" and analysis not in SECTIONS:
         raise ValueError(f"unknown analysis: {analysis}")
     chosen = list(SECTIONS) if analysis == "full" else [analysis]
     parts = [build(df) for need, build in (SECTIONS[s] for s in chosen) if need is None or need in df.columns]
-    return union_all(parts)
+    arrays = [a for p in parts for a in p.from_facts]
+    frames = [f for p in parts for f in p.frames]
+    if arrays:
+        frames.insert(0, facts(df).select(F.inline(F.concat(*arrays))))
+    return union_all(frames)
 
 
 def run_summary(df: DataFrame, issues: DataFrame) -> DataFrame:
@@ -258,25 +320,19 @@ def run_summary(df: DataFrame, issues: DataFrame) -> DataFrame:
     # Numbering happens on the five kept rows only.
     last = issues.orderBy(*newest).limit(5)
     last = last.withColumn("pos", F.row_number().over(Window.orderBy(*newest)))
-    return union_all(
-        [
-            _as_lines("records", df.agg(F.count("*").alias("records")), ["records"]),
-            _as_lines("columns", df.agg(F.lit(len(df.columns)).alias("columns")), ["columns"]),
-            _as_lines("issues", issues.agg(F.count("*").alias("issues")), ["issues"]),
-            _lines(
-                "last_issues",
-                last,
-                F.concat_ws(": ", "severity", "message"),
-                F.col("issue_count"),
-                F.col("pos"),
-            ),
-            _ranked("top_agencies", top_by_count(df, AGENCY, 5), "name", "records"),
-            _lines(
-                "fiscal_years",
-                fiscal_year_distribution(df),
-                F.col("fiscal_year"),
-                F.col("records"),
-                F.col("fiscal_year"),
-            ),
-        ]
+    shown = _line("last_issues", F.col("pos"), F.concat_ws(": ", "severity", "message"), F.col("issue_count"))
+    size = F.array(
+        _line("records", F.lit(1), F.lit("records"), F.col("total_records")),
+        _line("columns", F.lit(1), F.lit("columns"), F.col("total_columns")),
     )
+    count = _line("issues", F.lit(1), F.lit("issues"), F.col("n"))
+    frames = [
+        facts(df).select(F.inline(size)),
+        issues.agg(F.count("*").alias("n")).select(count.alias("l")).select("l.*"),
+        last.select(shown.alias("l")).select("l.*"),
+    ]
+    if AGENCY in df.columns:
+        frames.append(_ranked("top_agencies", top_by_count(df, AGENCY, 5), "name", "records"))
+    if YEAR in df.columns:
+        frames.append(_years(df))
+    return union_all(frames)

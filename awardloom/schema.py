@@ -196,6 +196,16 @@ QUALITY_REPORT_SCHEMA = T.StructType(
 )
 
 
+def quoted(name: str) -> str:
+    """Column name for SQL text; award headers hold dots and parentheses."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_literal(value: str) -> str:
+    """String literal for SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def q(name: str) -> Column:
-    """Column by its literal name; award headers hold dots and parentheses."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by its literal name."""
+    return F.col(quoted(name))

@@ -26,3 +26,8 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """New, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

@@ -46,16 +46,19 @@ def read_search_pages(
     spark: SparkSession, path: str, fields: tuple[str, ...] = SEARCH_FIELDS, multi_line: bool = False
 ) -> DataFrame:
     """Landed result pages ``{results: [...], page_metadata: {hasNext}}``."""
+    return _read(spark, path, page_schema(fields), multi_line)
+
+
+def page_schema(fields: tuple[str, ...] = SEARCH_FIELDS) -> T.StructType:
     row = T.StructType([T.StructField(f, T.StringType()) for f in fields])
-    schema = T.StructType(
+    return T.StructType(
         [
             T.StructField("results", T.ArrayType(row)),
             T.StructField("page_metadata", T.StructType([T.StructField("hasNext", T.BooleanType())])),
         ]
     )
-    return _read(spark, path, schema, multi_line)
 
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
-    """One row per search result; empty pages give none."""
-    return good(pages).select(F.explode("results").alias("r")).select("r.*")
+    """One row per search result; empty and broken pages give none."""
+    return pages.select(F.explode("results").alias("r")).select("r.*")

@@ -25,6 +25,9 @@ log = logging.getLogger(__name__)
 SEPARATORS = {"csv": ",", "tsv": "\t"}
 FORMATS = ("csv", "parquet")
 
+# Opening a file is quick, so one task probes many; a handful of files needs no second worker.
+FILES_PER_TASK = 64
+
 FILE_SCHEMA = "path string, format string, size bigint"
 PROBE_SCHEMA = FILE_SCHEMA + ", readable boolean, error string, columns array<string>, types array<string>"
 
@@ -57,7 +60,8 @@ def list_files(spark: SparkSession, root: str, formats: Sequence[str] = FORMATS)
         suffix = path.rsplit(".", 1)[-1].lower()
         if suffix in formats and not any(p.startswith(("_", ".")) for p in parts):
             found.append((path, suffix, status.getLen()))
-    return spark.createDataFrame(sorted(found, key=lambda r: (formats.index(r[1]), r[0])), FILE_SCHEMA)
+    listed = spark.createDataFrame(sorted(found, key=lambda r: (formats.index(r[1]), r[0])), FILE_SCHEMA)
+    return listed.coalesce(1 + len(found) // FILES_PER_TASK)
 
 
 def _open(path: str):

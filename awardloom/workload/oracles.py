@@ -123,7 +123,8 @@ register(
     f'SELECT * EXCLUDE ("Dollars Obligated", "{BASE}"), {AS_DOUBLE} FROM awards',
     AWARDS,
 )
-register("search_pages_explode", "SELECT * EXCLUDE (row_order) FROM awards_search", SEARCH)
+for _name in ("search_pages_explode", "search_pages_stream"):
+    register(_name, "SELECT * EXCLUDE (row_order) FROM awards_search", SEARCH)
 
 GROUPS = """award_groups(award_group, award_type_code) AS (VALUES
   ('contracts','A'), ('contracts','B'), ('contracts','C'), ('contracts','D'), ('loans','07'), ('loans','08'),
@@ -271,6 +272,15 @@ FROM (SELECT * FROM found ORDER BY found.amount DESC, order_key, line_number, pa
     """found AS (SELECT * FROM awards_predicate WHERE award_type_code IN ('A', 'B', 'C', 'D')
   AND action_date BETWEEN DATE '1995-06-01' AND DATE '2000-12-31' AND awarding_toptier = 'ASIA')""",
 )
+register(
+    "search_drain",
+    """
+SELECT order_key, line_number, part_key, supplier_key, CAST(amount AS DOUBLE) AS amount,
+  (row_number() OVER (ORDER BY awards_predicate.amount DESC, order_key, line_number, part_key, supplier_key) - 1) // 500 + 1 AS page
+FROM awards_predicate WHERE award_type_code IN ('A', 'B', 'C', 'D')
+  AND action_date BETWEEN DATE '1995-01-01' AND DATE '2001-08-01'""",
+    PREDICATE,
+)
 for _name, _first in {
     "window_daily": "2001-08-01",
     "window_weekly": "2001-07-26",

@@ -16,6 +16,7 @@ from ..plans import incremental, transform
 from ..schema import AWARD_KEYS, AWARD_TYPE_GROUPS, BOOLEAN_COLUMNS, DATE_COLUMNS, TEXT_COLUMNS, q
 from ..session import fresh_dir
 from ..sources import documents, landing, sinks
+from ..streaming import pages as pages_stream
 from . import bindings
 from . import staging as S
 
@@ -88,7 +89,7 @@ def _two_orders(spark: SparkSession, sf: str) -> list[DataFrame]:
     return [raw.filter(low).select(*columns), raw.filter(~low).select(*reversed(columns))]
 
 
-def _land(spark: SparkSession, sf: str, fmt: str) -> str:
+def landed(spark: SparkSession, sf: str, fmt: str) -> str:
     def write(path: str) -> None:
         for name, part in zip(("low", "high"), _two_orders(spark, sf)):
             sinks.write_table(part, f"{path}/{name}", fmt)
@@ -97,7 +98,7 @@ def _land(spark: SparkSession, sf: str, fmt: str) -> str:
 
 
 def _scan_back(spark: SparkSession, sf: str, fmt: str) -> DataFrame:
-    found = landing.scan_landing(spark, _land(spark, sf, fmt), (fmt,))
+    found = landing.scan_landing(spark, landed(spark, sf, fmt), (fmt,))
     rows = dedup.union_all(found.groups)
     return rows.drop(*landing_keys())
 
@@ -124,13 +125,13 @@ def scan_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def landing_to_parquet(spark: SparkSession, sf: str) -> DataFrame:
     out = fresh_dir(spark, "converted")
-    sinks.landing_to_parquet(spark, _land(spark, sf, "tsv"), out)
+    sinks.landing_to_parquet(spark, landed(spark, sf, "tsv"), out)
     return spark.read.parquet(out).drop(*landing_keys())
 
 
 @query
 def landed_file_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    files = landing.inventory(landing.scan_landing(spark, _land(spark, sf, "csv"), ("csv",), multi_line=False))
+    files = landing.inventory(landing.scan_landing(spark, landed(spark, sf, "csv"), ("csv",), multi_line=False))
     return files.groupBy(
         F.element_at(F.split("path", "/"), -2).alias("folder"), "format", "column_count"
     ).agg(
@@ -168,6 +169,12 @@ def search_pages_explode(spark: SparkSession, sf: str) -> DataFrame:
     return documents.flatten_pages(S.search_pages(spark, sf))
 
 
+@query
+def search_pages_stream(spark: SparkSession, sf: str) -> DataFrame:
+    pages = S.staged_path(spark, sf, "search_pages", S.search_pages)
+    return pages_stream.ingest_pages(spark, pages, fresh_dir(spark, "ingested"), fresh_dir(spark, "progress"))
+
+
 @query
 def incremental_partitions(spark: SparkSession, sf: str) -> DataFrame:
     rows = incremental.shard_rows(
@@ -339,6 +346,15 @@ def search_page(spark: SparkSession, sf: str) -> DataFrame:
     return plain(filters.search_page(rows, 2, ["order_key", "line_number", "part_key", "supplier_key"]))
 
 
+@query
+def search_drain(spark: SparkSession, sf: str) -> DataFrame:
+    rows = filters.search_request(
+        S.awards_predicate(spark, sf), filters.codes_of(["contracts"]), FIRST_DAY, LAST_DAY
+    ).select("order_key", "line_number", "part_key", "supplier_key", "amount")
+    ties = ["order_key", "line_number", "part_key", "supplier_key"]
+    return plain(filters.number_pages(rows, fresh_dir(spark, "drain"), ties))
+
+
 def _window(spark: SparkSession, sf: str, mode: str, days: int = 30) -> DataFrame:
     orders = S.table(spark, sf, "orders")
     picked = filters.relative_window(orders, "o_orderdate", mode, AS_OF_DATE, days)
@@ -447,8 +463,8 @@ _on_awards("profile_nulls", profile.profile_nulls)
 _on_awards("profile_distinct", profile.profile_distinct)
 _on_awards("profile_numeric", profile.profile_numeric)
 _on_awards("profile_text", profile.profile_text)
-_on_awards("missing_data_ranked", profile.missing_data_ranked)
-_on_awards("completeness_score", profile.completeness)
+_on_awards("missing_data_ranked", reports.missing_data_ranked)
+_on_awards("completeness_score", reports.completeness)
 _on_awards("basic_stats", reports.basic_stats)
 _on_awards("fiscal_year_distribution", reports.fiscal_year_distribution)
 _on_awards("dollar_stats", reports.dollar_stats)

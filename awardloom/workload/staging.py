@@ -17,12 +17,15 @@ from ..config import EngineConfig
 from ..operators import dedup, profile
 from ..plans import transform
 from ..schema import SEARCH_FIELDS, SEARCH_PAGE_SIZE, q
-from ..session import fresh_dir
+from ..session import exists, fresh_dir
 from ..sources import documents, landing
 from . import bindings
 
 TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")
 
+# Tables whose rows become landed rows, with near-unique keys to spread them on.
+SPREAD_KEYS = {"lineitem": ("l_orderkey", "l_partkey"), "events": ("event_id",)}
+
 CONFIG = EngineConfig()
 
 _staged: dict[tuple[str, str, str], str] = {}
@@ -33,9 +36,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartition a scan that has fewer splits than there are cores (one small file).
+
+    A table of ordinary size has more splits than that and passes through unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def view(spark: SparkSession, sf_dir: str, sql: str, **frames: DataFrame) -> DataFrame:
     """Run a binding over the driver tables (and the given frames)."""
     named = {t: table(spark, sf_dir, t) for t in TABLES if t in sql} | frames
+    for t, keys in SPREAD_KEYS.items():
+        if t in named:
+            named[t] = spread(named[t], *keys)
     text = sql
     for t in sorted(named, key=len, reverse=True):
         text = _as_parameter(text, t)
@@ -53,13 +68,21 @@ def staged(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], o
     """Path of a data set, written on first use within this application."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     with _lock:
-        if key not in _staged:
+        if key not in _staged or not exists(spark, _staged[key]):
             path = fresh_dir(spark, name)
             write(path)
             _staged[key] = path
         return _staged[key]
 
 
+def staged_path(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSession, str], DataFrame]
+) -> str:
+    """Path of a data set that ``build`` writes when asked for it."""
+    build(spark, sf_dir)
+    return _staged[spark.sparkContext.applicationId, sf_dir.rstrip("/"), name]
+
+
 def awards_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed all-text award rows."""
     path = staged(
@@ -162,7 +185,7 @@ def quality_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality reports as landed JSON, one per event, each with a few issues and columns."""
 
     def write(path: str) -> None:
-        ev = table(spark, sf_dir, "events")
+        ev = spread(table(spark, sf_dir, "events"), "event_id")
         issues = F.transform(
             F.sequence(F.lit(1), (F.col("event_id") % 7 + 1).cast("int")),
             lambda k: F.struct(
