@@ -14,15 +14,23 @@ CORRUPT = "_corrupt_record"
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
-    # A record that is not valid JSON becomes a null row with its text kept aside.
-    with_text = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return spark.read.schema(with_text).option("multiLine", multi_line).json(path)
+    return spark.read.schema(with_text(schema)).option("multiLine", multi_line).json(path)
+
+
+def with_text(schema: T.StructType) -> T.StructType:
+    """Schema that also keeps the text of records that do not fit."""
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
 def _readable(records: DataFrame) -> Column:
-    """At least one declared field was read. A record with one odd field keeps its other fields."""
+    """Valid JSON with at least one declared field.
+
+    Spark keeps the text of a record aside both when it is no JSON and when one field has an
+    unexpected type; only the former makes the record unreadable.
+    """
+    text = F.col(CORRUPT)
     fields = [q(c).isNotNull() for c in records.columns if c != CORRUPT]
-    return reduce(lambda a, b: a | b, fields)
+    return reduce(lambda a, b: a | b, fields) & (text.isNull() | F.try_parse_json(text).isNotNull())
 
 
 def good(records: DataFrame) -> DataFrame:
@@ -61,4 +69,5 @@ def page_schema(fields: tuple[str, ...] = SEARCH_FIELDS) -> T.StructType:
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
     """One row per search result; empty and broken pages give none."""
-    return pages.select(F.explode("results").alias("r")).select("r.*")
+    whole = good(pages) if CORRUPT in pages.columns else pages
+    return whole.select(F.explode("results").alias("r")).select("r.*")
