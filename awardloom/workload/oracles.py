@@ -114,7 +114,7 @@ register(
     "landed_file_inventory",
     """
 SELECT CASE WHEN modification_number <= '3' THEN 'low' ELSE 'high' END AS folder, 'csv' AS format,
-  23 AS column_count, count(*) AS "rows", 0 AS unreadable_files, 0 AS empty_files
+  23 AS column_count, count(*) AS "rows", CAST(0 AS BIGINT) AS unreadable_files, CAST(0 AS BIGINT) AS empty_files
 FROM awards_raw GROUP BY 1""",
     RAW,
 )
@@ -632,7 +632,7 @@ FROM ({WINDOW_SQL.format(n=7)}) w, (SELECT DISTINCT award_group FROM award_group
 register(
     "split_ranges",
     """
-SELECT s AS range_start, e AS range_end, n AS row_count, e - s + 1 AS days, n <= 170 AS within_limit
+SELECT s AS range_start, e AS range_end, n AS row_count, CAST(e - s + 1 AS INTEGER) AS days, n <= 170 AS within_limit
 FROM sized WHERE NOT (n > 170 AND e - s + 1 > 7)""",
     f"RECURSIVE {SPAN}",
     "daily AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1)",
@@ -717,9 +717,9 @@ register(
     f"""
 SELECT run_id, status, strftime(start_ts, {ISO}) AS start_time, strftime(end_ts, {ISO}) AS end_time,
   (epoch_us(end_ts) - epoch_us(start_ts)) / 60000000.0::DOUBLE AS duration_minutes,
-  CASE WHEN status = 'FAILED' THEN event_id % 4 ELSE 4 END AS successful_steps,
+  CAST(CASE WHEN status = 'FAILED' THEN event_id % 4 ELSE 4 END AS INTEGER) AS successful_steps,
   CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END AS failed_steps,
-  n_errors AS total_errors, n_output_files AS output_files FROM runs_raw""",
+  CAST(n_errors AS INTEGER) AS total_errors, n_output_files AS output_files FROM runs_raw""",
     RUNS,
 )
 register(
@@ -762,7 +762,7 @@ report_issues AS (SELECT r.*, k - 1 AS pos,
 latest AS (SELECT * FROM reports WHERE ts >= TIMESTAMP '2024-01-24 00:00:00' ORDER BY ts DESC LIMIT 1)"""
 register(
     "dq_latest",
-    "SELECT processing_timestamp, user_id + 100 AS total_rows, 7 AS total_columns, n_issues AS issues FROM latest",
+    "SELECT processing_timestamp, user_id + 100 AS total_rows, 7 AS total_columns, CAST(n_issues AS INTEGER) AS issues FROM latest",
     REPORTS,
 )
 register(
@@ -777,7 +777,7 @@ register("dq_issue_rows", "SELECT processing_timestamp, pos, severity, message,
 register(
     "dq_last_issues",
     """
-SELECT pos - greatest(n_issues - 5, 0) AS pos, severity, substr(message, 1, 60) AS message, issue_count
+SELECT CAST(pos - greatest(n_issues - 5, 0) AS INTEGER) AS pos, severity, substr(message, 1, 60) AS message, issue_count
 FROM report_issues WHERE event_id = (SELECT event_id FROM latest) AND pos >= n_issues - 5""",
     REPORTS,
 )
