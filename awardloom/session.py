@@ -18,9 +18,8 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = tempfile.mkdtemp(prefix="awardloom-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="awardloom-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

@@ -64,21 +64,21 @@ def list_files(spark: SparkSession, root: str, formats: Sequence[str] = FORMATS)
     return listed.coalesce(1 + len(found) // FILES_PER_TASK)
 
 
+# Schemes that Spark and the Arrow file systems name differently.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def _open(path: str):
     from pyarrow import fs as pafs
 
-    if path.startswith("file:"):
-        filesystem, inner = pafs.LocalFileSystem(), path[len("file:"):].replace("//", "", 1)
-    elif "://" in path:
-        filesystem, inner = pafs.FileSystem.from_uri(path)
-    else:
-        filesystem, inner = pafs.LocalFileSystem(), path
-    return filesystem, inner
+    scheme, _, rest = path.partition(":")
+    if scheme == "file" or not rest:
+        return pafs.LocalFileSystem(), "/" + rest.lstrip("/") if rest else path
+    return pafs.FileSystem.from_uri(f"{ARROW_SCHEMES.get(scheme, scheme)}:{rest}")
 
 
-def _read_layout(path: str, fmt: str) -> tuple[list[str], list[str]]:
+def _read_layout(filesystem, inner: str, fmt: str) -> tuple[list[str], list[str]]:
     """Column names (and stored types) from the head or footer of one file."""
-    filesystem, inner = _open(path)
     if fmt == "parquet":
         import pyarrow.parquet as pq
 
@@ -97,10 +97,11 @@ def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for path, fmt, size in zip(batch["path"], batch["format"], batch["size"]):
+            place = _open(path)  # an unknown file system is a set-up error and fails the run
             try:
                 if size == 0:
                     raise ValueError("file is empty")
-                columns, types = _read_layout(path, fmt)
+                columns, types = _read_layout(*place, fmt)
                 rows.append((path, fmt, size, True, None, columns, types))
             except Exception as e:  # any unreadable file is an issue row, never a failed run
                 rows.append((path, fmt, size, False, str(e)[:500], [], []))
@@ -170,10 +171,12 @@ def read_delimited(
 
 
 def read_columnar(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Parquet scan with source file and row order."""
-    rows = spark.read.option("ignoreCorruptFiles", True).parquet(
-        *([paths] if isinstance(paths, str) else paths)
-    )
+    """Parquet scan with source file and row order.
+
+    Files without a valid footer were set aside by the probe. Damage further inside fails the job:
+    skipping it would lose rows without a trace.
+    """
+    rows = spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
     return rows.select(
         *[q(c) for c in rows.columns],
         F.col("_metadata.file_path").alias(SOURCE_FILE),

@@ -181,3 +181,25 @@ def test_one_page(spark):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert fresh_dir(spark, "x") != fresh_dir(spark, "x")
+
+
+class _Bare:
+    """A session without the shared-folder setting."""
+
+    def __init__(self, spark, master):
+        self.real, self.made = spark, None
+        self.conf = type("C", (), {"get": staticmethod(lambda k, d=None: d)})
+        self.sparkContext = type(
+            "S", (), {
+                "master": master,
+                "getCheckpointDir": lambda _: self.made,
+                "setCheckpointDir": lambda _, p: setattr(self, "made", p),
+            },
+        )()
+
+
+def test_own_folder_only_on_a_local_master(spark):
+    local = _Bare(spark, "local[2]")
+    assert shared_dir(local) == local.made == shared_dir(local)
+    with pytest.raises(ValueError):
+        shared_dir(_Bare(spark, "yarn"))
