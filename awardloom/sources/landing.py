@@ -9,10 +9,12 @@ from __future__ import annotations
 import csv
 import io
 import logging
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,9 @@ from ..schema import q
 
 log = logging.getLogger(__name__)
 
+# Tasks receive the probe by value: executors need pandas and pyarrow, but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SEPARATORS = {"csv": ",", "tsv": "\t"}
 FORMATS = ("csv", "parquet")
 
@@ -137,7 +142,7 @@ def _files_with_line_breaks(spark: SparkSession, paths: Sequence[str]) -> set[st
         .select(F.col("_metadata.file_path").alias("path"))
         .distinct()
     )
-    return {r.path for r in odd.toLocalIterator()}
+    return {r.path for r in odd.collect()}
 
 
 def read_delimited(
@@ -214,7 +219,7 @@ def scan_landing(
     """
     probed = probe_files(list_files(spark, root, formats))
     layouts: dict[tuple, list[str]] = {}
-    for r in probed.filter("readable").select("path", "format", "columns", "types").toLocalIterator():
+    for r in probed.filter("readable").select("path", "format", "columns", "types").collect():
         layouts.setdefault((r.format, tuple(r.columns), tuple(r.types)), []).append(r.path)
 
     groups = []

@@ -69,6 +69,27 @@ def test_bad_files_become_issues(spark, tmp_path):
     assert all(r.severity == "ERROR" and r.message.startswith("Failed to load file") for r in issues.values())
 
 
+def test_probe_runs_without_the_package(tmp_path):
+    """Executors do not have this package on their path."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    put(tmp_path / "a.csv", "x,y\n1,2\n")
+    (tmp_path / "probe.bin").write_bytes(cloudpickle.dumps(landing._probe))
+    code = (
+        "import pickle, sys, pandas as pd\n"
+        "probe = pickle.load(open(sys.argv[1], 'rb'))\n"
+        "rows = pd.DataFrame([('file:' + sys.argv[2], 'csv', 8)], columns=['path', 'format', 'size'])\n"
+        "print(list(next(probe(iter([rows])))['columns'][0]))\n"
+        "assert 'awardloom' not in sys.modules\n"
+    )
+    args = [sys.executable, "-c", code, str(tmp_path / "probe.bin"), str(tmp_path / "a.csv")]
+    done = subprocess.run(args, capture_output=True, text=True, cwd=tmp_path, check=True)
+    assert done.stdout.strip() == "['x', 'y']"
+
+
 def test_inventory(spark, tmp_path):
     put(tmp_path / "a.csv", "x,y\n1,2\n3,4\n")
     put(tmp_path / "head.csv", "x,y\n")
