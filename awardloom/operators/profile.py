@@ -12,22 +12,39 @@ from ..schema import quoted, text_literal
 from .medians import exact_medians, flag_median
 
 
+# Null of the right type for measures that a column's type does not have.
+ABSENT = {
+    "min": "cast(null AS decimal(20,2))",
+    "max": "cast(null AS decimal(20,2))",
+    "total": "cast(null AS decimal(30,2))",
+    "total_length": "cast(null AS bigint)",
+    "longest": "cast(null AS int)",
+}
+
+
 def _per_column(df: DataFrame, columns: Sequence[str], **measures) -> DataFrame:
     """One global aggregate over all columns, turned into one row per column.
 
-    ``measures`` maps an output name to a function from column name to aggregate SQL text; text
-    keeps the hundreds of small expressions cheap to build.
+    ``measures`` maps an output name to a function from column name to aggregate SQL text, or to
+    None where the column has no such measure; text keeps the many small expressions cheap to
+    build. Every row also has its place, type, row count and null count.
     """
+    types = dict(df.dtypes)
     aggs, cells = ["count(*) AS rows"], []
     for i, c in enumerate(columns):
-        aggs += [f"{make(c)} AS {m}_{i}" for m, make in measures.items()]
-        fields = "".join(f", '{m}', {m}_{i}" for m in measures)
-        cells.append(f"named_struct('column_name', {text_literal(c)}{fields})")
-    return df.selectExpr(*aggs).selectExpr("rows", f"inline(array({', '.join(cells)}))")
-
-
-def _nulls(c: str) -> str:
-    return f"count_if({quoted(c)} IS NULL)"
+        fields = [
+            f"'column_name', {text_literal(c)}, 'ord', {df.columns.index(c)}, 'data_type', '{types[c]}'",
+            f"'present', present_{i}",
+        ]
+        aggs.append(f"count({quoted(c)}) AS present_{i}")
+        for m, make in measures.items():
+            aggregate = make(c)
+            if aggregate:
+                aggs.append(f"{aggregate} AS {m}_{i}")
+            fields.append(f"'{m}', {f'{m}_{i}' if aggregate else ABSENT[m]}")
+        cells.append(f"named_struct({', '.join(fields)})")
+    per_column = df.selectExpr(*aggs).selectExpr("rows", f"inline(array({', '.join(cells)}))")
+    return per_column.withColumn("null_count", F.col("rows") - F.col("present"))
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -36,22 +53,18 @@ def _percent(part: Column, whole: Column) -> Column:
 
 def summary_stats(df: DataFrame) -> DataFrame:
     """Rows, columns, and per column its type and null count."""
-    types = dict(df.dtypes)
-    counts = _per_column(df, df.columns, data_type=lambda c: f"first('{types[c]}')", null_count=_nulls)
-    return counts.select(
+    return _per_column(df, df.columns).select(
         "column_name",
         "data_type",
         "null_count",
         F.col("rows").alias("total_rows"),
-        F.lit(len(types)).alias("total_columns"),
+        F.lit(len(df.columns)).alias("total_columns"),
     )
 
 
 def profile_nulls(df: DataFrame) -> DataFrame:
-    counts = _per_column(df, df.columns, null_count=_nulls)
-    return counts.select(
-        "column_name", "null_count", _percent(F.col("null_count"), F.col("rows")).alias("null_percentage")
-    )
+    share = _percent(F.col("null_count"), F.col("rows"))
+    return _per_column(df, df.columns).select("column_name", "null_count", share.alias("null_percentage"))
 
 
 def profile_distinct(df: DataFrame, approx: bool = False) -> DataFrame:
@@ -99,29 +112,26 @@ def _measures(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Measures that a column's type does not have are null. Text lengths skip nulls.
     """
-    types = dict(df.dtypes)
     numbers, flags, texts = set(numeric_columns(df)), set(flag_columns(df)), set(text_columns(df))
 
-    def number(c: str) -> str:
-        if c not in numbers:
-            return "cast(null AS decimal(20,2))"
-        return f"cast({f'int({quoted(c)})' if c in flags else quoted(c)} AS decimal(20,2))"
+    def of_number(function: str):
+        def make(c: str) -> str | None:
+            value = f"int({quoted(c)})" if c in flags else quoted(c)
+            return f"{function}(cast({value} AS decimal(20,2)))" if c in numbers else None
+
+        return make
 
-    def length(c: str) -> str:
-        return f"length({quoted(c)})" if c in texts else "cast(null AS int)"
+    def of_length(function: str):
+        return lambda c: f"{function}(length({quoted(c)}))" if c in texts else None
 
     return _per_column(
         df,
         columns,
-        ord=lambda c: f"first({df.columns.index(c)})",
-        data_type=lambda c: f"first('{types[c]}')",
-        null_count=_nulls,
-        present=lambda c: f"count({quoted(c)})",
-        min=lambda c: f"min({number(c)})",
-        max=lambda c: f"max({number(c)})",
-        total=lambda c: f"sum({number(c)})",
-        total_length=lambda c: f"sum({length(c)})",
-        longest=lambda c: f"max({length(c)})",
+        min=of_number("min"),
+        max=of_number("max"),
+        total=of_number("sum"),
+        total_length=of_length("sum"),
+        longest=of_length("max"),
     )
 
 
