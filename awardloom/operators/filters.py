@@ -16,6 +16,8 @@ from ..schema import AWARD_TYPE_GROUPS, SEARCH_PAGE_SIZE, q
 
 # Above this length a membership list travels as a joined table instead of a literal list.
 LONG_LIST = 1000
+# A list of values is broadcast up to this many; its length is known before the join is planned.
+BROADCAST_ROWS = 1_000_000
 
 
 def fiscal_year_between(first: int, last: int) -> Column:
@@ -62,12 +64,12 @@ def apply_filters(df: DataFrame, filters: Mapping[str, Any]) -> DataFrame:
     agencies = filters.get("agencies")
     if agencies is not None and len(agencies) > LONG_LIST and "Funding Agency Name" in df.columns:
         rest = {k: v for k, v in filters.items() if k != "agencies"}
-        names = df.sparkSession.createDataFrame(
-            [(a,) for a in dict.fromkeys(agencies)], "`Funding Agency Name` string"
-        )
-        return apply_filters(df, rest).join(names, "Funding Agency Name", "left_semi").select(
-            *[q(c) for c in df.columns]
-        )
+        listed = list(dict.fromkeys(agencies))
+        names = df.sparkSession.createDataFrame([(a,) for a in listed], "`Funding Agency Name` string")
+        if len(listed) <= BROADCAST_ROWS:
+            names = F.broadcast(names)
+        kept = apply_filters(df, rest).join(names, "Funding Agency Name", "left_semi")
+        return kept.select(*[q(c) for c in df.columns])
     found = _conditions(df.columns, filters)
     return df.filter(reduce(lambda a, b: a & b, found)) if found else df
 
@@ -126,13 +128,23 @@ def parse_agency_specs(specs: DataFrame, column: str = "spec", default_type: str
     return specs.withColumn("agency", agency_spec(q(column), default_type)).select("*", "agency.*").drop("agency")
 
 
-def agency_filter(df: DataFrame, specs: DataFrame) -> DataFrame:
-    """Rows that meet at least one parsed spec.
+def agency_filter(
+    df: DataFrame, specs: Sequence[str] | DataFrame, default_type: str = "awarding"
+) -> DataFrame:
+    """Rows that meet at least one agency spec; an empty list means no filter.
 
     ``df`` has awarding/funding toptier and subtier columns. The specs are split by type and tier
     into distinct name sets, each joined on equality, so no nested-loop join arises and no row is
-    multiplied. Spark broadcasts a set only while it is below its size threshold.
+    multiplied. Spec texts given as a list are broadcast while the list is short enough, so the
+    rows stay where they are; for a frame of parsed specs Spark decides by its size.
     """
+    small = False
+    if not isinstance(specs, DataFrame):
+        if not specs:
+            return df
+        small = len(specs) <= BROADCAST_ROWS
+        texts = df.sparkSession.createDataFrame([(s,) for s in specs], "spec string")
+        specs = parse_agency_specs(texts, default_type=default_type)
     marks = []
     out = df
     for kind in ("awarding", "funding"):
@@ -148,7 +160,7 @@ def agency_filter(df: DataFrame, specs: DataFrame) -> DataFrame:
                     F.col("name").alias(keys[0]), F.col("toptier_name").alias(keys[1])
                 )
             names = names.distinct().withColumn(mark, F.lit(True))
-            out = out.join(names, keys, "left")
+            out = out.join(F.broadcast(names) if small else names, keys, "left")
             marks.append(mark)
     hit = F.coalesce(*[F.col(m) for m in marks], F.lit(False))
     return out.filter(hit).select(*[q(c) for c in df.columns])
@@ -160,7 +172,7 @@ def bulk_request(
     first: dt.date,
     last: dt.date,
     date_type: str = "action_date",
-    specs: DataFrame | None = None,
+    specs: Sequence[str] | DataFrame = (),
 ) -> DataFrame:
     """Bulk-download predicate: award codes, one chosen date column in range, optional agencies."""
     if date_type not in ("action_date", "last_modified_date"):
@@ -168,7 +180,7 @@ def bulk_request(
     rows = df.filter(F.col("award_type_code").isin(*codes_of(groups or ["contracts"]))).filter(
         dates.in_days(F.col(date_type), first, last)
     )
-    return rows if specs is None else agency_filter(rows, specs)
+    return agency_filter(rows, specs)
 
 
 def search_request(

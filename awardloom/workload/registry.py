@@ -313,10 +313,9 @@ def filter_accounting(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def bulk_predicate(spark: SparkSession, sf: str) -> DataFrame:
-    specs = filters.parse_agency_specs(spark.createDataFrame([(s,) for s in SPECS], "spec string"))
     rows = filters.bulk_request(
         S.awards_predicate(spark, sf), ["contracts", "loans"], dt.date(1996, 3, 1), dt.date(1999, 6, 30),
-        "last_modified_date", specs,
+        "last_modified_date", SPECS,
     )
     return plain(rows)
 
@@ -334,8 +333,7 @@ def unknown_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def agency_semi_filter(spark: SparkSession, sf: str) -> DataFrame:
-    specs = filters.parse_agency_specs(spark.createDataFrame([(s,) for s in SPECS], "spec string"))
-    return plain(filters.agency_filter(S.awards_predicate(spark, sf), specs))
+    return plain(filters.agency_filter(S.awards_predicate(spark, sf), SPECS))
 
 
 @query

@@ -118,6 +118,9 @@ def test_agency_filter_does_not_multiply_rows(spark):
     parsed = filters.parse_agency_specs(spark.createDataFrame([(s,) for s in specs], "spec string"))
     out = filters.agency_filter(df, parsed)
     assert out.columns == df.columns and sorted(r.id for r in out.collect()) == [1, 2]
+    listed = filters.agency_filter(df, specs)
+    assert listed.columns == df.columns and sorted(r.id for r in listed.collect()) == [1, 2]
+    assert filters.agency_filter(df, []).count() == 4
 
 
 def test_unknown_date_type_is_refused(spark):

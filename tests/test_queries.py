@@ -86,6 +86,14 @@ def test_dedup_with_a_hot_key_shuffles_few_rows(spark):
     assert len(rows) == n - n // 3 + 1 and min(r.o for r in rows if r.PIID == "hot") == 0
 
 
+def test_lookups_do_not_shuffle_the_awards(spark, plan_of):
+    for name in ("agency_semi_filter", "bulk_predicate", "award_group_lookup"):
+        plan = plan_of(registry.QUERIES[name](spark, SF_DIR))
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        awards = plan[: plan.index("FileScan")]
+        assert "Exchange hashpartitioning" not in awards.split("BroadcastExchange")[0], name
+
+
 def test_basic_stats_reads_one_column(spark, plan_of):
     plan = plan_of(registry.QUERIES["basic_stats"](spark, SF_DIR))
     assert "ReadSchema: struct<Date Signed:date>" in plan
