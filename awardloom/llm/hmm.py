@@ -118,7 +118,7 @@ def _symbols(hashes: np.ndarray, classes: np.ndarray, model: Model) -> np.ndarra
     if not len(model.head):
         return classes.astype(np.int64)
     at = np.minimum(np.searchsorted(model.head, hashes), len(model.head) - 1)
-    return np.where(model.head[at] == hashes, at, len(model.head) + classes)
+    return np.where(model.head[at] == hashes, at, len(model.head) + classes.astype(np.int64))
 
 
 def _passes(lengths: np.ndarray) -> Iterator[np.ndarray]:
@@ -209,7 +209,9 @@ def _documents(row: dict, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndar
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
     for i in range(batch.num_rows):
         yield {
-            name: (column[i].values.to_numpy(zero_copy_only=False) if pa.types.is_list(column.type) else column[i].as_py())
+            name: column[i].values.to_numpy(zero_copy_only=False)
+            if pa.types.is_list(column.type) and name != "doc_ids" and column[i].is_valid
+            else column[i].as_py()  # ids may be null
             for name, column in zip(batch.schema.names, batch.columns)
         }
 
@@ -348,7 +350,7 @@ def score(spark: SparkSession, table: DataFrame, counts: DataFrame, model: Model
                 tokens = np.frombuffer(row["tokens"], "<u4")
                 yield pa.record_batch(
                     [
-                        pa.array([row["block"]], pa.int64()), pa.array([row["doc_ids"]], pa.list_(pa.int64()), from_pandas=True),
+                        pa.array([row["block"]], pa.int64()), pa.array([row["doc_ids"]], pa.list_(pa.int64())),
                         pa.array([row["held"].astype(bool)], pa.list_(pa.bool_())),
                         *(pa.array([v.astype(k).tobytes()], pa.binary()) for v, k in (
                             (lengths, "<i4"), (sums(~rare), "<i4"), (sums(logs_of[symbols]), "<f8"),
@@ -386,7 +388,7 @@ def score(spark: SparkSession, table: DataFrame, counts: DataFrame, model: Model
                 base = logs + extra + math.log10(m.ends + 0.5) - total * share
                 yield pa.record_batch(
                     [
-                        pa.array(row["doc_ids"], pa.int64(), from_pandas=True), pa.array(row["held"].astype(bool)), pa.array(total, pa.int64()),
+                        pa.array(row["doc_ids"], pa.int64()), pa.array(row["held"].astype(bool)), pa.array(total, pa.int64()),
                         pa.array(known, pa.int64()), pa.array(np.full(n, m.tokens), pa.int64()), pa.array(base), pa.array(scores + extra),
                     ],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
