@@ -1,7 +1,8 @@
 """Toxic passages by maximum-scoring segments of token log-odds.
 
 A word's weight is its log-odds ratio between toxic and clean training texts under an informative Dirichlet
-prior (the prior counts follow the word's share of all training words), used where it is significant. Every
+prior (the prior counts follow the word's share of all training words), less one standard deviation, where it
+is significant. A word counts once a text, so that one text's repetitions weigh no more than its label. Every
 other word costs a small drift, so that the expected score is negative and segments end. One linear scan
 finds all maximal scoring segments of a text. For texts without toxic passages the best segment of n words
 follows an extreme-value law, P(S >= x) = 1 - exp(-K n exp(-lambda x)); lambda solves
@@ -22,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_batches, prepare
+from .common import in_batches, prepare, written
 
 #: Labelled documents to learn from, at most (about; chosen by a hash of their ids), and words with a weight.
 SAMPLE, WORDS = 60_000, 20_000
-#: Prior counts in all, least z-score of a weight, cost of each other word.
-PRIOR, SIGNIFICANT, DRIFT = 1000.0, 4.0, 0.5
+#: Prior counts as a share of all counts, least z-score of a weight, cost of each other word.
+PRIOR, SIGNIFICANT, DRIFT = 0.1, 3.0, 0.05
 #: A passage is significant if fewer than this many are expected in clean text of that length.
 E_VALUE = 0.05
 #: Probability from which a text counts as toxic.
@@ -137,9 +138,9 @@ def _lambda(scores: np.ndarray, shares: np.ndarray) -> float:
     """The positive root of sum p exp(lambda s) = 1 (mean score negative, some score positive)."""
     if not (scores > 0).any():
         return 1.0
-    low, high = 0.0, 1.0
+    low, high = 1e-6, 1.0
     value = lambda t: float((shares * np.exp(np.minimum(t * scores, 700))).sum()) - 1
-    while value(high) < 0:
+    while value(high) < 0 and high < 1e6:
         high *= 2
     for _ in range(80):
         mid = (low + high) / 2
@@ -171,7 +172,7 @@ def fit(
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = Counter(), Counter()
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            found[toxic != 0].update(folded(text).split())
+            found[toxic != 0].update(set(folded(text).split()))
         both = list(found[0].keys() | found[1].keys())
         return pa.record_batch(
             [pa.array(both, pa.binary()), *(pa.array([f[w] for w in both], pa.int64()) for f in found)],
@@ -180,24 +181,23 @@ def fit(
 
     counts = train.mapInArrow(in_batches(count), "word binary, clean long, toxic long")
     counts = counts.groupBy("word").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
-    from .common import written
-
     counts = written(counts, "toxic-words")
     clean, toxic = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))).first()
     if not clean or not toxic:
         tox = known.agg(F.avg("toxic")).first()[0] or 0.0
         bias = math.log(max(tox, 1e-9) / max(1 - tox, 1e-9))
         return Model({}, 1.0, 0.0, (bias, 0.0, 0.0, 0.0))
-    prior = F.lit(PRIOR) * (F.col("c") + F.col("t")) / (clean + toxic)
-    odds = lambda y, total: F.log((y + prior) / (total + PRIOR - y - prior))
+    total = PRIOR * (clean + toxic)
+    prior = F.lit(PRIOR) * (F.col("c") + F.col("t"))
+    odds = lambda y, n: F.log((y + prior) / (n + total - y - prior))
     delta = odds(F.col("t"), toxic) - odds(F.col("c"), clean)
-    z = delta / F.sqrt(1 / (F.col("t") + prior) + 1 / (F.col("c") + prior))
-    strong = counts.select("word", "c", delta.alias("delta"), z.alias("z")).where(F.col("z") >= SIGNIFICANT)
-    rows = strong.where(F.col("delta") > DRIFT).orderBy(F.desc("z"), "word").limit(WORDS).collect()
-    weights = {bytes(r.word): r.delta for r in rows}
-    scores = np.array([-DRIFT, *[r.delta for r in rows]])
-    shares = np.array([clean - sum(r.c for r in rows), *[r.c for r in rows]], dtype=float) / clean
-    lam = _lambda(scores, shares)
+    deviation = F.sqrt(1 / (F.col("t") + prior) + 1 / (F.col("c") + prior))
+    strong = counts.select("word", (F.col("c") + prior).alias("p"), (delta - deviation).alias("weight"), (delta / deviation).alias("z"))
+    strong = strong.where((F.col("z") >= SIGNIFICANT) & (F.col("weight") > DRIFT))
+    rows = strong.orderBy(F.desc("z"), "word").limit(WORDS).collect()
+    weights = {bytes(r.word): r.weight for r in rows}
+    listed = np.array([r.p for r in rows]) / (clean + total)
+    lam = _lambda(np.array([-DRIFT, *[r.weight for r in rows]]), np.array([1 - listed.sum(), *listed]))
     draft = Model(weights, lam, 0.0, (0.0,) * 4)
 
     def rate(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -211,10 +211,10 @@ def fit(
     # Rows with K = 1, at most ``sample`` of them.
     seen = train.mapInArrow(in_batches(rate), "best double, total double, share double, n double, toxic boolean").collect()
     best, n_words, y = (np.array([r[k] for r in seen], dtype=float) for k in ("best", "n", "toxic"))
-    # P(best >= x) = 1 - exp(-K exp(-x)): exp(-best) is exponential with rate K; its median resists mislabelled texts.
+    # P(best >= x) = 1 - exp(-K exp(-x)), about K exp(-x): half of the clean texts with any hit reach their median.
     clean_best = best[(y == 0) & (best > -np.log(n_words))]
-    share_hit = len(clean_best) / max(1.0, float((y == 0).sum()))
-    log_k = math.log(max(share_hit, 1e-6)) + (float(np.median(clean_best)) if len(clean_best) else 0.0)
+    share_hit = max(len(clean_best), 1) / max(1.0, float((y == 0).sum()))
+    log_k = math.log(share_hit / 2) + (float(np.median(clean_best)) if len(clean_best) else 0.0)
     log_k = max(-10.0, min(10.0, log_k))
     model = draft._replace(log_k=log_k)
 
