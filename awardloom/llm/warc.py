@@ -31,10 +31,10 @@ REFERENCES = {
     "&copy;": "©", "&reg;": "®", "&middot;": "·", "&bull;": "•", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—", "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“",
     "&rdquo;": "”", "&laquo;": "«", "&raquo;": "»", "&euro;": "€", "&sect;": "§", "&deg;": "°", "&times;": "×", "&amp;": "&", "&#38;": "&",
 }
-UNSEEN = "(?is)<!--.*?(?:-->|$)|" + "|".join(f"<{e}\\b[^>]*>.*?(?:</{e}[^>]*>|$)" for e in HIDDEN)
+UNSEEN = "(?is)<!--.*?(?:-->|\\z)|" + "|".join(f"<{e}\\b[^>]*>.*?(?:</{e}[^>]*>|\\z)" for e in HIDDEN)
 BREAK = "(?i)</?(?:" + "|".join(BREAKS) + ")\\b[^>]*>"
-TAG = "<[a-zA-Z/!?][^>]*(?:>|$)"
-BLANKS, LINES = "[ \\t\\r\\f\\x{00A0}]+", " ?\\n[ \\n]*"
+TAG = "<[a-zA-Z/!?][^>]*(?:>|\\z)"
+BLANKS, LINES, EDGES = "[ \\t\\r\\f\\x{00A0}]+", " ?\\n[ \\n]*", "^[ \\n]+|[ \\n]+\\z"
 TITLE = "(?is)<title\\b[^>]*>(.*?)</title"
 LINK = "(?is)<a\\b[^>]*?[ \\t\\r\\n]href[ \\t\\r\\n]*=[ \\t\\r\\n]*(\"[^\"]*\"|'[^']*'|[^ \\t\\r\\n>\"']+)"
 
@@ -54,7 +54,7 @@ def plain_text(html: Column) -> Column:
     text = F.regexp_replace(html, UNSEEN, "")
     text = F.regexp_replace(F.regexp_replace(F.replace(text, F.lit("\n"), F.lit(" ")), BREAK, "\n"), TAG, "")
     text = F.regexp_replace(resolved(text), BLANKS, " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(text, LINES, "\n"), "^[ \\n]+|[ \\n]+$", ""))
+    return F.trim(F.regexp_replace(F.regexp_replace(text, LINES, "\n"), EDGES, ""))
 
 
 def title(html: Column) -> Column:
@@ -70,7 +70,7 @@ def links(html: Column, base: Column) -> Column:
     page = F.regexp_extract(base, "^([^?#]*)", 1)
 
     def one(raw: Column) -> Column:
-        ref = F.trim(resolved(F.regexp_replace(raw, "^[\"']|[\"']$", "")))
+        ref = F.trim(resolved(F.regexp_replace(raw, "^[\"']|[\"']\\z", "")))
         return (
             F.when(ref.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), ref)
             .when(ref.startswith("//"), F.concat(scheme, ref))
