@@ -13,7 +13,8 @@ Groups of any size are handled without emitting all their pairs:
 2. Of the classes in a bucket, each is compared with the smallest id there; one such candidate a class is
    verified, so verification grows with the classes, not with their pairs.
 3. The links found give components. Buckets whose members lie in one component can add nothing. In the
-   others, members of different components are compared in blocks of bounded size and verified.
+   others, the members outside the bucket's largest component meet all other members in blocks of bounded
+   size, where pairs that the estimate allows are verified at once, each in the first band that it shares; only links leave a block.
 
 After step 3 every pair that shares a bucket has been verified, ruled out by its estimate, or lies in one
 component, so the components are those of all links.
@@ -37,7 +38,7 @@ MANTISSA = 10
 #: Standard deviations of the estimate by which a pair may stay below the threshold and still be verified.
 SLACK = 5.0
 #: Members of a bucket that are compared at once in step 3, and members that one hub is compared with at once.
-BLOCK = 256
+BLOCK = 1024
 SALT = 128
 #: Shingle hashes that are multiplied at once.
 CHUNK = 2048
@@ -128,17 +129,18 @@ def signatures(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str
 
 
 def band_rows(classes: DataFrame) -> DataFrame:
-    """key, id: one row a class and band; the key is the band's registers and its number, hashed."""
+    """key, band, id: one row a class and band; the key is the band's registers and its number, hashed."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype="<u8").reshape(len(ids), BANDS)
         keys = _mix(regs + np.arange(1, BANDS + 1, dtype=np.uint64) * ORDER)
+        band = np.tile(np.arange(BANDS, dtype=np.int16), len(ids))
         return pa.record_batch(
-            [pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(ids, BANDS))], names=["key", "id"]
+            [pa.array(keys.ravel().view(np.int64)), pa.array(band), pa.array(np.repeat(ids, BANDS))], names=["key", "band", "id"]
         )
 
-    return classes.select("id", "registers").mapInArrow(in_batches(run), "key long, id long")
+    return classes.select("id", "registers").mapInArrow(in_batches(run), "key long, band short, id long")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -159,6 +161,12 @@ def _plausible(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFr
     return both.mapInArrow(in_batches(run), "a long, b long")
 
 
+def linked(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union, of non-empty sets."""
+    common = len(np.intersect1d(s, t, assume_unique=True))
+    return common > 0 and 100 * common >= percent * (len(s) + len(t) - common)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold: 100 * intersection >= percent * union.
 
@@ -189,8 +197,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
                     sets.append(s)
                     continue
                 for t in sets:
-                    common = len(np.intersect1d(s, t, assume_unique=True))
-                    if len(s) and 100 * common >= percent * (len(s) + len(t) - common):
+                    if linked(s, t, percent):
                         found.append((a, b))
                         break
             if found:
@@ -229,37 +236,63 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def _cross_pairs(buckets: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Plausible pairs between components, of buckets (key, id, component) that hold several.
+def _cross_links(buckets: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between components, of buckets (key, band, id, component) that hold several.
 
-    A bucket is cut into blocks of some ``BLOCK`` members; a group is a pair of blocks, so no group grows.
+    The members of a bucket's largest component are not compared with one another, and lie in blocks of
+    some ``BLOCK``; the others lie in blocks of their own, and each of these meets every block. A group is a
+    pair of blocks, so no group grows with its bucket.
     """
-    sizes = buckets.groupBy("key").agg(F.expr(f"cast(ceil(count(1) / {BLOCK}) as bigint)").alias("blocks"))
-    placed = (
-        buckets.join(sizes, "key")
-        .withColumn("block", F.expr("pmod(xxhash64(id), blocks)"))
-        .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-        .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component")
-    )
+    parts = buckets.groupBy("key", "component").agg(F.count(F.lit(1)).alias("members"))
+    sizes = parts.groupBy("key").agg(F.max_by("component", F.struct("members", "component")).alias("largest"), F.max("members").alias("most"), F.sum("members").alias("all"))
+    blocks = lambda n: F.expr(f"cast(ceil(({n}) / {BLOCK}) as bigint)")
+    sizes = sizes.select("key", "largest", blocks("most").alias("inner_blocks"), blocks("all - most").alias("outer_blocks"))
+    placed = buckets.join(sizes, "key").withColumn("outer", F.col("component") != F.col("largest"))
+    placed = placed.withColumn("block", F.expr("pmod(xxhash64(id), if(outer, outer_blocks, inner_blocks))"))
+    # Group (i, j): outer block j with inner block i, or with outer block -1 - i.
+    meets = """if(outer,
+        concat(transform(sequence(0L, inner_blocks - 1), i -> struct(i, block as j)),
+               transform(sequence(0L, outer_blocks - 1), c -> struct(-1 - least(c, block) as i, greatest(c, block) as j))),
+        transform(sequence(0L, outer_blocks - 1), j -> struct(block as i, j)))"""
+    dealt = placed.select("key", "band", "outer", "block", "id", "component", F.explode(F.expr(meets)).alias("g"))
     rows = (
-        placed.join(classes.select("id", "n", "registers"), "id")
-        .select("key", "i", "j", "block", "id", "component", "n", "registers")
+        dealt.join(classes.select("id", "n", "registers"), "id")
+        .join(texts, "id")
+        .select("key", F.col("g.i").alias("i"), F.col("g.j").alias("j"), "band", "outer", "block", "id", "component", "n", "registers", "text")
         .repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j", "id")
+        .sortWithinPartitions("key", "i", "j", "outer", "id")
     )
 
     def compare(group: list[tuple]) -> Iterator[tuple[int, int]]:
-        (_, i, j, *_), n = group[0], len(group)
-        block, ids, comp, sizes = (np.array([g[k] for g in group], dtype=np.int64) for k in (3, 4, 5, 6))
-        regs = np.frombuffer(b"".join(g[7] for g in group), dtype="<u2").reshape(n, REGISTERS)
-        for x in range(n - 1):
-            ys = np.arange(x + 1, n)
-            ys = ys[(comp[ys] != comp[x]) & (ids[ys] != ids[x]) & ((i == j) | (block[ys] != block[x]))]
+        (_, i, j, band, *_), n = group[0], len(group)
+        outer, block, ids, comp, sizes = (np.array([g[k] for g in group], dtype=np.int64) for k in (4, 5, 6, 7, 8))
+        regs = np.frombuffer(b"".join(g[9] for g in group), dtype="<u2").reshape(n, REGISTERS)
+        bands = regs.view("<u8")
+        sets: dict[int, np.ndarray] = {}
+
+        def set_of(x: int) -> np.ndarray:
+            if x not in sets:
+                sets[x] = shingle_set(group[x][10], size)
+            return sets[x]
+
+        for x in np.flatnonzero(outer).tolist():
+            ok = (comp != comp[x]) & (ids != ids[x])
+            if i >= 0:
+                ok &= outer == 0
+            elif -1 - i == j:
+                ok[: x + 1] = False
+            else:
+                ok &= block != block[x]
+                ok[: x + 1] = False
+            ok &= ~(bands[:, :band] == bands[x, :band]).any(axis=1)  # not met in an earlier band
+            ys = np.flatnonzero(ok)
             if len(ys):
                 same = np.broadcast_to(regs[x], (len(ys), REGISTERS))
-                ok = may_link(same, regs[ys], np.full(len(ys), sizes[x]), sizes[ys], threshold)
-                for y in ys[ok].tolist():
+                ys = ys[may_link(same, regs[ys], np.full(len(ys), sizes[x]), sizes[ys], percent / 100)]
+            for y in ys.tolist():
+                if comp[y] != comp[x] and linked(set_of(x), set_of(y), percent):
                     yield min(int(ids[x]), int(ids[y])), max(int(ids[x]), int(ids[y]))
+                    comp[comp == comp[y]] = comp[x]  # one component from here on
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from itertools import groupby
@@ -294,7 +327,7 @@ def near_duplicates(
     )
     bands = band_rows(classes)
     full = bands.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
-    members = written(bands.join(full.select("key", "least"), "key").select("key", "id", "least"), "buckets")
+    members = written(bands.join(full.select("key", "least"), "key").select("key", "band", "id", "least"), "buckets")
 
     stars = members.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     stars = written(_plausible(stars, classes, threshold), "stars")
@@ -309,11 +342,11 @@ def near_duplicates(
     links = written(_verified(first, texts, size, percent).unionByName(shared), "links")
 
     found = components(links)
-    held = members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    held = members.join(found, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("component"))
     mixed = held.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    pairs = _cross_pairs(held.join(mixed.select("key"), "key").distinct(), classes, threshold)
-    pairs = written(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
-    more = written(_verified(pairs, texts, size, percent), "links")
+    several = held.join(mixed.select("key"), "key").dropDuplicates(["key", "id"])
+    more = written(_cross_links(several, classes, texts, size, percent), "links")
+
     whole = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     named = classes.join(whole, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
