@@ -84,6 +84,6 @@ def clean(df: DataFrame, cfg: EngineConfig) -> DataFrame:
             return casts.decode_flag(col, data_type).alias(name)
         if name in cfg.text_columns:
             return casts.clean_text(text).alias(name)
-        return col
+        return text.alias(name) if name in cfg.column_mapping.values() else col  # declared text, whatever it is stored as
 
     return df.select(*[typed(c) for c in df.columns])

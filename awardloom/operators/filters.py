@@ -7,17 +7,19 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import casts, dates
 from ..functions.text import agency_spec
 from ..schema import AWARD_TYPE_GROUPS, SEARCH_PAGE_SIZE, q
+from ..session import stored
 
-# Above this length a membership list travels as a joined table instead of a literal list.
-LONG_LIST = 1000
-# A list of values is broadcast up to this many; its length is known before the join is planned.
-BROADCAST_ROWS = 1_000_000
+AGENCY = "Funding Agency Name"
+
+# Marks rows whose funding agency is listed.
+LISTED = "_agency_listed"
 
 
 def fiscal_year_between(first: int, last: int) -> Column:
@@ -38,6 +40,23 @@ def merge_filters(defaults: Mapping[str, Any] | None, custom: Mapping[str, Any]
     return {k: v for k, v in merged.items() if v is not None}
 
 
+def local_names(spark: SparkSession, names: Sequence[str], column: str) -> DataFrame:
+    """Distinct names as a local relation: Spark knows its size and broadcasts it only if that is small."""
+    return spark.createDataFrame(pa.table({column: pa.array(list(dict.fromkeys(names)), pa.string())}))
+
+
+def mark_listed(df: DataFrame, filters: Mapping[str, Any]) -> DataFrame:
+    """Add the mark that ``keep_predicate`` looks at, if the filters list agencies.
+
+    A list of any length is joined, by equality on distinct names, so no row is multiplied.
+    """
+    agencies = filters.get("agencies")
+    if agencies is None or AGENCY not in df.columns:
+        return df
+    names = local_names(df.sparkSession, agencies, AGENCY).withColumn(LISTED, F.lit(True))
+    return df.join(names, AGENCY, "left").select(*[q(c) for c in df.columns], LISTED)
+
+
 def _conditions(columns: Sequence[str], filters: Mapping[str, Any]) -> list[Column]:
     found = []
     if "fiscal_year_range" in filters and "Fiscal Year" in columns:
@@ -46,13 +65,13 @@ def _conditions(columns: Sequence[str], filters: Mapping[str, Any]) -> list[Colu
         found.append(dollars_at_least(filters["min_dollars_obligated"]))
     if "instrument_types" in filters and "Instrument Type" in columns:
         found.append(member_of("Instrument Type", filters["instrument_types"]))
-    if "agencies" in filters and "Funding Agency Name" in columns:
-        found.append(member_of("Funding Agency Name", filters["agencies"]))
+    if LISTED in columns:
+        found.append(F.col(LISTED))
     return found
 
 
 def keep_predicate(columns: Sequence[str], filters: Mapping[str, Any]) -> Column:
-    """Conjunction of the filters whose column exists; true or false, never null."""
+    """Conjunction of the filters whose column exists; true or false, never null. Takes marked rows."""
     found = _conditions(columns, filters)
     if not found:
         return F.lit(True)
@@ -60,22 +79,18 @@ def keep_predicate(columns: Sequence[str], filters: Mapping[str, Any]) -> Column
 
 
 def apply_filters(df: DataFrame, filters: Mapping[str, Any]) -> DataFrame:
-    """Filter conformed (still untyped) rows. Long agency lists become a semi join."""
-    agencies = filters.get("agencies")
-    if agencies is not None and len(agencies) > LONG_LIST and "Funding Agency Name" in df.columns:
-        rest = {k: v for k, v in filters.items() if k != "agencies"}
-        listed = list(dict.fromkeys(agencies))
-        names = df.sparkSession.createDataFrame([(a,) for a in listed], "`Funding Agency Name` string")
-        if len(listed) <= BROADCAST_ROWS:
-            names = F.broadcast(names)
-        kept = apply_filters(df, rest).join(names, "Funding Agency Name", "left_semi")
-        return kept.select(*[q(c) for c in df.columns])
+    """Filter conformed (still untyped) rows; listed agencies are a semi join."""
     found = _conditions(df.columns, filters)
-    return df.filter(reduce(lambda a, b: a & b, found)) if found else df
+    out = df.filter(reduce(lambda a, b: a & b, found)) if found else df
+    if filters.get("agencies") is None or AGENCY not in df.columns:
+        return out
+    names = local_names(df.sparkSession, filters["agencies"], AGENCY)
+    return out.join(names, AGENCY, "left_semi").select(*[q(c) for c in df.columns])
 
 
 def filter_accounting(df: DataFrame, filters: Mapping[str, Any], by: Sequence[str] = ()) -> DataFrame:
     """Rows before and after the filters, from one pass."""
+    df = mark_listed(df, filters)
     keep = keep_predicate(df.columns, filters)
     counts = df.groupBy(*by).agg(
         F.count("*").alias("rows_before"), F.count_if(keep).alias("rows_after")
@@ -131,20 +146,22 @@ def parse_agency_specs(specs: DataFrame, column: str = "spec", default_type: str
 def agency_filter(
     df: DataFrame, specs: Sequence[str] | DataFrame, default_type: str = "awarding"
 ) -> DataFrame:
-    """Rows that meet at least one agency spec; an empty list means no filter.
+    """Rows that meet at least one agency spec; no spec, as a list or a frame, means no filter.
 
     ``df`` has awarding/funding toptier and subtier columns. The specs are split by type and tier
     into distinct name sets, each joined on equality, so no nested-loop join arises and no row is
-    multiplied. Spec texts given as a list are broadcast while the list is short enough, so the
-    rows stay where they are; for a frame of parsed specs Spark decides by its size.
+    multiplied. A list is a local relation, a frame of parsed specs is evaluated once and stored:
+    either way Spark knows the size in bytes, broadcasts the sets if that is small (the rows then stay
+    where they are), and otherwise splits the hot agencies of a shuffled join.
     """
-    small = False
     if not isinstance(specs, DataFrame):
         if not specs:
             return df
-        small = len(specs) <= BROADCAST_ROWS
-        texts = df.sparkSession.createDataFrame([(s,) for s in specs], "spec string")
-        specs = parse_agency_specs(texts, default_type=default_type)
+        specs = parse_agency_specs(local_names(df.sparkSession, specs, "spec"), default_type=default_type)
+    else:
+        specs = stored(specs.select("type", "tier", "name", "toptier_name").distinct(), "agency-specs")
+        if specs.isEmpty():
+            return df
     marks = []
     out = df
     for kind in ("awarding", "funding"):
@@ -160,7 +177,7 @@ def agency_filter(
                     F.col("name").alias(keys[0]), F.col("toptier_name").alias(keys[1])
                 )
             names = names.distinct().withColumn(mark, F.lit(True))
-            out = out.join(F.broadcast(names) if small else names, keys, "left")
+            out = out.join(names, keys, "left")
             marks.append(mark)
     hit = F.coalesce(*[F.col(m) for m in marks], F.lit(False))
     return out.filter(hit).select(*[q(c) for c in df.columns])
@@ -196,14 +213,18 @@ def search_request(
 def search_page(
     rows: DataFrame, page: int, tie_break: Sequence[str], page_size: int = SEARCH_PAGE_SIZE
 ) -> DataFrame:
-    """One page, largest amount first, with the page number and a has-next flag."""
-    total = rows.agg(F.count("*").alias("n")).scalar()
-    ordered = rows.orderBy(F.col("amount").desc(), *[q(c) for c in tie_break])
-    return (
-        ordered.offset(page_size * (page - 1))
-        .limit(page_size)
-        .withColumn("page", F.lit(page))
-        .withColumn("has_next", total > F.lit(page_size * page))
+    """One page, largest amount first, with the page number and a has-next flag.
+
+    One row more than the page is fetched, and tells whether there is a next page: no second scan.
+    """
+    order = [F.col("amount").desc(), *[q(c) for c in tie_break]]
+    found = rows.orderBy(*order).offset(page_size * (page - 1)).limit(page_size + 1)
+    all_found = Window.orderBy(*order)  # over at most a page and a row
+    ranked = found.withColumn("_rank", F.row_number().over(all_found)).withColumn(
+        "has_next", F.count("*").over(Window.partitionBy(F.lit(1))) > page_size
+    )
+    return ranked.filter(F.col("_rank") <= page_size).withColumn("page", F.lit(page)).select(
+        *[q(c) for c in rows.columns], "page", "has_next"
     )
 
 

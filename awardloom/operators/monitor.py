@@ -136,7 +136,9 @@ def recent_reports(reports: DataFrame, as_of: dt.datetime, days: int = 7) -> Dat
 
 
 def latest_report(reports: DataFrame, as_of: dt.datetime, days: int = 7) -> DataFrame:
-    return recent_reports(reports, as_of, days).orderBy(F.col("reported_at").desc()).limit(1)
+    """The newest report; of several at one instant, the last by its texts."""
+    newest = [F.col("reported_at").desc(), F.col("processing_timestamp").desc(), F.to_json("summary_statistics").desc()]
+    return recent_reports(reports, as_of, days).orderBy(*newest).limit(1)
 
 
 def issue_rows(reports: DataFrame, *keys: str) -> DataFrame:

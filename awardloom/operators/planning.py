@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..schema import MIN_SPLIT_DAYS, SHARD_DAYS, q
+from ..session import stored
 
 
 def windows(bounds: DataFrame, chunk_days: int = SHARD_DAYS) -> DataFrame:
@@ -100,29 +101,27 @@ def count_ranges(ranges: DataFrame, daily: DataFrame) -> DataFrame:
     )
 
 
-def split_until(
-    ranges: DataFrame, daily: DataFrame, max_rows: int, rounds: int, min_days: int = MIN_SPLIT_DAYS
-) -> DataFrame:
-    """Split ranges that hold too many rows, again and again, down to the minimum length.
+def split_until(ranges: DataFrame, daily: DataFrame, max_rows: int, min_days: int = MIN_SPLIT_DAYS) -> DataFrame:
+    """Split ranges that hold too many rows, again and again, until they fit or have the minimum length.
 
-    ``rounds`` is the number of halvings that take the longest range to the minimum. All frames
-    here have one row per range or per calendar day.
+    Equal ranges count once. A halving round ends when no range is left to split; as each halves the
+    length, there are at most log2(longest range / ``min_days``) + 1 of them. Per-day counts and the ranges
+    of each round are stored, so no round repeats another; all of them have one row per day or range.
     """
-    sized = count_ranges(ranges.select("range_start", "range_end"), daily)
+    daily = stored(daily, "per-day")
     too_big = (F.col("row_count") > max_rows) & (
         dates.days_inclusive(F.col("range_start"), F.col("range_end")) > min_days
     )
-    done = []
-    for _ in range(rounds):
-        done.append(sized.filter(~too_big))
-        halves = split_ranges(sized.filter(too_big), min_days).select("range_start", "range_end")
-        sized = count_ranges(halves, daily)
-    done.append(sized)
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out.withColumn("days", dates.days_inclusive(F.col("range_start"), F.col("range_end"))).withColumn(
-        "within_limit", F.col("row_count") <= max_rows
+    sized = stored(count_ranges(ranges.select("range_start", "range_end").distinct(), daily), "ranges")
+    out = sized.filter(~too_big)
+    while not (open_ranges := sized.filter(too_big)).isEmpty():
+        halves = split_ranges(open_ranges, min_days).select("range_start", "range_end").distinct()
+        sized = stored(count_ranges(halves, daily), "ranges")
+        out = out.unionByName(sized.filter(~too_big))
+    return (
+        out.distinct()
+        .withColumn("days", dates.days_inclusive(F.col("range_start"), F.col("range_end")))
+        .withColumn("within_limit", F.col("row_count") <= max_rows)
     )
 
 

@@ -205,12 +205,15 @@ def _named(section: str, names: list[str]) -> Column:
     return _listed(section, [(F.lit(n), F.col(n)) for n in names])
 
 
-def _ranked_cells(section: str, array: Column, label: str, value: str) -> Column:
-    return F.transform(array, lambda x: _line(section, -x[value], x[label], x[value]))
+def _ranked_cells(
+    section: str, array: Column, label: str, value: str, shown: Callable[[Column], Column] | None = None
+) -> Column:
+    """Lines in falling order of ``value``, which they show unless told otherwise."""
+    return F.transform(array, lambda x: _line(section, -x[value], x[label], shown(x) if shown else x[value]))
 
 
-def _ranked(section: str, rows: DataFrame, label: str, value: str) -> DataFrame:
-    line = _line(section, -F.col(value), F.col(label), F.col(value))
+def _ranked(section: str, rows: DataFrame, label: str, value: str, shown: str | None = None) -> DataFrame:
+    line = _line(section, -F.col(value), F.col(label), F.col(shown or value))
     return rows.select(line.alias("l")).select("l.*")
 
 
@@ -258,9 +261,17 @@ def section_vendors(df: DataFrame) -> Section:
 
 
 def section_contracts(df: DataFrame) -> Section:
-    out = Section(frames=[_ranked("types_by_count", contract_type_distribution(df), "instrument_type", "records")])
+    types, values = contract_type_distribution(df), ("total", "records", "mean")
+    out = Section(
+        frames=[
+            _ranked("types_by_count", types, "instrument_type", "records"),
+            _ranked("types_percentage", types, "instrument_type", "records", "percentage"),
+        ]
+    )
     if DOLLARS in df.columns:
-        out.frames.append(_ranked("types_by_dollars", contract_type_value(df), "instrument_type", "total"))
+        names = ("types_by_dollars", "types_by_dollars_records", "types_by_dollars_mean")
+        worth = contract_type_value(df)
+        out.frames += [_ranked(n, worth, "instrument_type", "total", v) for n, v in zip(names, values)]
     return out
 
 
@@ -268,11 +279,20 @@ def section_small_business(df: DataFrame) -> Section:
     if not _flags(df):
         return Section()
     with_values = F.filter("flags", lambda x: x["present"] > 0)
-    out = Section([_ranked_cells("flag_participation", with_values, "business_type", "true_count")])
+    share = lambda x: _percent(x["true_count"], x["present"])
+    out = Section(
+        [
+            _ranked_cells("flag_participation", with_values, "business_type", "true_count"),
+            _ranked_cells("flag_percentage", with_values, "business_type", "true_count", share),
+        ]
+    )
     if DOLLARS in df.columns:
-        out.from_facts.append(
-            _ranked_cells("flag_dollars", F.slice("flags", 1, 3), "business_type", "dollars")
-        )
+        first = F.slice("flags", 1, 3)
+        worth = lambda x: F.when(F.col("total") > 0, _percent(x["dollars"], F.col("total"))).otherwise(0.0)
+        out.from_facts += [
+            _ranked_cells("flag_dollars", first, "business_type", "dollars"),
+            _ranked_cells("flag_dollars_percentage", first, "business_type", "dollars", worth),
+        ]
     return out
 
 
@@ -281,6 +301,10 @@ def section_quality(df: DataFrame) -> Section:
     return Section(
         [
             _ranked_cells("missing_data", missing, "column_name", "null_count"),
+            _ranked_cells(
+                "missing_percentage", missing, "column_name", "null_count",
+                lambda x: _percent(x["null_count"], F.col("total_records")),
+            ),
             _named("completeness", ["completeness"]),
         ]
     )

@@ -12,7 +12,7 @@ from ..config import EngineConfig
 from ..functions import casts
 from ..schema import q
 from .conform import missing_columns
-from .filters import keep_predicate
+from .filters import keep_predicate, mark_listed
 
 # Message formats of the issue log.
 REQUIRED_MESSAGE = "Required field '%s' has %s null values"
@@ -21,6 +21,8 @@ FLOOR_MESSAGE = "Found %s records below minimum dollar threshold"
 FILTER_MESSAGE = "Applied filters: %s -> %s rows"
 DATE_MESSAGE = "Column '%s': %s invalid dates converted to null"
 NUMERIC_MESSAGE = "Column '%s': %s invalid numeric values converted to null"
+MISSING_MESSAGE = "Missing column: %s -> %s"
+NOTHING_MESSAGE = "No required columns found in dataset"
 DUPLICATE_MESSAGE = "Removed %s duplicate rows"
 # Message of our own for the ceiling rule, which has no published wording.
 CEILING_MESSAGE = "Found %s records above maximum dollar threshold"
@@ -105,6 +107,7 @@ def issue_log(
     typing happens after filtering. ``absent`` lists missing columns as given by
     :func:`~awardloom.operators.conform.missing_columns`; their issues carry no count.
     """
+    df = mark_listed(df, filters)
     keep = keep_predicate(df.columns, filters)
     aggs: list[Column] = [F.count("*").alias("n0"), F.count_if(keep).alias("n1")]
     makers: list[tuple[Column, Column]] = []  # (emit when, issue)
@@ -143,7 +146,7 @@ def issue_log(
             counted("WARNING", "numerics", NUMERIC_MESSAGE, keep & lost_number(name), name)
 
     missing = [
-        _issue(i, severity, "missing_column", F.lit(f"Missing column: {src} -> {dst}"), F.lit(None))
+        _issue(i, severity, "missing_column", F.lit(MISSING_MESSAGE % (src, dst)), F.lit(None))
         for i, (src, dst, severity) in enumerate(absent)
     ]
     found = [F.when(emit, issue) for emit, issue in makers]

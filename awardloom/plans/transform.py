@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..config import EngineConfig
 from ..operators import conform, dedup, filters, profile, reports, validate
 from ..operators.dedup import union_all
+from ..session import stored
 from ..sources import landing, sinks
 
 BOOKKEEPING = (landing.SOURCE_FILE, landing.ROW_ORDER)
@@ -38,8 +39,8 @@ def prepare(
         absent = conform.missing_columns(g.columns, cfg)
         conformed = conform.conform(g, cfg, keep=BOOKKEEPING)
         if not conform.has_known_column(g.columns, cfg):
-            missing = [(m[2], "missing_column", f"Missing column: {m[0]} -> {m[1]}") for m in absent]
-            issues.append(_file_issues(g, [*missing, ("ERROR", "load", "No required columns found in dataset")]))
+            missing = [(m[2], "missing_column", validate.MISSING_MESSAGE % m[:2]) for m in absent]
+            issues.append(_file_issues(g, [*missing, ("ERROR", "load", validate.NOTHING_MESSAGE)]))
         else:
             issues.append(validate.issue_log(conformed, cfg, wanted, landing.SOURCE_FILE, absent))
         rows.append(conform.clean(filters.apply_filters(conformed, wanted), cfg))
@@ -78,30 +79,41 @@ def process_landing(
     run_id: str,
     cfg: EngineConfig | None = None,
     custom_filters: Mapping[str, Any] | None = None,
+    approx_distinct: bool = False,
     **scan_options,
 ) -> Outcome:
-    """Full transform. Profiles and counts read the written table, not the transform again."""
+    """Full transform. Profiles and counts read the written table, not the transform again.
+
+    A CSV result is exported from a stored Parquet table, which is what the profiles read. Where no file is
+    readable, or no row is left, the issues are written all the same.
+    """
     cfg = cfg or EngineConfig()
     found = landing.scan_landing(spark, root, **scan_options)
+    report = f"{out_dir.rstrip('/')}/quality_report_{run_id}"
     if not found.groups:
-        return Outcome(None, None)
+        found.issues.write.json(f"{report}/issues")
+        return Outcome(None, report)
     prepared = prepare(found.groups, cfg, custom_filters)
-    path = sinks.write_run_table(
-        awards_of(prepared.rows, cfg), out_dir, "awards", run_id, cfg.output_format, guard=prepared.rows
-    )
+    issues = stored(union_all([found.issues, prepared.issues]), "issues")
+    rows_before = F.count("*").alias("rows_before")
+    awards = awards_of(prepared.rows, cfg)
+    if cfg.output_format != "parquet":
+        awards = stored(awards, "awards")
+    path = sinks.write_run_table(awards, out_dir, "awards", run_id, cfg.output_format, guard=prepared.rows)
     if path is None:
-        return Outcome(None, None)
-    awards = landing.read_processed(spark, path)
-    before = prepared.rows.agg(F.count("*").alias("rows_before"))
+        issues.write.json(f"{report}/issues")
+        return Outcome(None, report)
+    if cfg.output_format == "parquet":
+        awards = landing.read_processed(spark, path)
+    before = prepared.rows.agg(rows_before)
     removed = before.withColumn("rows_after", awards.agg(F.count("*").alias("n")).scalar()).withColumn(
         "rows_removed", F.col("rows_before") - F.col("rows_after")
     )
-    issues = union_all([found.issues, prepared.issues, validate.duplicate_issue(removed)])
-    report = sinks.write_quality_report(
-        profile.column_profiles(awards),
-        issues,
+    sinks.write_quality_report(
+        profile.column_profiles(awards, approx_distinct),
+        union_all([issues, validate.duplicate_issue(removed)]),
         profile.summary_stats(awards),
-        f"{out_dir.rstrip('/')}/quality_report_{run_id}",
+        report,
     )
     return Outcome(path, report)
 

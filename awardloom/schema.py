@@ -60,7 +60,6 @@ TEXT_COLUMNS = (
 REQUIRED_FIELDS = ("PIID", "Fiscal Year", "Legal Business Name")
 FISCAL_YEAR_LIMITS = (1990, 2030)
 MIN_DOLLARS_LIMIT = -999999999
-MAX_DOLLARS_LIMIT = 999999999999
 
 AWARD_KEYS = ("PIID", "Modification Number", "Date Signed")
 SEARCH_KEYS = ("Award ID", "Start Date", "End Date", "Last Modified Date")

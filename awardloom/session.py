@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,3 +30,18 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write to the shared folder and read back, so that later steps neither repeat nor depend on its tasks."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file through Hadoop's file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
+    out.write(text.encode())
+    out.close()

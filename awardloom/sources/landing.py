@@ -9,13 +9,14 @@ from __future__ import annotations
 import csv
 import io
 import logging
+import re
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +38,8 @@ FILE_SCHEMA = "path string, format string, size bigint"
 PROBE_SCHEMA = FILE_SCHEMA + ", readable boolean, error string, columns array<string>, types array<string>"
 
 SOURCE_FILE = "source_file"
+# A file with a row longer than its header is refused, as a whole.
+RAGGED = "expected %s fields, saw %s"
 ROW_ORDER = "row_order"
 
 
@@ -48,19 +51,35 @@ def format_of(path: str) -> str:
     return suffix
 
 
+def one_form(path: Column) -> Column:
+    """A path as the listing writes it: decoded, with one slash after ``file:``."""
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^file:/+", "file:/")
+
+
+def file_path() -> Column:
+    """Path of the file a scanned row comes from; Spark reports it percent-encoded."""
+    return one_form(F.col("_metadata.file_path"))
+
+
+def literal(path: str) -> str:
+    """A path that a reader takes as it is, although readers take patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def list_files(spark: SparkSession, root: str, formats: Sequence[str] = FORMATS) -> DataFrame:
     """Files below ``root`` (path, format, size) from the file system's own recursive listing.
 
-    A scan would not do: Spark skips empty files. Only metadata passes through the driver.
+    A scan would not do: Spark skips empty files. The driver holds the path and size of every file.
     """
     jvm = spark.sparkContext._jvm
     top = jvm.org.apache.hadoop.fs.Path(root)
     fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    base = fs.makeQualified(top).toString().rstrip("/") + "/"
+    base = re.sub("^file:/+", "file:/", fs.makeQualified(top).toString()).rstrip("/") + "/"
     found, it = [], fs.listFiles(top, True)
     while it.hasNext():
         status = it.next()
-        path = status.getPath().toString()
+        path = re.sub("^file:/+", "file:/", status.getPath().toString())
         parts = path[len(base):].split("/")
         suffix = path.rsplit(".", 1)[-1].lower()
         if suffix in formats and not any(p.startswith(("_", ".")) for p in parts):
@@ -109,7 +128,7 @@ def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 columns, types = _read_layout(*place, fmt)
                 rows.append((path, fmt, size, True, None, columns, types))
             except Exception as e:  # any unreadable file is an issue row, never a failed run
-                rows.append((path, fmt, size, False, str(e)[:500], [], []))
+                rows.append((path, fmt, size, False, str(e), [], []))
         yield pd.DataFrame(
             rows, columns=["path", "format", "size", "readable", "error", "columns", "types"]
         )
@@ -133,16 +152,41 @@ def load_issues(probed: DataFrame) -> DataFrame:
     )
 
 
-def _files_with_line_breaks(spark: SparkSession, paths: Sequence[str]) -> set[str]:
-    """Files where some line has an odd number of quotes, i.e. a quoted field spans lines."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+def _odd_files(spark: SparkSession, paths: Sequence[str], fields: int, sep: str) -> tuple[set[str], dict[str, int]]:
+    """One splittable pass over the text: files with a quoted field that spans lines (some line has an odd
+    number of quotes), and files with a row of more than ``fields`` cells, with the most it has.
+
+    Only such files reach the driver.
+    """
+    value = F.col("value")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    bare = F.regexp_replace(value, '"[^"]*"', "")
+    cells = F.when(quotes % 2 == 0, F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1)
     odd = (
-        spark.read.text(list(paths))
-        .filter(quotes % 2 == 1)
-        .select(F.col("_metadata.file_path").alias("path"))
-        .distinct()
+        spark.read.text([literal(p) for p in paths])
+        .groupBy(file_path().alias("path"))
+        .agg(F.max(quotes % 2).alias("broken"), F.max(cells).alias("cells"))
+        .filter((F.col("broken") == 1) | (F.col("cells") > fields))
+        .collect()
+    )
+    broken = {r.path for r in odd if r.broken}
+    longest = {r.path: r.cells for r in odd if r.path not in broken}
+    if broken:  # their cells show only in a full parse
+        rows = _positional(spark, sorted(broken), fields, sep, True)
+        surplus = rows.filter(F.col(f"c{fields}").isNotNull()).select(file_path().alias("path")).distinct().collect()
+        longest |= {r.path: fields + 1 for r in surplus}
+    return broken, longest
+
+
+def _positional(spark: SparkSession, paths: str | Sequence[str], fields: int, sep: str, multi_line: bool) -> DataFrame:
+    """Cells by position, c0 and so on, and one column more, which holds a cell beyond the header if there is one."""
+    names = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(fields + 1)])
+    return (
+        spark.read.schema(names)
+        # An empty cell stays apart from an absent one.
+        .options(header=True, enforceSchema=True, sep=sep, quote='"', escape='"', multiLine=multi_line, nullValue="\0", emptyValue="")
+        .csv(paths if isinstance(paths, str) else [literal(p) for p in paths])
     )
-    return {r.path for r in odd.collect()}
 
 
 def read_delimited(
@@ -154,21 +198,16 @@ def read_delimited(
     wins) and names differing only in case do no harm. ``source_file`` and ``row_order`` keep
     where each row came from.
     """
-    positional = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-    rows = (
-        spark.read.schema(positional)
-        .options(header=True, enforceSchema=True, sep=sep, quote='"', escape='"', multiLine=multi_line)
-        .csv(paths if isinstance(paths, str) else list(paths))
-    )
+    rows = _positional(spark, paths, len(header), sep, multi_line)
     first = {}
     for i, name in enumerate(header):
         first.setdefault(name, i)
     return rows.select(
         *[null_if_token(F.col(f"c{i}")).alias(name) for name, i in first.items()],
-        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        file_path().alias(SOURCE_FILE),
         # Inside one file block the generated id grows with the line, so this is file order.
         F.struct(
-            F.col("_metadata.file_path").alias("file"),
+            file_path().alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line"),
         ).alias(ROW_ORDER),
@@ -181,12 +220,12 @@ def read_columnar(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     Files without a valid footer were set aside by the probe. Damage further inside fails the job:
     skipping it would lose rows without a trace.
     """
-    rows = spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+    rows = spark.read.parquet(*([paths] if isinstance(paths, str) else [literal(p) for p in paths]))
     return rows.select(
         *[q(c) for c in rows.columns],
-        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        file_path().alias(SOURCE_FILE),
         F.struct(
-            F.col("_metadata.file_path").alias("file"),
+            file_path().alias("file"),
             F.lit(0).cast("bigint").alias("block"),
             F.col("_metadata.row_index").alias("line"),
         ).alias(ROW_ORDER),
@@ -211,28 +250,45 @@ def scan_landing(
     formats: Sequence[str] = FORMATS,
     multi_line: bool | str = "auto",
 ) -> Landing:
-    """Read every landed file below ``root``, grouped by layout.
+    """Read every landed file below ``root``, grouped by layout; see ``scan_files``."""
+    return scan_files(spark, list_files(spark, root, formats), formats, multi_line)
+
+
+def scan_files(
+    spark: SparkSession, files: DataFrame, formats: Sequence[str] = FORMATS, multi_line: bool | str = "auto"
+) -> Landing:
+    """Read listed files (path, format, size), grouped by layout.
 
     Quoted fields may hold line breaks, and such a file cannot be split into blocks. With
     ``multi_line="auto"`` one splittable pass over the text finds the files that need it and only
-    those are read unsplit; pass False where the landing is known to be free of line breaks.
+    those are read unsplit; pass False where the landing is known to be free of line breaks. A file with a
+    row longer than its header is refused whole and listed as unreadable.
     """
-    probed = probe_files(list_files(spark, root, formats))
+    probed = probe_files(files)
     layouts: dict[tuple, list[str]] = {}
-    for r in probed.filter("readable").select("path", "format", "columns", "types").collect():
-        layouts.setdefault((r.format, tuple(r.columns), tuple(r.types)), []).append(r.path)
+    for r in probed.filter("readable").groupBy("format", "columns", "types").agg(F.collect_list("path").alias("paths")).collect():
+        layouts[r.format, tuple(r.columns), tuple(r.types)] = sorted(r.paths)
 
-    groups = []
-    for (fmt, columns, _types), paths in layouts.items():
+    groups, refused = [], []
+    for (fmt, columns, _types), paths in sorted(layouts.items(), key=lambda x: (formats.index(x[0][0]), x[1])):
         if fmt == "parquet":
             groups.append(read_columnar(spark, paths))
             continue
-        broken = _files_with_line_breaks(spark, paths) if multi_line == "auto" else set()
+        sep = SEPARATORS[fmt]
+        broken, longest = _odd_files(spark, paths, len(columns), sep) if multi_line != False else (set(), {})  # noqa: E712
+        refused += [(p, RAGGED % (len(columns), n)) for p, n in longest.items()]
+        paths = [p for p in paths if p not in longest]
         whole = paths if multi_line is True else [p for p in paths if p in broken]
         split = [] if multi_line is True else [p for p in paths if p not in broken]
         for some, multi in ((split, False), (whole, True)):
             if some:
-                groups.append(read_delimited(spark, some, columns, SEPARATORS[fmt], multi))
+                groups.append(read_delimited(spark, some, columns, sep, multi))
+    if refused:
+        why = spark.createDataFrame(refused, "path string, ragged string")
+        rest = [c for c in probed.columns if c not in ("readable", "error")]
+        probed = probed.join(F.broadcast(why), "path", "left").select(  # one row a refused file
+            *rest, (F.col("readable") & F.col("ragged").isNull()).alias("readable"), F.coalesce("ragged", "error").alias("error")
+        )
     return Landing(groups, probed)
 
 
@@ -254,23 +310,26 @@ def inventory(landing: Landing) -> DataFrame:
     )
     if counts is None:
         return files.withColumn("row_count", F.lit(None).cast("bigint"))
-    # One listed path may be written file:/a or file:///a depending on who reports it.
-    same = F.regexp_replace("path", "^file:/+", "file:/") == F.regexp_replace(SOURCE_FILE, "^file:/+", "file:/")
-    joined = files.join(counts, same, "left").drop(SOURCE_FILE)
+    joined = files.join(counts, F.col("path") == F.col(SOURCE_FILE), "left").drop(SOURCE_FILE)
     return joined.withColumn(
         "row_count", F.when(F.col("readable"), F.coalesce("row_count", F.lit(0)))
     )
 
 
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
-    """Processed award table for analysis: Parquet, or CSV under the declared types."""
+    """Processed award table for analysis: Parquet, or CSV under the declared types.
+
+    Part files with line breaks in a field are read unsplit, as in a landing.
+    """
     from ..schema import AWARD_SCHEMA
 
     fmt = format_of(path)
     if fmt == "parquet":
         return spark.read.parquet(path)
-    return (
-        spark.read.schema(AWARD_SCHEMA)
-        .options(header=True, enforceSchema=False, sep=SEPARATORS[fmt], quote='"', escape='"')
-        .csv(path)
-    )
+    sep = SEPARATORS[fmt]
+    parts = [r.path for r in list_files(spark, path, (fmt,)).select("path").collect()]
+    broken, _ = _odd_files(spark, parts, len(AWARD_SCHEMA), sep) if parts else (set(), {})
+    reader = spark.read.schema(AWARD_SCHEMA).options(header=True, enforceSchema=False, sep=sep, quote='"', escape='"')
+    split = reader.csv([literal(p) for p in parts if p not in broken]) if len(broken) < len(parts) or not parts else None
+    whole = reader.options(multiLine=True).csv([literal(p) for p in sorted(broken)]) if broken else None
+    return split.unionByName(whole) if split is not None and whole is not None else split if whole is None else whole

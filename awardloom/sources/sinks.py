@@ -56,13 +56,15 @@ def write_run_table(
 
 def landing_to_parquet(
     spark: SparkSession, root: str, out: str, formats: Sequence[str] = ("csv", "tsv"), **scan_options
-) -> str:
-    """Landed text files to one Parquet table, originals kept.
+) -> str | None:
+    """Landed text files to one Parquet table, originals kept; the files that can't be read are listed as
+    issues in a table beside it (``<out>_issues``). Without a readable file there is no table.
 
     Duplicates by search key go per file, as each file is converted on its own; files without any
     of those keys pass through. Rows keep their source file and order for later steps.
     """
     found = landing.scan_landing(spark, root, formats, **scan_options)
+    found.issues.write.json(f"{out}_issues")
     parts = []
     for g in found.groups:
         keys = [k for k in SEARCH_KEYS if k in g.columns]
@@ -71,7 +73,7 @@ def landing_to_parquet(
         parts.append(g)
     if not parts:
         log.warning("no readable file below %s", root)
-        return out
+        return None
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part, allowMissingColumns=True)

@@ -5,6 +5,8 @@ Each text is plain SQL that Spark and the checking engine both run; :func:`ansi`
 
 from __future__ import annotations
 
+import datetime as dt
+
 AWARDS_RAW = """
 SELECT
   CASE WHEN l.l_partkey % 101 = 0 THEN 'FY??'
@@ -122,3 +124,14 @@ STEP_NAMES = ("data_download", "data_processing", "analysis", "cleanup")
 def ansi(sql: str) -> str:
     """Same text with double-quoted names."""
     return sql.replace("`", '"').strip()
+
+
+def _quarters(first_year: int, last_year: int) -> list[tuple[str, dt.date, dt.date]]:
+    """Fiscal quarters, October to September."""
+    starts = [dt.date(y, m, 1) for y in range(first_year, last_year + 1) for m in (1, 4, 7, 10)]
+    named = [(f"FY{d.year + (d.month == 10)} Q{(d.month + 2) // 3 % 4 + 1}", d) for d in starts]
+    return [(name, d, end - dt.timedelta(days=1)) for (name, d), end in zip(named, starts[1:])]
+
+
+# Fiscal quarters over the span of the orders, and some after its end.
+PERIODS = _quarters(1992, 2002)

@@ -110,6 +110,16 @@ FROM awards_raw"""
 for _name in ("scan_csv_roundtrip", "scan_tsv_roundtrip", "landing_to_parquet"):
     register(_name, ROUND_TRIP, RAW)
 register("scan_parquet_roundtrip", "SELECT * EXCLUDE (source_file, row_order), row_order AS row_key FROM awards_raw", RAW)
+# The landing of odd files: keys of their own, line breaks and quotes in text. Text files lose two spellings of "missing".
+HOSTILE = """hostile AS (SELECT * REPLACE (
+  'PIID-' || row_order AS award_id_piid,
+  transaction_description || CASE modification_number WHEN '2' THEN chr(10) || 'second "line", end' WHEN '3' THEN ' 5" pipe' ELSE '' END AS transaction_description,
+  CASE WHEN modification_number = '5' OR federal_action_obligation NOT IN ('N/A', 'nan') THEN federal_action_obligation END AS federal_action_obligation
+) FROM awards_raw)"""
+HOSTILE_CLEANED = CLEANED.replace(RAW, f"{RAW}, {HOSTILE}", 1).replace("row_order FROM awards_raw)", "row_order FROM hostile)", 1)
+for _name in ("process_landing_run", "process_landing_csv"):
+    register(_name, f'SELECT * EXCLUDE (source_file, row_order, "Dollars Obligated", "{BASE}"), {AS_DOUBLE} FROM cleaned', HOSTILE_CLEANED)
+register("awards_stream", f'SELECT * EXCLUDE (source_file, row_order, "Dollars Obligated", "{BASE}"), {AS_DOUBLE} FROM cleaned', CLEANED)
 register(
     "landed_file_inventory",
     """
@@ -380,6 +390,26 @@ WHERE n > 0"""
 )
 register("issue_log", "SELECT * FROM issues", CONFORMED, ISSUES)
 
+# Under the default settings, with the rows of one file landed twice.
+_landed = [
+    ("WARNING", "required", f'"{c}" IS NULL') for c in ("PIID", "Fiscal Year", "Legal Business Name")
+] + [
+    ("WARNING", "fiscal_year", YEAR_OUT.replace("1996", "1990").replace("2000", "2030")),
+    ("INFO", "min_dollars", f"{DOLLARS} < -999999999"),
+]
+_landed += [("WARNING", "dates", f'TRY_CAST("{c}" AS DATE) IS NULL AND "{c}" IS NOT NULL') for c in DATES]
+_landed += [("WARNING", "numerics", lost(c)) for c in NUMBERS]
+register(
+    "process_landing_issues",
+    "SELECT severity, rule, CAST(sum(n) AS BIGINT) AS records, 0 AS files FROM ("
+    + " UNION ALL ".join(f"SELECT '{s}' AS severity, '{r}' AS rule, count(*) FILTER (WHERE {c}) AS n FROM twice" for s, r, c in _landed)
+    + ") WHERE n > 0 GROUP BY ALL"
+    + " UNION ALL SELECT 'ERROR', 'load', NULL, 4"
+    + " UNION ALL SELECT 'INFO', 'duplicates', count(*), 0 FROM hostile WHERE modification_number = '7'",
+    CONFORMED.replace(RAW, f"{RAW}, {HOSTILE}", 1).replace("row_order FROM awards_raw)", "row_order FROM hostile)", 1),
+    'twice AS (SELECT * FROM conformed UNION ALL SELECT * FROM conformed WHERE "Modification Number" = \'7\')',
+)
+
 # -- union and dedup ----------------------------------------------------------
 
 register(
@@ -572,12 +602,18 @@ register(
             ranked("agencies_by_count", top_count(AGENCY, 10), "name", "records"),
             ranked("agencies_by_dollars", top_dollars(AGENCY, 10), "name", "dollars"),
             ranked("types_by_count", TYPES, "instrument_type", "records"),
+            line("types_percentage", TYPES, "instrument_type", "percentage", "-records"),
             ranked("types_by_dollars", TYPE_VALUES, "instrument_type", "total"),
+            line("types_by_dollars_records", TYPE_VALUES, "instrument_type", "records", "-total"),
+            line("types_by_dollars_mean", TYPE_VALUES, "instrument_type", "mean", "-total"),
             ranked("flag_participation", PARTICIPATION, "business_type", "true_count"),
+            line("flag_percentage", PARTICIPATION, "business_type", "percentage", "-true_count"),
             ranked("flag_dollars", FLAG_DOLLARS, "business_type", "dollars"),
+            line("flag_dollars_percentage", FLAG_DOLLARS, "business_type", "percentage", "-dollars"),
             ranked("vendors_by_count", top_count(VENDOR, 10), "name", "records"),
             ranked("vendors_by_dollars", top_dollars(VENDOR, 10), "name", "dollars"),
             ranked("missing_data", MISSING, "column_name", "null_count"),
+            line("missing_percentage", MISSING, "column_name", "null_percentage", "-null_count"),
             line("completeness", COMPLETENESS, "'completeness'", "completeness", "1"),
         ]
     ),
@@ -632,12 +668,13 @@ FROM ({WINDOW_SQL.format(n=7)}) w, (SELECT DISTINCT award_group FROM award_group
 register(
     "split_ranges",
     """
-SELECT s AS range_start, e AS range_end, n AS row_count, CAST(e - s + 1 AS INTEGER) AS days, n <= 170 AS within_limit
+SELECT DISTINCT s AS range_start, e AS range_end, n AS row_count, CAST(e - s + 1 AS INTEGER) AS days, n <= 170 AS within_limit
 FROM sized WHERE NOT (n > 170 AND e - s + 1 > 7)""",
     f"RECURSIVE {SPAN}",
     "daily AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1)",
     f"""sized(s, e, n) AS (
-  SELECT s, e, (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM daily WHERE d BETWEEN s AND e) FROM ({WINDOW_SQL.format(n=28)})
+  SELECT s, e, (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM daily WHERE d BETWEEN s AND e)
+  FROM ({' UNION '.join('SELECT s, e FROM (' + WINDOW_SQL.format(n=n) + ')' for n in (3, 28, 92, 400))})
   UNION ALL
   SELECT h.s, h.e, (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM daily WHERE d BETWEEN h.s AND h.e)
   FROM (SELECT unnest([{{'s': s, 'e': s + CAST((e - s) // 2 AS INTEGER)}}, {{'s': s + CAST((e - s) // 2 + 1 AS INTEGER), 'e': e}}]) AS h
@@ -655,11 +692,9 @@ WHERE action_date BETWEEN DATE '1995-01-01' AND DATE '2001-08-01' GROUP BY ALL""
 )
 register(
     "period_availability",
-    """
+    f"""
 SELECT p.period, p.range_start, p.range_end, count(x.order_key) AS row_count, count(x.order_key) > 0 AS has_data
-FROM (VALUES ('September 1995', DATE '1995-09-01', DATE '1995-09-30'), ('August 1998', DATE '1998-08-01', DATE '1998-08-31'),
-  ('July 2001', DATE '2001-07-01', DATE '2001-07-31'), ('August 2001 (partial)', DATE '2001-08-01', DATE '2001-08-15'),
-  ('September 2025 (future)', DATE '2025-09-01', DATE '2025-09-30')) p(period, range_start, range_end)
+FROM (VALUES {', '.join(f"('{n}', DATE '{a}', DATE '{b}')" for n, a, b in bindings.PERIODS)}) p(period, range_start, range_end)
 LEFT JOIN awards_predicate x ON x.action_date BETWEEN p.range_start AND p.range_end AND x.award_type_code IN ('A', 'B', 'C', 'D')
 GROUP BY ALL""",
     PREDICATE,

@@ -14,7 +14,7 @@ from ..functions import casts, dates, text
 from ..operators import conform, dedup, filters, monitor, planning, profile, reports, validate
 from ..plans import incremental, transform
 from ..schema import AWARD_KEYS, AWARD_TYPE_GROUPS, BOOLEAN_COLUMNS, DATE_COLUMNS, TEXT_COLUMNS, q
-from ..session import fresh_dir
+from ..session import fresh_dir, put_text
 from ..sources import documents, landing, sinks
 from ..streaming import pages as pages_stream
 from . import bindings
@@ -38,16 +38,9 @@ FILTERS = {
 }
 LIGHT_FILTERS = {k: FILTERS[k] for k in ("fiscal_year_range", "min_dollars_obligated")}
 KEEP = ("source_file", "row_order")
-PERIODS = [
-    ("September 1995", dt.date(1995, 9, 1), dt.date(1995, 9, 30)),
-    ("August 1998", dt.date(1998, 8, 1), dt.date(1998, 8, 31)),
-    ("July 2001", dt.date(2001, 7, 1), dt.date(2001, 7, 31)),
-    ("August 2001 (partial)", dt.date(2001, 8, 1), dt.date(2001, 8, 15)),
-    ("September 2025 (future)", dt.date(2025, 9, 1), dt.date(2025, 9, 30)),
-]
 SPECS = ["ASIA", "funding:EUROPE", "NATION_3|AMERICA", " Funding: NATION_7 | AFRICA "]
 SHARD_GROUPS = ["contracts", "loans", "no_such_group"]
-SPLIT_WINDOW, SPLIT_ROWS, SPLIT_ROUNDS = 28, 170, 2
+SPLIT_WINDOWS, SPLIT_ROWS = (3, 28, 92, 400), 170
 
 
 def query(fn: Query) -> Query:
@@ -129,6 +122,70 @@ def landing_to_parquet(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).drop(*landing_keys())
 
 
+def hostile_landing(spark: SparkSession, sf: str) -> str:
+    """A landing as they come: odd file names, two column orders, a typed Parquet file beside text, line breaks
+    and quotes in text, rows landed twice, and files that are empty, ragged, foreign or no files of their kind.
+
+    Every award has a key of its own, so rows landed twice are the only duplicates.
+    """
+
+    def write(path: str) -> None:
+        text, mod = F.col("transaction_description"), F.col("modification_number")
+        raw = S.awards_raw(spark, sf).withColumn("award_id_piid", F.concat(F.lit("PIID-"), "row_order"))
+        raw = raw.withColumn(
+            "transaction_description",
+            F.when(mod == "2", F.concat(text, F.lit('\nsecond "line", end'))).when(mod == "3", F.concat(text, F.lit(' 5" pipe'))).otherwise(text),
+        )
+        columns = _source_columns(raw)
+        part = lambda *mods: raw.filter(mod.isin(*mods)).select(*columns)
+        sinks.write_table(part("1", "2"), f"{path}/low [0]", "csv")
+        sinks.write_table(part("3", "4").select(*reversed(columns)), f"{path}/high 50%25 off", "csv")
+        sinks.write_table(part("6", "7"), f"{path}/with space (1)", "csv")
+        sinks.write_table(part("7"), f"{path}/{{again}}", "csv")
+        sinks.write_table(part("5").withColumn("modification_number", F.lit(5).cast("bigint")), f"{path}/typed+", "parquet")
+        head = ",".join(columns)
+        for name, content in {
+            "empty.csv": "", "header only.csv": head + "\n", "ragged.csv": head + "\n" + "," * len(columns) + "\n",
+            "other.csv": "x,y\n1,2\n", "broken [1].parquet": "this is not parquet",
+        }.items():
+            put_text(spark, f"{path}/odd/{name}", content)
+
+    return S.staged(spark, sf, "landed_hostile", write)
+
+
+def _hostile_run(spark: SparkSession, sf: str, fmt: str) -> transform.Outcome:
+    cfg = EngineConfig(output_format=fmt)
+    return transform.process_landing(spark, hostile_landing(spark, sf), fresh_dir(spark, "processed"), "run", cfg)
+
+
+@query
+def process_landing_run(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(landing.read_processed(spark, _hostile_run(spark, sf, "parquet").awards_path))
+
+
+@query
+def process_landing_csv(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(landing.read_processed(spark, _hostile_run(spark, sf, "csv").awards_path))
+
+
+@query
+def process_landing_issues(spark: SparkSession, sf: str) -> DataFrame:
+    """Records by rule, and the files that could not be used."""
+    report = _hostile_run(spark, sf, "parquet").report_path
+    issues = spark.read.schema("severity string, rule string, issue_count bigint").json(f"{report}/issues")
+    return issues.filter("rule <> 'missing_column'").groupBy("severity", "rule").agg(
+        F.sum("issue_count").alias("records"), F.count_if(F.col("rule") == "load").alias("files")
+    )
+
+
+@query
+def awards_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of two column orders, taken in one at a time."""
+    out, progress = fresh_dir(spark, "awards-stream"), fresh_dir(spark, "progress")
+    rows = pages_stream.ingest_awards(spark, landed(spark, sf, "csv"), out, progress, files_per_batch=1)
+    return plain(rows.drop(*landing_keys()))
+
+
 @query
 def landed_file_inventory(spark: SparkSession, sf: str) -> DataFrame:
     files = landing.inventory(landing.scan_landing(spark, landed(spark, sf, "csv"), ("csv",), multi_line=False))
@@ -502,10 +559,11 @@ def plan_shards(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def split_ranges(spark: SparkSession, sf: str) -> DataFrame:
     daily = planning.daily_counts(S.table(spark, sf, "orders"), "o_orderdate")
-    whole = planning.windows(_order_span(spark, sf), SPLIT_WINDOW).select(
+    # Ranges of mixed length, which overlap.
+    whole = dedup.union_all([planning.windows(_order_span(spark, sf), days) for days in SPLIT_WINDOWS]).select(
         F.col("shard_start").alias("range_start"), F.col("shard_end").alias("range_end")
     )
-    return planning.split_until(whole, daily, SPLIT_ROWS, SPLIT_ROUNDS)
+    return planning.split_until(whole, daily, SPLIT_ROWS)
 
 
 @query
@@ -517,7 +575,7 @@ def shard_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def period_availability(spark: SparkSession, sf: str) -> DataFrame:
     rows = S.awards_predicate(spark, sf).filter(F.col("award_type_code").isin(*filters.codes_of(["contracts"])))
-    periods = spark.createDataFrame(PERIODS, "period string, range_start date, range_end date")
+    periods = spark.createDataFrame(bindings.PERIODS, "period string, range_start date, range_end date")
     return planning.period_availability(periods, planning.daily_counts(rows, "action_date"))
 
 

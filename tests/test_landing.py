@@ -173,13 +173,15 @@ def test_whole_transform(spark, tmp_path):
 
 def test_transform_without_rows(spark, tmp_path):
     (tmp_path / "none").mkdir()
-    nothing = transform.Outcome(None, None)
-    assert transform.process_landing(spark, str(tmp_path / "none"), str(tmp_path / "o"), "r") == nothing
+    run = lambda where, name, *more: transform.process_landing(spark, str(tmp_path / where), str(tmp_path / name), "r", *more)
+    assert run("none", "o1").awards_path is None
     put(tmp_path / "in" / "c.csv", "x,y\n1,2\n")
-    assert transform.process_landing(spark, str(tmp_path / "in"), str(tmp_path / "o"), "r") == nothing
+    done = run("in", "o2")
+    assert done.awards_path is None and {r.rule for r in spark.read.json(f"{done.report_path}/issues").collect()} == {"missing_column", "load"}
     put(tmp_path / "f" / "a.csv", HEAD + "\n" + LINES[0] + "\n")
     late = {"fiscal_year_range": (2030, 2031)}
-    assert transform.process_landing(spark, str(tmp_path / "f"), str(tmp_path / "o"), "r", None, late) == nothing
+    done = run("f", "o3", None, late)
+    assert done.awards_path is None and "filters" in {r.rule for r in spark.read.json(f"{done.report_path}/issues").collect()}
 
 
 def test_processed_csv_has_declared_types(spark, tmp_path):
@@ -213,7 +215,64 @@ def test_stream_takes_each_file_once(spark, tmp_path):
 
 def test_stream_of_award_files(spark, tmp_path):
     put(tmp_path / "in" / "a.csv", HEAD + "\n" + "\n".join(LINES) + "\n")
-    got = pages.ingest_awards(
-        spark, str(tmp_path / "in"), HEAD.split(","), str(tmp_path / "out"), str(tmp_path / "progress")
-    )
+    take = lambda: pages.ingest_awards(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "progress"))
+    got = take()
     assert sorted(r["Legal Business Name"] for r in got.collect()) == ["Acme", "Beta", "Later copy"]
+    put(tmp_path / "in" / "other order" / "b [2].csv", ",".join(reversed(HEAD.split(","))) + "\n" + ",".join(reversed(LINES[0].split(","))) + "\n")
+    put(tmp_path / "in" / "c.csv", "x,y\n1,2,3\n")
+    again = take()
+    assert sorted(r["Legal Business Name"] for r in again.collect()) == ["Acme", "Acme", "Beta", "Later copy"]
+    assert {"source_file", "row_order"} <= set(again.columns)
+    assert [r.rule for r in spark.read.json(f"{tmp_path}/out_issues").collect()] == ["load"]
+    assert take().count() == 4
+
+
+def test_any_file_name_is_read_as_it_is(spark, tmp_path):
+    names = ["with space (1).csv", "a[1].csv", "50%25 off.csv", "a+b.csv", "{x,y}*.csv", "ü?.csv"]
+    for i, name in enumerate(names):
+        put(tmp_path / "deep [0]" / name, f'i,x\n{i},"one\ntwo"\n{i},plain\n')
+    rows, found = scan(spark, tmp_path)
+    assert sorted((r.i, r.x) for r in rows.collect()) == sorted((str(i), x) for i in range(len(names)) for x in ("one\ntwo", "plain"))
+    counts = {os.path.basename(r.path): r.row_count for r in landing.inventory(found).collect()}
+    assert counts == {n: 2 for n in names}
+    assert {os.path.basename(r.source_file) for r in rows.collect()} == set(names)
+
+
+def test_ragged_files_are_refused_whole(spark, tmp_path):
+    put(tmp_path / "good.csv", 'x,y\n1,"a,b"\n2\n,\n')
+    put(tmp_path / "long.csv", "x,y\n1,2\n3,4,5\n6,7\n")
+    put(tmp_path / "long and broken.csv", 'x,y\n1,"2\n2"\n3,4,5\n')
+    put(tmp_path / "trailing.csv", "x,y\n1,2,\n")
+    rows, found = scan(spark, tmp_path)
+    assert sorted((r.x or "", r.y or "") for r in rows.collect()) == [("", ""), ("1", "a,b"), ("2", "")]
+    issues = {os.path.basename(r.source_file): r.message for r in found.issues.collect()}
+    assert set(issues) == {"long.csv", "long and broken.csv", "trailing.csv"}
+    assert issues["long.csv"] == "Failed to load file long.csv: expected 2 fields, saw 3"
+
+
+def test_text_and_typed_files_share_a_landing(spark, tmp_path):
+    """Declared text stays text: 0007 from a text file, 7 from a number column."""
+    put(tmp_path / "a.csv", HEAD + "\n" + "\n".join(LINES) + "\n")
+    text, _ = scan(spark, tmp_path)
+    typed = text.drop("source_file", "row_order").limit(1)
+    key = next(c for c in typed.columns if "modification" in c)
+    typed.withColumn(key, landing.F.lit(7).cast("bigint")).write.parquet(str(tmp_path / "typed"))
+    done = transform.process_landing(spark, str(tmp_path), str(tmp_path / "out"), "r1")
+    df = landing.read_processed(spark, done.awards_path)
+    assert dict(df.dtypes)["Modification Number"] == "string" and "7" in {r["Modification Number"] for r in df.collect()}
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_line_breaks_survive_the_whole_transform(spark, tmp_path, fmt):
+    head = HEAD + ",description_of_requirement" if "description_of_requirement" not in HEAD else HEAD
+    source = next(s for s, d in EngineConfig().column_mapping.items() if d == "Description of Requirement")
+    head = HEAD if source in HEAD.split(",") else HEAD + "," + source
+    lines = [line + f',"first {i}\nsecond"' for i, line in enumerate(LINES)] if head != HEAD else LINES
+    put(tmp_path / "in" / "a.csv", head + "\n" + "\n".join(lines) + "\n")
+    done = transform.process_landing(spark, str(tmp_path / "in"), str(tmp_path / "out"), "r1", EngineConfig(output_format=fmt))
+    df = landing.read_processed(spark, done.awards_path)
+    assert df.count() == 2 and all(r["PIID"] for r in df.collect())
+    if head != HEAD:
+        assert all(r["Description of Requirement"].endswith("\nsecond") for r in df.collect())
+    profiles = {r.column_name: r for r in spark.read.json(f"{done.report_path}/profiles").collect()}
+    assert profiles["PIID"].null_count == 0

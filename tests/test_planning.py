@@ -83,7 +83,7 @@ def test_repeated_split_stops_at_limit_or_minimum(spark):
     first = D(2024, 1, 1)
     rows = [(first + (i % 28) * DAY,) for i in range(280)] + [(first,)] * 100
     daily = planning.daily_counts(spark.createDataFrame(rows, "day date"), "day")
-    got = planning.split_until(ranges(spark, [(first, first + 27 * DAY)]), daily, 100, 2).collect()
+    got = planning.split_until(ranges(spark, [(first, first + 27 * DAY)]), daily, 100).collect()
     assert sorted((r.range_start, r.days, r.row_count, r.within_limit) for r in got) == [
         (D(2024, 1, 1), 7, 170, False),
         (D(2024, 1, 8), 7, 70, True),
@@ -93,6 +93,19 @@ def test_repeated_split_stops_at_limit_or_minimum(spark):
     assert sum(r.row_count for r in got) == 380
 
 
+def test_ranges_of_any_length_are_split_to_the_limit_or_the_minimum(spark):
+    """Also from lengths that take many rounds; equal ranges count once."""
+    first = D(2024, 1, 1)
+    daily = planning.daily_counts(spark.createDataFrame([(first + (i % 400) * DAY,) for i in range(4000)], "day date"), "day")
+    whole = [(first, first + n * DAY) for n in (2, 6, 7, 91, 399)] + [(first, first + 91 * DAY)]
+    for limit in (5, 75, 200, 10**6):
+        got = planning.split_until(ranges(spark, whole), daily, limit).collect()
+        assert all(r.within_limit or r.days <= 7 for r in got)
+        assert all(r.row_count == 10 * r.days and r.within_limit == (r.row_count <= limit) for r in got)
+        assert {first + i * DAY for i in range(400)} == {r.range_start + i * DAY for r in got for i in range(r.days)}
+        assert len({(r.range_start, r.range_end) for r in got}) == len(got)
+
+
 def test_gaps(spark):
     first = D(2024, 2, 26)
     seen = [first, first + DAY, first + 4 * DAY, first + 4 * DAY, first + 9 * DAY, first - 5 * DAY]
