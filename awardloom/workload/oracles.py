@@ -397,7 +397,7 @@ _landed = [
     ("WARNING", "fiscal_year", YEAR_OUT.replace("1996", "1990").replace("2000", "2030")),
     ("INFO", "min_dollars", f"{DOLLARS} < -999999999"),
 ]
-_landed += [("WARNING", "dates", f'TRY_CAST("{c}" AS DATE) IS NULL AND "{c}" IS NOT NULL') for c in DATES]
+_landed += [("WARNING", "dates", f'TRY_CAST("{c}" AS DATE) IS NULL') for c in DATES]
 _landed += [("WARNING", "numerics", lost(c)) for c in NUMBERS]
 register(
     "process_landing_issues",
