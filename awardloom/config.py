@@ -26,6 +26,8 @@ class EngineConfig:
     max_dollars_limit: int | None = None
     dedup_keys: tuple[str, ...] = schema.AWARD_KEYS
     output_format: str = "parquet"
+    include_quality_report: bool = True
+    include_summary: bool = True
 
     @classmethod
     def from_dict(cls, raw: Mapping[str, Any] | None) -> "EngineConfig":
@@ -33,6 +35,7 @@ class EngineConfig:
         raw = raw or {}
         types = raw.get("data_types") or {}
         quality = raw.get("data_quality") or {}
+        output = raw.get("output") or {}
         rules = quality.get("validation_rules") or {}
         found = {
             "column_mapping": raw.get("column_mapping"),
@@ -47,7 +50,9 @@ class EngineConfig:
             "min_dollars_limit": rules.get("min_dollars_obligated"),
             # Configured ceilings are only applied when enforcement is asked for.
             "max_dollars_limit": rules.get("max_dollars_obligated") if rules.get("enforce_max") else None,
-            "output_format": (raw.get("output") or {}).get("format"),
+            "output_format": output.get("format"),
+            "include_quality_report": output.get("include_quality_report"),
+            "include_summary": output.get("include_summary"),
         }
         tuples = {f.name for f in fields(cls) if "tuple" in str(f.type)}
         return cls(

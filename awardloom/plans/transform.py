@@ -105,6 +105,8 @@ def process_landing(
         return Outcome(None, report)
     if cfg.output_format == "parquet":
         awards = landing.read_processed(spark, path)
+    if not cfg.include_quality_report:
+        return Outcome(path, None)
     before = prepared.rows.agg(rows_before)
     removed = before.withColumn("rows_after", awards.agg(F.count("*").alias("n")).scalar()).withColumn(
         "rows_removed", F.col("rows_before") - F.col("rows_after")
@@ -112,7 +114,7 @@ def process_landing(
     sinks.write_quality_report(
         profile.column_profiles(awards, approx_distinct),
         union_all([issues, validate.duplicate_issue(removed)]),
-        profile.summary_stats(awards),
+        profile.summary_stats(awards) if cfg.include_summary else None,
         report,
     )
     return Outcome(path, report)

@@ -96,12 +96,13 @@ def write_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> str:
     return path
 
 
-def write_quality_report(profiles: DataFrame, issues: DataFrame, summary: DataFrame, out_dir: str) -> str:
-    """Quality report as three JSON tables below one folder.
+def write_quality_report(profiles: DataFrame, issues: DataFrame, summary: DataFrame | None, out_dir: str) -> str:
+    """Quality report as JSON tables below one folder, the summary if wanted.
 
     Issues stay rows instead of one nested array, so a landing of very many files is no problem.
     """
-    summary.write.json(f"{out_dir}/summary")
+    if summary is not None:
+        summary.write.json(f"{out_dir}/summary")
     issues.write.json(f"{out_dir}/issues")
     profiles.write.json(f"{out_dir}/profiles")
     return out_dir

@@ -501,6 +501,38 @@ def dedup_minimal(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.dedup_search(S.awards_search(spark, sf), ["row_order"])
 
 
+@query
+def dedup_partial_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Duplicates by those keys of the list that the rows have."""
+    return dedup.dedup_search(S.awards_search(spark, sf).drop("Last Modified Date"), ["row_order"])
+
+
+@query
+def write_guard(spark: SparkSession, sf: str) -> DataFrame:
+    """What a run writes for each of two selections: nothing, not even a folder, where no row is left."""
+    rows, out = S.awards(spark, sf), fresh_dir(spark, "guarded")
+    found = []
+    for name, years in (("orders", "`Fiscal Year` <= 2000"), ("future", "`Fiscal Year` > 2100")):
+        path = sinks.write_run_table(rows.filter(years), out, name, "run")
+        n = spark.read.parquet(path).agg(F.count("*").alias("n")) if path else spark.range(1).select(F.lit(0).cast("bigint").alias("n"))
+        found.append(n.select(F.lit(name).alias("selection"), F.lit(path is not None).alias("written"), "n"))
+    return dedup.union_all(found)
+
+
+@query
+def ledger_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs by status after one run, still open, was appended to the ledger."""
+    path = fresh_dir(spark, "ledger")
+    S.run_ledger(spark, sf).select("run_id", "status").write.json(path)
+    step = sinks.step_entry("SUCCESS", "2024-02-01T00:00:00", {"rows": 1})
+    sinks.append_run(
+        spark, path,
+        {"run_id": "appended", "start_time": "2024-02-01T00:00:00", "status": "RUNNING", "steps": {"download": step}, "errors": [], "output_files": []},
+    )
+    runs = documents.good(documents.read_runs(spark, path))
+    return runs.groupBy("status").agg(F.count("*").alias("runs"), F.count("end_time").alias("with_end"), F.count_if(F.col("run_id") == "appended").alias("appended"))
+
+
 @query
 def dedup_accounting(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.dedup_accounting(cleaned(spark, sf), AWARD_KEYS)
