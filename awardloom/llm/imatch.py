@@ -92,11 +92,17 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def rendered(prints: Column) -> Column:
+    """A fingerprint as text, which is what travels: far smaller than the list."""
     return F.array_join(prints, ".", "-")
 
 
+def hashes(text: Column) -> Column:
+    """The list of hashes of a rendered fingerprint."""
+    return F.transform(F.split(text, "\\."), lambda x: F.nullif(x, F.lit("-")))
+
+
 def successors(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """k, h, n_chars, next_k, next_h: the next document in descending id order (nulls last, ties by h), the first
+    """doc_id, k, h, n_chars, next_k, next_h: the next document in descending id order (nulls last, ties by h), the first
     after the last.
 
     Ids alone are sorted, over range partitions; only one row a partition meets in one place.
@@ -112,7 +118,7 @@ def successors(spark: SparkSession, docs: DataFrame) -> DataFrame:
     parts = Window.orderBy("part")  # one row a range partition
     heads = first.select("part", F.coalesce(F.lead("head").over(parts), F.first("head").over(parts)).alias("after"))
     out = linked.join(F.broadcast(heads), "part").withColumn("next", F.coalesce("next", "after"))
-    return out.select("k", "h", "n_chars", F.col("next.k").alias("next_k"), F.col("next.h").alias("next_h"))
+    return out.select("doc_id", "k", "h", "n_chars", F.col("next.k").alias("next_k"), F.col("next.h").alias("next_h"))
 
 
 def edited_texts(docs: DataFrame, order: DataFrame) -> DataFrame:
@@ -155,15 +161,14 @@ def compare_edits(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     sides = lambda c, name: kept_terms(both.select("k", "h", F.col(c).alias("text")), words).select("k", "h", fingerprint(F.col("kept")).alias(name))
     whole = facts.join(sides("text", "p"), ["k", "h"], "left").join(sides("edited", "q"), ["k", "h"], "left")
     whole = whole.select("k", "h", "n_chars", "edited_sha256", or_whole(F.col("p"), F.col("t")).alias("p"), or_whole(F.col("q"), F.col("e")).alias("q"))
+    whole = whole.select(
+        "k", "h", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", rendered(F.col("p")).alias("fingerprint"),
+        rendered(F.col("q")).alias("edited_fingerprint"), likeness(F.col("p"), F.col("q")).alias("near_edited"),
+    )
     whole = written(whole, "fingerprints")
-    other = whole.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), F.col("p").alias("other")).dropDuplicates(["next_k", "next_h"])
-    nexts = order.select("k", "h", "next_k", "next_h").join(other, ["next_k", "next_h"]).select("k", "h", "other")
-    names = table.select("doc_id", "k", "h").distinct()
-    return (
-        whole.join(nexts, ["k", "h"])
-        .join(names, ["k", "h"])
-        .select(
-            "doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", rendered(F.col("p")).alias("fingerprint"), rendered(F.col("q")).alias("edited_fingerprint"),
-            likeness(F.col("p"), F.col("q")).alias("near_edited"), likeness(F.col("p"), F.col("other")).alias("near_next"),
-        )
+    other = whole.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), F.col("fingerprint").alias("other")).dropDuplicates(["next_k", "next_h"])
+    nexts = order.select("doc_id", "k", "h", "next_k", "next_h").join(other, ["next_k", "next_h"]).select("doc_id", "k", "h", "other")
+    return whole.join(nexts, ["k", "h"]).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
+        likeness(hashes(F.col("fingerprint")), hashes(F.col("other"))).alias("near_next"),
     )
