@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import quoted, text_literal
 
@@ -34,11 +35,69 @@ def _interval(level: int) -> str:
     return f"d - pmod(d, {WIDTHS[level]}L)"
 
 
+def on_grid(data_type: T.DataType) -> bool:
+    """Whether DECIMAL(20,2) holds every value of the type."""
+    if isinstance(data_type, T.DecimalType):
+        return data_type.scale <= 2 and data_type.precision - data_type.scale <= 18
+    return isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType))
+
+
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column_name, median)`` per numeric column; null where all values are null.
 
-    ``df`` should be a stored table: it is read once per level, only the named columns of it.
+    Money and small integers are searched on the grid of hundredths, all columns at once; any other number
+    within its observed range. ``df`` should be a stored table: it is read once per level, only the named columns of it.
+    """
+    grid = [c for c in columns if on_grid(df.schema[c].dataType)]
+    found = [_grid_medians(df, grid)] if grid else []
+    rest = [(c, range_median(df, c)) for c in columns if c not in grid]
+    if rest or not found:
+        found.append(df.sparkSession.createDataFrame(rest, "column_name string, median double"))
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def range_median(df: DataFrame, column: str) -> float | None:
+    """Exact median of one numeric column of any type: its two middle values, averaged.
+
+    Each level cuts the observed range of the values that may still hold a middle rank into ``CUTS`` intervals,
+    counts them (with their least and largest value) in the map tasks, and goes on inside the one that holds
+    the rank, until that has one value only. NaN counts as missing.
     """
+    values = df.select(F.col(f"`{column}`").alias("v")).filter("v IS NOT NULL AND NOT isnan(cast(v AS double))")
+    low, high, n = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
+    if not n:
+        return None
+    middle = [_ranked_value(values, low, high, rank) for rank in sorted({(n + 1) // 2, n // 2 + 1})]
+    return sum(float(m) for m in middle) / len(middle)
+
+
+# Intervals of one level of the range search.
+CUTS = 100_000
+
+
+def _ranked_value(values: DataFrame, low, high, rank: int):
+    """The value of a rank (from 1) among the values from ``low`` to ``high``."""
+    while low != high:
+        inside = values.filter(F.col("v").between(F.lit(low), F.lit(high)))
+        width = float(high) - float(low)
+        x = F.col("v").cast("double")
+        if 0 < width < float("inf"):
+            place = F.least(F.floor((x - float(low)) / width * CUTS), F.lit(CUTS - 1))
+        else:  # wider than any double, or too close for doubles to tell apart
+            place = F.signum(x) if width else F.col("v")
+        counts = inside.groupBy(place.alias("b")).agg(F.count("v").alias("n"), F.min("v").alias("a"), F.max("v").alias("z"))
+        upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("b")))  # at most CUTS rows
+        at = upto.filter(F.col("upto") >= rank).orderBy("b").first()
+        rank -= at.upto - at.n
+        low, high = at.a, at.z
+    return low
+
+
+def _grid_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column_name, median)`` of columns on the grid of hundredths."""
     cells = ", ".join(
         f"named_struct('column_name', {text_literal(c)}, 'v', cast({quoted(c)} AS decimal(20,2)))" for c in columns
     )

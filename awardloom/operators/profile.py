@@ -14,9 +14,9 @@ from .medians import exact_medians, flag_median
 
 # Null of the right type for measures that a column's type does not have.
 ABSENT = {
-    "min": "cast(null AS decimal(20,2))",
-    "max": "cast(null AS decimal(20,2))",
-    "total": "cast(null AS decimal(30,2))",
+    "min": "cast(null AS double)",
+    "max": "cast(null AS double)",
+    "total": "cast(null AS double)",
     "total_length": "cast(null AS bigint)",
     "longest": "cast(null AS int)",
 }
@@ -89,9 +89,14 @@ def profile_distinct(df: DataFrame, approx: bool = False) -> DataFrame:
             F.count("value").alias("unique_count"), F.sum("n").alias("rows")
         )
         total = F.col("rows")
-    return counts.select(
+    shares = counts.select(
         "column_name", "unique_count", _percent(F.col("unique_count"), total).alias("unique_percentage")
     )
+    # A table without rows has no values to count, but it has columns.
+    names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column_name string")
+    return names.join(F.broadcast(shares), "column_name", "left").select(
+        "column_name", F.coalesce("unique_count", F.lit(0)).alias("unique_count"), "unique_percentage"
+    )
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -113,11 +118,14 @@ def _measures(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Measures that a column's type does not have are null. Text lengths skip nulls.
     """
     numbers, flags, texts = set(numeric_columns(df)), set(flag_columns(df)), set(text_columns(df))
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, T.FractionalType) and not isinstance(f.dataType, T.DecimalType)}
 
     def of_number(function: str):
         def make(c: str) -> str | None:
+            """Computed in the column's own type (a decimal sum is exact), then a double."""
             value = f"int({quoted(c)})" if c in flags else quoted(c)
-            return f"{function}(cast({value} AS decimal(20,2)))" if c in numbers else None
+            value = f"nullif({value}, double('NaN'))" if c in floats else value
+            return f"cast({function}({value}) AS double)" if c in numbers else None
 
         return make
 

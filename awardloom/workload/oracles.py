@@ -640,6 +640,13 @@ register(
     ),
     AWARDS,
 )
+_long = ORACLES["report_long"]
+register(
+    "report_text",
+    f"""SELECT '[' || section || '] ' || coalesce(label, '') || coalesce(': ' || format('{{:,.2f}}', value), '') AS line FROM long""",
+    AWARDS,
+    "long AS (" + _long[len("WITH " + AWARDS) :] + ")",
+)
 ALL_ISSUES = """all_issues AS (SELECT * FROM issues UNION ALL
 SELECT NULL, 2147483647, 'INFO', 'duplicates', 'Removed ' || removed || ' duplicate rows', removed
 FROM (SELECT (SELECT count(*) FROM cleaned) - (SELECT count(*) FROM awards) AS removed) WHERE removed > 0)"""

@@ -566,6 +566,13 @@ _on_awards("top_vendors_dollars", lambda df: reports.top_by_dollars(df, reports.
 _on_awards("report_long", reports.report)
 
 
+@query
+def report_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The written report, read back line by line."""
+    path = sinks.write_report_text(reports.report(S.awards(spark, sf)), fresh_dir(spark, "report"))
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 @query
 def etl_summary(spark: SparkSession, sf: str) -> DataFrame:
     issues = dedup.union_all(

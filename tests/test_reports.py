@@ -103,14 +103,15 @@ def test_report_on_empty_table(spark):
 def test_dispatch(spark):
     df = awards(spark, [(2020, None, d("5"), "b", "v", "T", True)])
     sections = {"basic": {"basic", "date_range", "fiscal_years", "dollars"}, "vendors": {"vendors_by_count", "vendors_by_dollars"},
-                "quality": {"missing_data", "completeness"}, "agency": {"agencies_by_count", "agencies_by_dollars"},
-                "contracts": {"types_by_count", "types_by_dollars"}, "small-business": {"flag_participation", "flag_dollars"}}
+                "quality": {"missing_data", "missing_percentage", "completeness"}, "agency": {"agencies_by_count", "agencies_by_dollars"},
+                "contracts": {"types_by_count", "types_percentage", "types_by_dollars", "types_by_dollars_records", "types_by_dollars_mean"},
+                "small-business": {"flag_participation", "flag_percentage", "flag_dollars", "flag_dollars_percentage"}}
     for name, want in sections.items():
         assert {r.section for r in reports.report(df, name).collect()} == want
     assert {r.section for r in reports.report(df).collect()} == set().union(*sections.values())
     lacking = df.drop("Legal Business Name", "Dollars Obligated", "Date Signed")
     assert {r.section for r in reports.report(lacking).collect()} == {
-        "basic", "fiscal_years", "agencies_by_count", "types_by_count", "flag_participation", "completeness"}
+        "basic", "fiscal_years", "agencies_by_count", "types_by_count", "types_percentage", "flag_participation", "flag_percentage", "completeness"}
     with pytest.raises(ValueError):
         reports.report(df, "charts")
 
@@ -203,3 +204,40 @@ def test_own_folder_only_on_a_local_master(spark):
     assert shared_dir(local) == local.made == shared_dir(local)
     with pytest.raises(ValueError):
         shared_dir(_Bare(spark, "yarn"))
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [0.001, 0.002, 0.0035], [1e20, -1e20, 3.5], [1e-300, 1e300, 1.0, 2.0], [-1.7e308, 1.7e308, 0.1, 0.2], [7.25], [2.0] * 5 + [3.0],
+        [0.1 + i * 1e-12 for i in range(50)], [None, float("nan"), 1.5, 2.5], [None], [],
+    ],
+)
+def test_numbers_off_the_grid_profile_exactly(spark, values):
+    import math
+
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    real = [v for v in values if v is not None and not math.isnan(v)]
+    got = profile.profile_numeric(df).first()
+    if not real:
+        assert (got.min, got.max, got.median) == (None, None, None)
+    else:
+        assert (got.min, got.max) == (min(real), max(real))
+        assert got.median == pytest.approx(statistics.median(real), rel=1e-15)
+
+
+def test_large_integers_and_fine_decimals(spark):
+    from decimal import Decimal
+
+    big = [2**62 + i for i in range(9)] + [-(2**63), 2**63 - 1]
+    fine = [Decimal("0.0001") * i for i in range(11)]
+    df = spark.createDataFrame(list(zip(big, fine)), "a bigint, b decimal(30,6)")
+    got = {r.column_name: r.median for r in medians.exact_medians(df, ["a", "b"]).collect()}
+    assert got == {"a": float(statistics.median(big)), "b": 0.0005}
+
+
+def test_profiles_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "a string, b double, c boolean, d decimal(20,2)")
+    for approx in (False, True):
+        assert {r.column_name: r.unique_count for r in profile.profile_distinct(df, approx).collect()} == dict.fromkeys("abcd", 0)
+        assert profile.column_profiles(df, approx).count() == 4
