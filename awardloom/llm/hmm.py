@@ -7,9 +7,9 @@ words of the class as one. So the state tables have a bounded size, while every
 its own count: rare words' counts are joined by Spark, as their factor of a text's likelihood is a plain sum.
 
 Documents are read once into blocks of word numbers with each block's own vocabulary. Every Baum-Welch step
-runs over the blocks where they lie, adds up each task's expected counts, and sums them over tasks by Spark; the driver
-sees one table of (symbols x states). The first steps use a share of the documents (incremental EM), the
-last ones all training documents. Training sees long texts in stretches of ``STRETCH`` words; scores are of whole texts.
+runs over all blocks where they lie, adds up each task's expected counts, and sums them over tasks by Spark; the driver
+sees one table of (symbols x states). Every step takes all training documents. Training sees long texts in
+stretches of ``STRETCH`` words; scores are of whole texts.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ from .common import prepare, words, written
 
 #: States, words with a symbol of their own (at most), classes of the other words.
 STATES, HEAD, CLASSES = 8, 32_768, 2_048
-#: Share of the training documents in each Baum-Welch step.
-SCHEDULE = (1 / 16, 1 / 16, 1 / 16, 1 / 16, 1 / 16, 1 / 16, 1.0, 1.0)
+#: Share of the training documents in each Baum-Welch step: all of them.
+SCHEDULE = (1.0,) * 8
 #: Characters and documents of a block; words that one pass of the recursions holds; words of a training stretch.
 BLOCK_CHARS, BLOCK_DOCS, PASS, STRETCH = 12_000_000, 8_192, 200_000, 512
 #: Share of the plain word distribution in every state's emissions; first probability to stay in a state.
@@ -216,14 +216,8 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         }
 
 
-def _chosen(doc_ids: np.ndarray, block: int, share: float) -> np.ndarray:
-    """Documents of an incremental step, by a hash of their place."""
-    places = np.arange(len(doc_ids), dtype=np.uint64) + np.uint64(block) * np.uint64(BLOCK_DOCS)
-    return (places * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(float) < share * 2.0**24
-
-
-def step(spark: SparkSession, table: DataFrame, model: Model, share: float) -> tuple[Model, float]:
-    """One Baum-Welch step over a share of the training documents: (new model, log likelihood under the old)."""
+def step(spark: SparkSession, table: DataFrame, model: Model) -> tuple[Model, float]:
+    """One Baum-Welch step over all training documents: (new model, log likelihood under the old)."""
     shared = spark.sparkContext.broadcast(model)
     n_symbols, n_states = model.emit.shape
 
@@ -234,9 +228,8 @@ def step(spark: SparkSession, table: DataFrame, model: Model, share: float) -> t
         for batch in batches:
             for row in _rows(batch):
                 symbols, lengths, bounds = _documents(row, model)
-                pick = _chosen(row["doc_ids"], row["block"], share) & ~row["held"].astype(bool)
                 parts = []
-                for i in np.flatnonzero(pick).tolist():
+                for i in np.flatnonzero(~row["held"].astype(bool)).tolist():
                     s = np.append(symbols[bounds[i] : bounds[i + 1]], model.end)
                     parts += [s[a : a + STRETCH] for a in range(0, len(s), STRETCH)]
                 for some in _passes(np.array([len(p) for p in parts], dtype=np.int64)) if parts else ():
@@ -260,7 +253,7 @@ def step(spark: SparkSession, table: DataFrame, model: Model, share: float) -> t
             yield pa.record_batch([pa.array([p], pa.int32()), pa.array([salt], pa.int32()), pa.array([raw], pa.binary())], names=["slice", "salt", "sums"])
 
     schema = "slice int, salt int, sums binary"
-    wanted = table.select("block", "doc_ids", "held", "lengths", "tokens", "hashes", "classes")
+    wanted = table.select("held", "lengths", "tokens", "hashes", "classes")
     partial = wanted.mapInArrow(run, schema).repartition("slice", "salt").mapInArrow(added, schema)
     rows = partial.withColumn("salt", F.lit(0)).repartition("slice").mapInArrow(added, schema).collect()
     emits, head = np.zeros((n_symbols, n_states)), np.zeros(n_states + n_states**2 + 1)
@@ -310,15 +303,20 @@ def vocabulary(spark: SparkSession, table: DataFrame) -> tuple[DataFrame, Model]
 
 
 def fit(spark: SparkSession, table: DataFrame, model: Model, states: int = STATES, schedule: tuple[float, ...] = SCHEDULE) -> tuple[Model, list[float]]:
-    """Baum-Welch from the plain word distribution, disturbed by a fixed noise: (model, log likelihood before each step)."""
+    """Baum-Welch from the plain word distribution, disturbed by a fixed noise: (model, log likelihood before each step).
+
+    Each item of ``schedule`` is a step; a step over less than all documents would replace the counts of the others.
+    """
+    if any(share != 1 for share in schedule):
+        raise ValueError("a Baum-Welch step takes all training documents")
     rng = np.random.default_rng(7)
     emit = _plain(model)[:, None] * np.exp(rng.normal(0, 0.7, (model.end + 1, states)))
     move = np.full((states, states), (1 - STAY) / max(1, states - 1)) if states > 1 else np.ones((1, 1))
     np.fill_diagonal(move, STAY if states > 1 else 1.0)
     model = model._replace(start=np.full(states, 1 / states), move=move, emit=emit / emit.sum(axis=0))
     seen = []
-    for share in schedule:
-        model, likelihood = step(spark, table, model, share)
+    for _ in schedule:
+        model, likelihood = step(spark, table, model)
         seen.append(likelihood)
     return model, seen
 

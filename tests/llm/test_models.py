@@ -113,6 +113,22 @@ def test_likelihood_of_whole_texts_equals_a_plain_recursion(spark):
         assert math.isclose(got[i].score, total, rel_tol=1e-9), t
 
 
+def test_every_step_sees_all_training_documents(spark):
+    """The likelihood before each step is that of the whole training set, however few its documents."""
+    from awardloom.llm.common import prepare
+
+    prepare(spark)
+    texts = ["a b c d e f a b", "b a b a", "c d c d c d", "e f e f e", "a a b b", "d c d", "f e f", "a b a"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    table = hmm.blocks(spark, df, F.lit(False), "doc_id", "text")
+    _, model = hmm.vocabulary(spark, table)
+    model, seen = hmm.fit(spark, table, model, states=2)
+    assert len(seen) == 8 and max(seen) < seen[-1] + 1.0
+    assert not np.allclose(model.emit[:, 0], model.emit[:, 1], rtol=0.05)
+    with pytest.raises(ValueError):
+        hmm.fit(spark, table, model, schedule=(1 / 16, 1.0))
+
+
 def test_hidden_markov_edge_cases(spark):
     rows = [(i, t, "clash") for i, t in enumerate(ODD)] + [(None, "a b", "x"), (None, None, "x"), (3, "a", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, block string")
