@@ -205,6 +205,46 @@ def test_probabilities_of_a_model_add_up(spark):
     assert 0.9 < total < 1  # words of a and b carry nearly all mass, never more than one
 
 
+def test_models_equal_plain_counts_of_all_grams(spark):
+    """Every gram takes part, in two languages, also the rarest of 600,000 of one language."""
+    rng = np.random.default_rng(11)
+    draw = lambda n, k: ["".join(chr(0x4E00 + c) for c in rng.integers(0, 20_000, k)) for _ in range(n)]
+    junk = draw(6_000, 100)
+    small = ["abab abba baab aabb ab", "ab ba"]
+    df = spark.createDataFrame([(i, "xx", t) for i, t in enumerate(junk)] + [(-1 - i, "en", t) for i, t in enumerate(small)], "doc_id long, lang string, text string")
+    model = langid.fit(spark, df)
+    assert model.languages == ["en", "xx"]
+    scorer = langid.Scorer(model)
+    for j, texts in enumerate((small, junk)):
+        cut = [w.decode() for t in texts for w in langid.letters(t)]
+        count = [None, {}, {}, {}, Counter(w[i : i + 4] for w in ("\0\0\0" + w + "\1" for w in cut) for i in range(len(w) - 3))]
+        for k in (3, 2, 1):
+            count[k] = Counter(g[1:] for g in count[k + 1])
+        law, of = [None], [None]
+        for k in (1, 2, 3, 4):
+            once, twice = (sum(v == c for v in count[k].values()) for c in (1, 2))
+            law.append(min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.05)
+            total, kinds = Counter(), Counter()
+            for g, n in count[k].items():
+                total[g[:-1]] += n
+                kinds[g[:-1]] += 1
+            of.append((total, kinds))
+
+        def p(g, k):
+            if not k:
+                return 1 / langid.ALPHABET
+            g = g[len(g) - k :]
+            total, kinds = of[k]
+            if not total[g[:-1]]:
+                return p(g, k - 1)
+            return (max(count[k].get(g, 0) - law[k], 0) + law[k] * kinds[g[:-1]] * p(g, k - 1)) / total[g[:-1]]
+
+        for w in [*cut[:3], *cut[-3:], "abc", "q", "b" * 9]:
+            marked = "\0\0\0" + w + "\1"
+            want = sum(math.log(p(marked[i : i + 4], 4)) for i in range(len(marked) - 3))
+            assert math.isclose(scorer.words([w.encode()])[0][j], want, rel_tol=1e-4), (j, w)
+
+
 def test_languages_of_held_out_documents(spark):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = queries.op5_kneser_ney_language(spark, SF).collect()
