@@ -22,7 +22,7 @@ component, so the components are those of all links.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -111,21 +111,25 @@ def may_link(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, thresho
 
 def signatures(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, digest (128 bits of the set), registers; the last two are null for empty sets."""
+    return _signed(ids_and_texts(docs, id_col, text_col), size, "doc_id long")
+
+
+def _signed(table: DataFrame, size: int, kinds: str) -> DataFrame:
+    """The columns of the table (of these kinds) but for the last, the text; n_shingles, digest, registers."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, digests, regs = [], [], []
-        for text in batch.column(1).to_pylist():
+        for text in batch.column(batch.num_columns - 1).to_pylist():
             s = shingle_set(text, size)
             n.append(len(s))
             digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
             regs.append(registers(s).tobytes() if len(s) else None)
         return pa.record_batch(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(regs, pa.binary())],
-            names=["doc_id", "n_shingles", "digest", "registers"],
+            [*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(regs, pa.binary())],
+            names=[*batch.schema.names[:-1], "n_shingles", "digest", "registers"],
         )
 
-    schema = "doc_id long, n_shingles long, digest binary, registers binary"
-    return ids_and_texts(docs, id_col, text_col).mapInArrow(in_batches(run), schema)
+    return table.mapInArrow(in_batches(run), f"{kinds}, n_shingles long, digest binary, registers binary")
 
 
 def band_rows(classes: DataFrame) -> DataFrame:
@@ -306,6 +310,33 @@ def _cross_links(buckets: DataFrame, classes: DataFrame, texts: DataFrame, size:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
+def _linked(
+    classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], shared: DataFrame | None, size: int, percent: int
+) -> DataFrame:
+    """id, component of the classes (id, n, registers) that are linked with others. ``texts_of`` gives (id, text) of a
+    table of ids; ``shared`` are further links (a, b)."""
+    threshold = percent / 100
+    bands = band_rows(classes)
+    full = bands.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
+    members = written(bands.join(full.select("key", "least"), "key").select("key", "band", "id", "least"), "buckets")
+
+    stars = members.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    stars = written(_plausible(stars, classes, threshold), "stars")
+    first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    involved = members.select("id").distinct()
+    texts = written(texts_of(involved), "texts")
+    found = _verified(first, texts, size, percent)
+    links = written(found.unionByName(shared) if shared is not None else found, "links")
+
+    found = components(links)
+    held = members.join(found, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("component"))
+    mixed = held.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    several = held.join(mixed.select("key"), "key").dropDuplicates(["key", "id"])
+    more = written(_cross_links(several, classes, texts, size, percent), "links")
+
+    return components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
+
+
 def near_duplicates(
     spark: SparkSession, docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -317,7 +348,6 @@ def near_duplicates(
     with a null id is linked with nothing: its component_id is null and it is kept. An empty table gives no rows.
     """
     prepare(spark)
-    threshold = percent / 100
     signed = written(signatures(docs, size, id_col, text_col), "signatures")
     classes = written(
         signed.where("digest is not null and doc_id is not null")
@@ -325,29 +355,12 @@ def near_duplicates(
         .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")),
         "classes",
     )
-    bands = band_rows(classes)
-    full = bands.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
-    members = written(bands.join(full.select("key", "least"), "key").select("key", "band", "id", "least"), "buckets")
-
-    stars = members.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
-    stars = written(_plausible(stars, classes, threshold), "stars")
-    first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    involved = members.select("id").distinct()
     table = ids_and_texts(docs, id_col, text_col).withColumnRenamed("doc_id", "id")
-    texts = written(table.join(involved, "id", "left_semi"), "texts")
     # Rows that share an id: one document, so its classes are linked.
     shared = signed.where("digest is not null and doc_id is not null").groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y"))
     shared = shared.where("x <> y").select("doc_id").join(signed.select("doc_id", "digest"), "doc_id")
     shared = shared.join(classes.select("digest", "id"), "digest").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
-    links = written(_verified(first, texts, size, percent).unionByName(shared), "links")
-
-    found = components(links)
-    held = members.join(found, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("component"))
-    mixed = held.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    several = held.join(mixed.select("key"), "key").dropDuplicates(["key", "id"])
-    more = written(_cross_links(several, classes, texts, size, percent), "links")
-
-    whole = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
+    whole = _linked(classes, lambda involved: table.join(involved, "id", "left_semi"), shared, size, percent)
 
     named = classes.join(whole, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     return (
@@ -367,3 +380,33 @@ def keep_one(spark: SparkSession, docs: DataFrame, size: int = 5, percent: int =
     kept = groups.where("kept and doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct()
     named = docs.where(F.col(id_col).isNotNull()).join(kept, id_col, "left_semi").dropDuplicates([id_col])
     return named.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+
+
+def keep_rows(spark: SparkSession, docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, of which one stays of each group of near duplicates, decided row by row.
+
+    Every row is a document of its own, whatever its id: rows that share an id or have none are compared by their
+    texts like all others. Of a group the row of the smallest id stays (null ids last; then by hashes of the text and
+    of the row). A row whose text has no word is linked with nothing and stays, as often as it is there.
+    """
+    prepare(spark)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    worded = F.coalesce(F.col(text_col).rlike("[^\\x09-\\x0d ]"), F.lit(False))
+    # A row is known by its text's and its whole content's hash; rows that are equal in both have one text.
+    fingerprint, content = F.unhex(F.md5(text.cast("binary"))), F.xxhash64(*[F.col(c) for c in docs.columns])
+    rows = docs.where(worded).select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("doc_id"), fingerprint.alias("print"), content.alias("content"), text.alias("text"))
+    signed = _signed(rows.select("doc_id", "print", "content", "text"), size, "doc_id long, print binary, content long")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "print", "content")
+    classes = signed.groupBy("digest").agg(F.min(order).alias("first"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
+    # Written once, so that the numbers stay.
+    classes = written(classes.select(F.monotonically_increasing_id().alias("id"), "first", "n", "registers"), "classes")
+
+    def texts_of(involved: DataFrame) -> DataFrame:
+        wanted = classes.join(involved, "id", "left_semi").select("id", "first.print", "first.content")
+        return rows.select("print", "content", "text").dropDuplicates(["print", "content"]).join(wanted, ["print", "content"]).select("id", "text")
+
+    whole = _linked(classes, texts_of, None, size, percent)
+    grouped = classes.join(whole, "id", "left").groupBy(F.coalesce("component", "id").alias("component")).agg(F.min("first").alias("first"))
+    once = rows.select("row", "print", "content").dropDuplicates(["print", "content"])
+    kept = once.join(grouped.select("first.print", "first.content"), ["print", "content"], "left_semi").select("row.*")
+    return kept.unionByName(docs.where(~worded))

@@ -28,8 +28,8 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, similarity of 0.8) the document of the smallest id."""
-    return hyperminhash.keep_one(spark, docs, size=5, percent=80)
+    """Of each group of near duplicates (five-word shingles, similarity of 0.8) the row of the smallest id."""
+    return hyperminhash.keep_rows(spark, docs, size=5, percent=80)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -87,6 +87,31 @@ def test_null_ids_shared_ids_and_empty_tables(spark):
     assert H.near_duplicates(spark, df.limit(0)).count() == 0 and H.keep_one(spark, df.limit(0)).count() == 0
 
 
+def test_rows_are_kept_one_by_one(spark, rows):
+    """Rows that share an id or have none stay unless their own text is near that of a kept row."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(50)) for x in "abc")
+    near = a.replace("a49", "x")
+    some = [(None, a), (None, near), (None, c), (None, c + " "), (7, a), (7, b), (7, b), (3, near), (20, None), (20, None), (None, " ")]
+    df = spark.createDataFrame(some, "doc_id long, text string")
+    got = H.keep_rows(spark, df.repartition(3)).collect()
+    assert [r.doc_id for r in got if r.text == near] == [3] and not any(r.text == a for r in got)
+    assert [r.doc_id for r in got if r.text == b] == [7] and [r.doc_id for r in got if (r.text or "").startswith("c")] == [None]
+    assert sorted(str(r.doc_id) for r in got if not (r.text or "").strip()) == ["20", "20", "None"] and len(got) == 6
+    assert H.keep_rows(spark, df.limit(0)).count() == 0
+    hot = [(None if i % 3 else 1, t) for i, (_, t) in enumerate(rows)]  # most rows under two keys
+    groups = {comp for d, (n, comp) in brute(rows, 5, 80).items()}
+    kept = H.keep_rows(spark, spark.createDataFrame(hot, "doc_id long, text string")).collect()
+    assert len(kept) == len(groups)
+
+
+def test_pipeline_keeps_different_texts_under_one_id(spark):
+    import corpus_pipeline
+
+    rows = [(7, " ".join(f"{x}{i}" for i in range(50))) for x in "abc"] + [(3, " ".join(f"a{i}" for i in range(50)))]
+    got = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted((r.doc_id, r.text[0]) for r in got) == [(3, "a"), (7, "b"), (7, "c")]
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 102), (101, 102), (200, 200)]
     random.Random(1).shuffle(edges)
