@@ -60,9 +60,11 @@ def maximal_segments(hits: list[tuple[int, float]], drift: float = DRIFT) -> lis
     """All maximal scoring segments of a sequence whose items cost ``drift`` but for the hits (place, weight).
 
     The linear scan keeps a list of candidate segments with the cumulative score before (left) and after
-    (right) each. A new one is merged with the last whose left is smaller, unless that one's right is not smaller.
+    (right) each, and a link to the nearest earlier one with a smaller left. A new one is merged with the last whose
+    left is smaller, unless that one's right is not smaller. If none has a smaller left, all earlier ones are final.
     """
-    kept: list[list] = []  # start, end, left, right
+    final: list[list] = []
+    kept: list[list] = []  # start, end, left, right, link
     total, at = 0.0, 0
     for place, weight in hits:
         total -= drift * (place - at)
@@ -72,16 +74,21 @@ def maximal_segments(hits: list[tuple[int, float]], drift: float = DRIFT) -> lis
             continue
         new = [place, place + 1, total, total + weight]
         total += weight
+        j = len(kept) - 1
         while True:
-            j = len(kept) - 1
             while j >= 0 and kept[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or kept[j][3] >= new[3]:
-                kept.append(new)
+                j = kept[j][4]
+            if j < 0:
+                final += kept
+                kept = [[*new, -1]]
                 break
-            new = [kept[j][0], new[1], kept[j][2], new[3]]
+            if kept[j][3] >= new[3]:
+                kept.append([*new, j])
+                break
+            new, link = [kept[j][0], new[1], kept[j][2], new[3]], kept[j][4]
             del kept[j:]
-    return [Segment(a, b, right - left) for a, b, left, right in kept]
+            j = link
+    return [Segment(a, b, right - left) for a, b, left, right, _ in final + kept]
 
 
 def hits_of(words: list[bytes], weights: dict[bytes, float]) -> list[tuple[int, float]]:

@@ -170,6 +170,17 @@ def test_segments_equal_brute_force():
             assert math.isclose(s.score, sum(scores[s.start : s.end]), abs_tol=1e-9)
 
 
+def test_segments_of_isolated_hits_take_linear_time():
+    import time
+
+    falling = [(100 * i, 1.0) for i in range(60_000)]
+    rising = [(100 * i, 4.9 if i % 2 else 5.2) for i in range(60_000)]
+    start = time.process_time()
+    assert len(toxicity.maximal_segments(falling)) == 60_000
+    toxicity.maximal_segments(rising)
+    assert time.process_time() - start < 5
+
+
 def test_toxic_documents_are_found_on_held_out_rows(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
     got = queries.op3_toxic_segments(spark, "/root/testdata/sf0.1").collect()
