@@ -54,6 +54,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``fresh_dir`` named and that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def crc_mod(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus

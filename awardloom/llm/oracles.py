@@ -119,9 +119,67 @@ SELECT s.doc_id, len(s.sh)::BIGINT AS n_shingles, min(r.c) AS component_id, min(
 FROM s JOIN reach r ON r.id = s.doc_id GROUP BY s.doc_id, s.sh
 """
 
+
+def _ball(rounds: int = 4, parts: int = 4, entries: int = 256, scale: int = 1024) -> str:
+    """All distances of all parts and entries, round by round; a distance and its entry are one number, least first."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} AS MATERIALIZED (
+  SELECT vec_id, part, min(d * {entries} + entry) % {entries} AS entry, min(d * {entries} + entry) // {entries} AS d FROM (
+    SELECT x.vec_id, x.part, c.entry, sum((x.x - c.x) * (x.x - c.x))::BIGINT AS d FROM x JOIN c{k} c USING (part, pos) GROUP BY ALL
+  ) GROUP BY vec_id, part
+)""")
+        if k < rounds:
+            steps.append(f"""
+m{k} AS (SELECT part, pos, entry, sum(x)::BIGINT AS s, count(*) AS n FROM a{k} JOIN x USING (vec_id, part) GROUP BY ALL),
+c{k + 1} AS MATERIALIZED (
+  SELECT entry, part, pos, coalesce((s - ((s % n) + n) % n) // n, c.x) AS x FROM c{k} c LEFT JOIN m{k} USING (entry, part, pos)
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+x AS MATERIALIZED (
+  SELECT vec_id, (i - 1) // (len(v) // {parts}) AS part, (i - 1) % (len(v) // {parts}) AS pos, v[i] AS x FROM kept, unnest(range(1, len(v) + 1)) r(i)
+),
+c0 AS MATERIALIZED (
+  SELECT entry, part, pos, x FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept) JOIN x USING (vec_id) WHERE entry < {entries}
+),{",".join(steps)},
+coded AS (
+  SELECT vec_id, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY vec_id
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+  (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, pos)) FROM c{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""
+
+
+_MINED = """
+WITH e AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM e a JOIN e c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0
+),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same),
+n AS (
+  SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score WHERE place <= 5
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op1_warc_derivatives": _warc("2024-01-01T00:00:00Z"),
     "op6_kd_trees": _KD,
     "op9_imatch": _IMATCH,
     "op10_hyperminhash": _NEAR,
+    "op11_ball_kmeans": _ball(),
+    "op13_inverted_multi_index": _MINED,
 }

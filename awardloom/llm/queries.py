@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from . import bpe, eliasfano, hmm, hyperminhash, imatch, kdtree, langid, packing, toxicity, warc
+from . import ballkmeans, bpe, eliasfano, grayindex, hmm, hyperminhash, imatch, kdtree, langid, multiindex, packing, toxicity, warc
 from .common import crc_mod
 from .oracles import ORACLES
 
@@ -73,6 +73,21 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(spark, table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op11_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = ballkmeans.compress(spark, table(spark, sf_dir, "embeddings"))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(ballkmeans.digest(books)).alias("codebooks_sha256"))
+
+
+def op12_gray_order_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grayindex.near_duplicates(spark, table(spark, sf_dir, "documents"), size=3, most=2)
+
+
+def op13_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return multiindex.mine(spark, rows.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,5 +105,8 @@ QUERIES = {
     "op8_vector_packing": op8_vector_packing,
     "op9_imatch": op9_imatch,
     "op10_hyperminhash": op10_hyperminhash,
+    "op11_ball_kmeans": op11_ball_kmeans,
+    "op12_gray_order_index": op12_gray_order_index,
+    "op13_inverted_multi_index": op13_inverted_multi_index,
     "pipeline": pipeline,
 }
