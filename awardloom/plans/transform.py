@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import EngineConfig
@@ -15,6 +16,8 @@ from ..operators.dedup import union_all
 from ..session import stored
 from ..sources import landing, sinks
 
+log = logging.getLogger(__name__)
+
 BOOKKEEPING = (landing.SOURCE_FILE, landing.ROW_ORDER)
 
 
@@ -26,39 +29,46 @@ class Prepared:
     issues: DataFrame
 
 
-def prepare(
-    groups: Sequence[DataFrame], cfg: EngineConfig, custom_filters: Mapping[str, Any] | None = None
-) -> Prepared:
-    """Conform, validate, filter and type each layout group, then union them by name.
+def typed_rows(groups: Sequence[DataFrame], cfg: EngineConfig, wanted: Mapping[str, Any]) -> DataFrame:
+    """All rows of the frames conformed, typed and marked by rules and filters; no row is dropped."""
+    # Typing takes nothing from the marks, which are of the text.
+    return union_all([conform.clean(validate.with_marks(conform.conform(g, cfg, keep=BOOKKEEPING), cfg, wanted), cfg) for g in groups])
 
-    Groups without a single known column add an issue and no rows.
-    """
+
+def kept_rows(marked: DataFrame) -> DataFrame:
+    return marked.filter(validate.marked(validate.KEPT)).drop(validate.MARKS)
+
+
+def prepare(groups: Sequence[DataFrame], cfg: EngineConfig, custom_filters: Mapping[str, Any] | None = None) -> Prepared:
+    """Conform, validate, filter and type frames that each are one file layout, then union them by name."""
     wanted = filters.merge_filters(cfg.default_filters, custom_filters)
-    rows, issues = [], []
+    issues = []
     for g in groups:
-        absent = conform.missing_columns(g.columns, cfg)
         conformed = conform.conform(g, cfg, keep=BOOKKEEPING)
-        if not conform.has_known_column(g.columns, cfg):
-            missing = [(m[2], "missing_column", validate.MISSING_MESSAGE % m[:2]) for m in absent]
-            issues.append(_file_issues(g, [*missing, ("ERROR", "load", validate.NOTHING_MESSAGE)]))
-        else:
-            issues.append(validate.issue_log(conformed, cfg, wanted, landing.SOURCE_FILE, absent))
-        rows.append(conform.clean(filters.apply_filters(conformed, wanted), cfg))
-    return Prepared(union_all(rows), union_all(issues))
+        issues.append(validate.issue_log(conformed, cfg, wanted, landing.SOURCE_FILE, conform.missing_columns(g.columns, cfg)))
+    return Prepared(kept_rows(typed_rows(groups, cfg, wanted)), union_all(issues))
 
 
-def _file_issues(group: DataFrame, issues: Sequence[tuple[str, str, str]]) -> DataFrame:
+def _absent(cfg: EngineConfig) -> Column:
+    """Array of (severity, rule, message) of the mapped columns that a file (its ``columns``) lacks; a file without any
+    of them has one issue more."""
     cells = [
-        F.struct(
-            F.lit(i).alias("ord"),
-            F.lit(severity).alias("severity"),
-            F.lit(rule).alias("rule"),
-            F.lit(message).alias("message"),
-            F.lit(None).cast("bigint").alias("issue_count"),
+        F.when(
+            ~F.array_contains("columns", src),
+            F.struct(F.lit(severity).alias("severity"), F.lit("missing_column").alias("rule"), F.lit(validate.MISSING_MESSAGE % (src, dst)).alias("message")),
         )
-        for i, (severity, rule, message) in enumerate(issues)
+        for src, dst, severity in conform.missing_columns((), cfg)
     ]
-    return group.select(landing.SOURCE_FILE).distinct().select(landing.SOURCE_FILE, F.inline(F.array(*cells)))
+    nothing = F.struct(F.lit("ERROR").alias("severity"), F.lit("load").alias("rule"), F.lit(validate.NOTHING_MESSAGE).alias("message"))
+    missing = F.array_compact(F.array(*cells))
+    return F.when(F.size(missing) == len(cfg.column_mapping), F.concat(missing, F.array(nothing))).otherwise(missing)
+
+
+def file_issues(files: DataFrame, counts: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Issues of every readable file: missing columns by its header, rules by the counts of its marks."""
+    readable = files.filter("readable").select(F.col("path").alias(landing.SOURCE_FILE), _absent(cfg).alias("absent"))
+    joined = readable.join(counts, landing.SOURCE_FILE, "left").withColumns({n: F.coalesce(n, F.lit(0).cast("bigint")) for n in ("n0", "n1")})
+    return validate.issues_of_marks(joined, list(cfg.column_mapping.values()), cfg, landing.SOURCE_FILE, F.col("absent"))
 
 
 def awards_of(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -82,35 +92,37 @@ def process_landing(
     approx_distinct: bool = False,
     **scan_options,
 ) -> Outcome:
-    """Full transform. Profiles and counts read the written table, not the transform again.
+    """Full transform: one pass types and marks the rows into a stored table, from which awards, issues and counts follow.
 
-    A CSV result is exported from a stored Parquet table, which is what the profiles read. Where no file is
-    readable, or no row is left, the issues are written all the same.
+    Beside that pass, only the search for odd files reads the text. A CSV result is exported from a stored Parquet table,
+    which is what the profiles read. Where no file is readable, or no row is left, the issues are written all the same.
     """
     cfg = cfg or EngineConfig()
-    found = landing.scan_landing(spark, root, **scan_options)
+    found = landing.scan_landing(spark, root, columns=list(cfg.column_mapping), **scan_options)
     report = f"{out_dir.rstrip('/')}/quality_report_{run_id}"
-    if not found.groups:
-        found.issues.write.json(f"{report}/issues")
+    wanted = filters.merge_filters(cfg.default_filters, custom_filters)
+    if found.groups:
+        marked = stored(typed_rows(found.groups, cfg, wanted), "typed")
+        counts = stored(validate.mark_counts(marked, cfg, landing.SOURCE_FILE), "marks")
+    else:
+        nothing = f"{landing.SOURCE_FILE} string, n0 bigint, n1 bigint, found array<bigint>"
+        marked, counts = None, spark.createDataFrame([], nothing)
+    issues = stored(union_all([found.issues, file_issues(found.files, counts, cfg)]), "issues")
+    rows_before = counts.agg(F.coalesce(F.sum("n1"), F.lit(0)).alias("n")).first().n
+    if not rows_before:
+        log.warning("no data to write for awards")
+        issues.write.json(f"{report}/issues")
         return Outcome(None, report)
-    prepared = prepare(found.groups, cfg, custom_filters)
-    issues = stored(union_all([found.issues, prepared.issues]), "issues")
-    rows_before = F.count("*").alias("rows_before")
-    awards = awards_of(prepared.rows, cfg)
+    awards = awards_of(kept_rows(marked), cfg)
     if cfg.output_format != "parquet":
         awards = stored(awards, "awards")
-    path = sinks.write_run_table(awards, out_dir, "awards", run_id, cfg.output_format, guard=prepared.rows)
-    if path is None:
-        issues.write.json(f"{report}/issues")
-        return Outcome(None, report)
+    path = sinks.write_table(awards, f"{out_dir.rstrip('/')}/awards_{run_id}.{cfg.output_format}", cfg.output_format)
     if cfg.output_format == "parquet":
         awards = landing.read_processed(spark, path)
     if not cfg.include_quality_report:
         return Outcome(path, None)
-    before = prepared.rows.agg(rows_before)
-    removed = before.withColumn("rows_after", awards.agg(F.count("*").alias("n")).scalar()).withColumn(
-        "rows_removed", F.col("rows_before") - F.col("rows_after")
-    )
+    after = F.count("*")
+    removed = awards.agg(F.lit(rows_before).alias("rows_before"), after.alias("rows_after"), (F.lit(rows_before) - after).alias("rows_removed"))
     sinks.write_quality_report(
         profile.column_profiles(awards, approx_distinct),
         union_all([issues, validate.duplicate_issue(removed)]),

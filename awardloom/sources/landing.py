@@ -1,7 +1,8 @@
 """Landed award files: listing, header probe, scans, inventory.
 
-Spark's CSV reader applies one header to every file of a read, by position. Landed files may order
-their columns differently, so files are grouped by header first and each group is one read.
+Spark's CSV reader applies one header to every file of a read, by position. Landed files may order their columns
+differently, so the scan reads records as text, whatever their files' headers, and takes each cell from the place that
+the header of its own file gives it. The headers are a small table, a row a file.
 """
 
 from __future__ import annotations
@@ -12,16 +13,19 @@ import logging
 import re
 import sys
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.casts import null_if_token
+from ..operators.dedup import union_all
 from ..schema import q
+from ..session import stored
+from . import records
 
 log = logging.getLogger(__name__)
 
@@ -62,11 +66,6 @@ def file_path() -> Column:
     return one_form(F.col("_metadata.file_path"))
 
 
-def literal(path: str) -> str:
-    """A path that a reader takes as it is, although readers take patterns."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
-
-
 def list_files(spark: SparkSession, root: str, formats: Sequence[str] = FORMATS) -> DataFrame:
     """Files below ``root`` (path, format, size) from the file system's own recursive listing.
 
@@ -152,77 +151,152 @@ def load_issues(probed: DataFrame) -> DataFrame:
     )
 
 
-def _odd_files(spark: SparkSession, paths: Sequence[str], fields: int, sep: str) -> tuple[set[str], dict[str, int]]:
-    """One splittable pass over the text: files with a quoted field that spans lines (some line has an odd
-    number of quotes), and files with a row of more than ``fields`` cells, with the most it has.
+#: Files whose names and column places are sent to every task; the driver has listed them already. More are joined as Spark sees fit.
+SENT_FILES = 100_000
+# No text has this noncharacter, so a line is one cell.
+LINE_SEPARATOR = "\uffff"
+
+
+def _cell_options(sep: str) -> dict[str, str]:
+    return {"sep": sep, "quote": '"', "escape": '"', "nullValue": "\0", "emptyValue": ""}
+
+
+def _odd_files(spark: SparkSession, widths: DataFrame, paths: Sequence[str], sep: str) -> tuple[set[str], dict[str, tuple[int, int]]]:
+    """One splittable pass over the text of all files, whatever their headers: files with a quoted field that
+    spans lines, and files with a row of more cells than their header has (``widths``: path, fields), with both numbers.
 
     Only such files reach the driver.
     """
     value = F.col("value")
     quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
-    bare = F.regexp_replace(value, '"[^"]*"', "")
+    bare = F.when(quotes > 0, F.regexp_replace(value, '"[^"]*"', "")).otherwise(value)
     cells = F.when(quotes % 2 == 0, F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1)
     odd = (
-        spark.read.text([literal(p) for p in paths])
+        spark.read.text(records.quoted_paths(paths))
         .groupBy(file_path().alias("path"))
-        .agg(F.max(quotes % 2).alias("broken"), F.max(cells).alias("cells"))
-        .filter((F.col("broken") == 1) | (F.col("cells") > fields))
+        .agg(F.max(records.ends_open(value, sep)).alias("broken"), F.max(cells).alias("cells"))
+        .join(widths, "path")
+        .filter(F.col("broken") | (F.col("cells") > F.col("fields")))
         .collect()
     )
     broken = {r.path for r in odd if r.broken}
-    longest = {r.path: r.cells for r in odd if r.path not in broken}
-    if broken:  # their cells show only in a full parse
-        rows = _positional(spark, sorted(broken), fields, sep, True)
-        surplus = rows.filter(F.col(f"c{fields}").isNotNull()).select(file_path().alias("path")).distinct().collect()
-        longest |= {r.path: fields + 1 for r in surplus}
-    return broken, longest
+    return broken, {r.path: (r.fields, r.cells) for r in odd if not r.broken and r.cells > r.fields}
 
 
-def _positional(spark: SparkSession, paths: str | Sequence[str], fields: int, sep: str, multi_line: bool) -> DataFrame:
-    """Cells by position, c0 and so on, and one column more, which holds a cell beyond the header if there is one."""
-    names = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(fields + 1)])
+def _row_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """path, block, line, value: the lines below the headers, of files with a record a line. Blank lines are left out."""
     return (
-        spark.read.schema(names)
-        # An empty cell stays apart from an absent one.
-        .options(header=True, enforceSchema=True, sep=sep, quote='"', escape='"', multiLine=multi_line, nullValue="\0", emptyValue="")
-        .csv(paths if isinstance(paths, str) else [literal(p) for p in paths])
+        spark.read.schema("value string")
+        .options(header=True, enforceSchema=True, sep=LINE_SEPARATOR, quote="", escape="", nullValue="\0", emptyValue="")
+        .csv(records.quoted_paths(paths))
+        .select(file_path().alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"), "value")
     )
 
 
-def read_delimited(
-    spark: SparkSession, paths: str | Sequence[str], header: Sequence[str], sep: str = ",", multi_line: bool = False
-) -> DataFrame:
-    """All-text scan of delimited files that share one header; null spellings become null.
+def _text_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """path, block, line, value: all lines in the order of the file."""
+    return spark.read.text(records.quoted_paths(paths)).select(
+        file_path().alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"), "value"
+    )
+
+
+@contextmanager
+def _same_splits(spark: SparkSession) -> Iterator[None]:
+    """Reads of the same files get the same splits meanwhile, even if executors come or go."""
+    key = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None):
+        yield
+        return
+    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
 
-    Columns are read by position and renamed, so names with dots, repeated names (the first one
-    wins) and names differing only in case do no harm. ``source_file`` and ``row_order`` keep
-    where each row came from.
+def _broken_records(spark: SparkSession, paths: Sequence[str], sep: str) -> DataFrame:
+    """path, block, line, value: the records below the headers of files with line breaks in fields, written to a table.
+
+    Such files keep their splits; only one with a field as large as a split is read by one task.
+    """
+    with _same_splits(spark):
+        starts = stored(records.split_starts(_text_lines(spark, paths), sep), "split-starts")
+        unsplit = [r.path for r in starts.where("whole").select("path").distinct().collect()]
+        lines = _text_lines(spark, paths)
+        if unsplit:
+            alone = spark.createDataFrame([(p,) for p in unsplit], "path string")
+            lines = lines.join(F.broadcast(alone), "path", "left_anti")
+        rows = records.read_records(lines, starts.where("not whole"), sep)
+        return stored(rows.unionByName(_unsplit(spark, unsplit, sep)) if unsplit else rows, "records")
+
+
+def _unsplit(spark: SparkSession, paths: Sequence[str], sep: str) -> DataFrame:
+    """The records of files that are read by one task each: a record is its cells, quoted anew."""
+
+    def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        csv.field_size_limit(sys.maxsize)
+        for batch in batches:
+            for path in batch["path"]:
+                place = _open(path)
+                with place[0].open_input_stream(place[1]) as f:
+                    found = csv.reader(io.TextIOWrapper(f, encoding="utf-8-sig", newline=""), delimiter=sep)
+                    rows, line = [], -1
+                    for line, cells in enumerate(r for r in found if r):
+                        if line:
+                            text = sep.join('"' + c.replace("\r\n", "\n").replace('"', '""') + '"' if c else "" for c in cells)
+                            rows.append((path, 0, line, text))
+                        if len(rows) == 1000:
+                            yield pd.DataFrame(rows, columns=["path", "block", "line", "value"])
+                            rows = []
+                    if rows:
+                        yield pd.DataFrame(rows, columns=["path", "block", "line", "value"])
+
+    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(len(paths))
+    return files.mapInPandas(again, records.RECORDS)
+
+
+def _parsed(rows: DataFrame, schema: str, options: dict[str, str], *keep: str) -> DataFrame:
+    """Each record's cells, by ``from_csv``, as the struct c, beside the columns to keep."""
+    # Depends on a fresh id, so that no filter on a cell is moved below and parses the record once more.
+    value = F.when(F.monotonically_increasing_id() >= 0, F.col("value"))
+    return rows.select(*keep, F.from_csv(value, F.lit(schema), options).alias("c"))
+
+
+def _cells(rows: DataFrame, width: int, sep: str) -> DataFrame:
+    """path, block, line and the array of ``width`` cells of each record."""
+    names = [f"c{i}" for i in range(width)]
+    parsed = _parsed(rows, ", ".join(f"{n} string" for n in names), _cell_options(sep), "path", "block", "line")
+    return parsed.select("path", "block", "line", F.array(*[F.col("c")[n] for n in names]).alias("cells"))
+
+
+def read_delimited(rows: DataFrame, files: DataFrame, sent: bool, names: Sequence[str], width: int, sep: str) -> DataFrame:
+    """All-text cells of the records (path, block, line, value) of delimited files of any headers; null spellings become null.
+
+    ``files`` (path, columns) has every file's header, of up to ``width`` columns, and goes to every task if ``sent``; ``names``
+    are the columns wanted. Cells are taken by the name that the file's own header gives their place, so names with dots,
+    repeated names (the first one wins) and names differing only in case do no harm; a column that a file lacks is null.
+    ``source_file`` and ``row_order`` keep where each row came from.
     """
-    rows = _positional(spark, paths, len(header), sep, multi_line)
-    first = {}
-    for i, name in enumerate(header):
-        first.setdefault(name, i)
+    place = lambda n: (F.nullif(F.array_position("columns", F.lit(n)), F.lit(0).cast("bigint")) - 1).cast("int")
+    places = files.select("path", (F.array(*[place(n) for n in names]) if names else F.array().cast("array<int>")).alias("places"))
+    rows = _cells(rows, width, sep).join(F.broadcast(places) if sent else places, "path")
     return rows.select(
-        *[null_if_token(F.col(f"c{i}")).alias(name) for name, i in first.items()],
-        file_path().alias(SOURCE_FILE),
+        *[null_if_token(F.get("cells", F.col("places")[i])).alias(n) for i, n in enumerate(names)],
+        F.col("path").alias(SOURCE_FILE),
         # Inside one file block the generated id grows with the line, so this is file order.
-        F.struct(
-            file_path().alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        ).alias(ROW_ORDER),
+        F.struct(F.col("path").alias("file"), "block", "line").alias(ROW_ORDER),
     )
 
 
-def read_columnar(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Parquet scan with source file and row order.
+def read_columnar(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str] | None = None, merge: bool = False) -> DataFrame:
+    """Parquet scan with source file and row order; with ``merge`` the files may lack columns of one another.
 
     Files without a valid footer were set aside by the probe. Damage further inside fails the job:
     skipping it would lose rows without a trace.
     """
-    rows = spark.read.parquet(*([paths] if isinstance(paths, str) else [literal(p) for p in paths]))
+    rows = spark.read.option("mergeSchema", merge).parquet(*([paths] if isinstance(paths, str) else records.quoted_paths(paths)))
     return rows.select(
-        *[q(c) for c in rows.columns],
+        *[q(c) for c in rows.columns if names is None or c in names],
         file_path().alias(SOURCE_FILE),
         F.struct(
             file_path().alias("file"),
@@ -234,7 +308,7 @@ def read_columnar(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Landing:
-    """One frame per distinct file layout, and the probe of every file."""
+    """A frame for all text files of a separator and for each set of Parquet files of like types, and the probe of every file."""
 
     groups: list[DataFrame]
     files: DataFrame
@@ -249,40 +323,76 @@ def scan_landing(
     root: str,
     formats: Sequence[str] = FORMATS,
     multi_line: bool | str = "auto",
+    columns: Sequence[str] | None = None,
 ) -> Landing:
-    """Read every landed file below ``root``, grouped by layout; see ``scan_files``."""
-    return scan_files(spark, list_files(spark, root, formats), formats, multi_line)
+    """Read every landed file below ``root``; see ``scan_files``."""
+    return scan_files(spark, list_files(spark, root, formats), formats, multi_line, columns)
+
+
+def _like_types(layouts: dict[tuple, list[str]]) -> list[tuple[list[str], bool]]:
+    """Paths of Parquet layouts in sets within which every column has one type and one spelling; whether a set has several layouts."""
+    sets: list[list] = []
+    for (columns, types), paths in layouts.items():
+        kinds = {c.lower(): (c, t) for c, t in zip(columns, types)}
+        for some in sets:
+            if all(some[0].get(k, v) == v for k, v in kinds.items()):
+                some[0].update(kinds)
+                some[1] += paths
+                some[2] = True
+                break
+        else:
+            sets.append([kinds, list(paths), False])
+    return [(sorted(members), several) for _, members, several in sets]
 
 
 def scan_files(
-    spark: SparkSession, files: DataFrame, formats: Sequence[str] = FORMATS, multi_line: bool | str = "auto"
-) -> Landing:
-    """Read listed files (path, format, size), grouped by layout.
-
-    Quoted fields may hold line breaks, and such a file cannot be split into blocks. With
-    ``multi_line="auto"`` one splittable pass over the text finds the files that need it and only
-    those are read unsplit; pass False where the landing is known to be free of line breaks. A file with a
-    row longer than its header is refused whole and listed as unreadable.
+    spark: SparkSession, files: DataFrame, formats: Sequence[str] = FORMATS, multi_line: bool | str = "auto",
+    columns: Sequence[str] | None = None,
+) -> Landing:
+    """Read listed files (path, format, size): one scan for all text files of a separator, whatever their headers.
+
+    Quoted fields may hold line breaks. With ``multi_line="auto"`` one splittable pass over the text finds the files that
+    have any, and those are read by way of ``records``; False where the landing is known to be free of line breaks
+    spares the pass, True takes every file that way. A file with a row longer than its header is refused whole and listed as
+    unreadable. ``columns`` names the columns wanted, all by default; files that have none of them give no rows.
     """
-    probed = probe_files(files)
+    probed = stored(probe_files(files), "probe")
     layouts: dict[tuple, list[str]] = {}
     for r in probed.filter("readable").groupBy("format", "columns", "types").agg(F.collect_list("path").alias("paths")).collect():
         layouts[r.format, tuple(r.columns), tuple(r.types)] = sorted(r.paths)
+    layouts = {k: v for k, v in sorted(layouts.items(), key=lambda x: (formats.index(x[0][0]), x[0][1])) if columns is None or not set(columns).isdisjoint(k[1])}
 
     groups, refused = [], []
-    for (fmt, columns, _types), paths in sorted(layouts.items(), key=lambda x: (formats.index(x[0][0]), x[1])):
+    for fmt in formats:
+        here = {k[1:]: v for k, v in layouts.items() if k[0] == fmt}
         if fmt == "parquet":
-            groups.append(read_columnar(spark, paths))
+            groups += [read_columnar(spark, paths, columns, several) for paths, several in _like_types(here)]
+            continue
+        if not here:
             continue
         sep = SEPARATORS[fmt]
-        broken, longest = _odd_files(spark, paths, len(columns), sep) if multi_line != False else (set(), {})  # noqa: E712
-        refused += [(p, RAGGED % (len(columns), n)) for p, n in longest.items()]
-        paths = [p for p in paths if p not in longest]
-        whole = paths if multi_line is True else [p for p in paths if p in broken]
-        split = [] if multi_line is True else [p for p in paths if p not in broken]
-        for some, multi in ((split, False), (whole, True)):
-            if some:
-                groups.append(read_delimited(spark, some, columns, sep, multi))
+        paths = sorted(p for some in here.values() for p in some)
+        names = list(dict.fromkeys(n for header, _ in here for n in header if columns is None or n in columns))
+        width = max(len(header) for header, _ in here) + 1
+        widths = probed.select("path", F.size("columns").alias("fields"))
+        broken, longest, rows = set(paths) if multi_line is True else set(), {}, None
+        if multi_line == "auto":
+            broken, longest = _odd_files(spark, widths, paths, sep)
+        if broken:  # their cells show only in a full parse
+            rows = _broken_records(spark, sorted(broken), sep)
+            cells = _cells(rows, width, sep).join(widths, "path")
+            surplus = cells.filter(F.get("cells", F.col("fields")).isNotNull()).groupBy("path").agg(F.max("fields").alias("fields")).collect()
+            longest |= {r.path: (r.fields, r.fields + 1) for r in surplus}
+        refused += [(p, RAGGED % pair) for p, pair in longest.items()]
+        kept = [p for p in paths if p not in longest]
+        whole = [p for p in kept if p not in broken]
+        if whole:
+            rows = _row_lines(spark, whole) if rows is None else _row_lines(spark, whole).unionByName(rows)
+        if kept:
+            files = probed
+            if longest:
+                files = files.join(F.broadcast(spark.createDataFrame([(p,) for p in longest], "path string")), "path", "left_anti")
+            groups.append(read_delimited(rows, files, len(paths) <= SENT_FILES, names, width, sep))
     if refused:
         why = spark.createDataFrame(refused, "path string, ragged string")
         rest = [c for c in probed.columns if c not in ("readable", "error")]
@@ -319,7 +429,7 @@ def inventory(landing: Landing) -> DataFrame:
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
     """Processed award table for analysis: Parquet, or CSV under the declared types.
 
-    Part files with line breaks in a field are read unsplit, as in a landing.
+    Part files with line breaks in a field keep their splits, as in a landing.
     """
     from ..schema import AWARD_SCHEMA
 
@@ -328,8 +438,13 @@ def read_processed(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.parquet(path)
     sep = SEPARATORS[fmt]
     parts = [r.path for r in list_files(spark, path, (fmt,)).select("path").collect()]
-    broken, _ = _odd_files(spark, parts, len(AWARD_SCHEMA), sep) if parts else (set(), {})
-    reader = spark.read.schema(AWARD_SCHEMA).options(header=True, enforceSchema=False, sep=sep, quote='"', escape='"')
-    split = reader.csv([literal(p) for p in parts if p not in broken]) if len(broken) < len(parts) or not parts else None
-    whole = reader.options(multiLine=True).csv([literal(p) for p in sorted(broken)]) if broken else None
-    return split.unionByName(whole) if split is not None and whole is not None else split if whole is None else whole
+    if not parts:
+        return spark.createDataFrame([], AWARD_SCHEMA)
+    widths = spark.createDataFrame([(p, len(AWARD_SCHEMA)) for p in parts], "path string, fields int")
+    broken, _ = _odd_files(spark, widths, parts, sep)
+    options = {"sep": sep, "quote": '"', "escape": '"'}
+    split = [p for p in parts if p not in broken]
+    frames = [spark.read.schema(AWARD_SCHEMA).options(header=True, enforceSchema=False, **options).csv(records.quoted_paths(split))] if split else []
+    if broken:
+        frames.append(_parsed(_broken_records(spark, sorted(broken), sep), AWARD_SCHEMA.toDDL(), options).select("c.*"))
+    return union_all(frames)

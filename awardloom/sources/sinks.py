@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedup import keep_first
+from ..operators.dedup import keep_first, union_all
 from ..schema import RUN_SCHEMA, SEARCH_KEYS, q
 from . import landing
 
@@ -65,18 +65,17 @@ def landing_to_parquet(
     """
     found = landing.scan_landing(spark, root, formats, **scan_options)
     found.issues.write.json(f"{out}_issues")
-    parts = []
-    for g in found.groups:
-        keys = [k for k in SEARCH_KEYS if k in g.columns]
-        if keys:
-            g = keep_first(g, [landing.SOURCE_FILE, *keys], [landing.ROW_ORDER])
-        parts.append(g)
-    if not parts:
+    if not found.groups:
         log.warning("no readable file below %s", root)
         return None
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part, allowMissingColumns=True)
+    rows = union_all(found.groups)
+    keys = [k for k in SEARCH_KEYS if k in rows.columns]
+    if keys:
+        # In a file without any of the keys every row is a key of its own.
+        keyed = F.arrays_overlap("columns", F.array(*[F.lit(k) for k in keys]))
+        rows = rows.join(found.files.select(F.col("path").alias(landing.SOURCE_FILE), keyed.alias("_keyed")), landing.SOURCE_FILE)
+        rows = rows.withColumn("_own", F.when(~F.col("_keyed"), F.col(landing.ROW_ORDER)))
+        rows = keep_first(rows, [landing.SOURCE_FILE, "_own", *keys], [landing.ROW_ORDER]).drop("_keyed", "_own")
     return write_table(rows, out)
 
 

@@ -42,7 +42,7 @@ def test_quotes_and_line_breaks(spark, tmp_path, mode):
     assert {r.i: r.x for r in rows.collect()} == {
         "1": 'line one\nline two, "quoted"', "2": "plain", "3": "no breaks",
     }
-    assert len(found.groups) == (2 if mode == "auto" else 1)
+    assert len(found.groups) == 1
 
 
 def test_odd_headers(spark, tmp_path):
