@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
@@ -10,11 +11,12 @@ from typing import Any
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import casts, dates
 from ..functions.text import agency_spec
 from ..schema import AWARD_TYPE_GROUPS, SEARCH_PAGE_SIZE, q
-from ..session import stored
+from ..session import put_text, stored
 
 AGENCY = "Funding Agency Name"
 
@@ -148,11 +150,11 @@ def agency_filter(
 ) -> DataFrame:
     """Rows that meet at least one agency spec; no spec, as a list or a frame, means no filter.
 
-    ``df`` has awarding/funding toptier and subtier columns. The specs are split by type and tier
-    into distinct name sets, each joined on equality, so no nested-loop join arises and no row is
-    multiplied. A list is a local relation, a frame of parsed specs is evaluated once and stored:
-    either way Spark knows the size in bytes, broadcasts the sets if that is small (the rows then stay
-    where they are), and otherwise splits the hot agencies of a shuffled join.
+    ``df`` has awarding/funding toptier and subtier columns. Their different combinations, of which there are few, are
+    found once; all specs, whether a list or a frame of parsed ones, are decided on those; and the rows meet the
+    combinations that pass in one join. Specs are joined to combinations by type and tier on equality. The passing
+    combinations are a stored table, so Spark knows its size: it is sent to the rows if small, and a hot combination
+    of a shuffled join is split otherwise.
     """
     if not isinstance(specs, DataFrame):
         if not specs:
@@ -162,25 +164,25 @@ def agency_filter(
         specs = stored(specs.select("type", "tier", "name", "toptier_name").distinct(), "agency-specs")
         if specs.isEmpty():
             return df
-    marks = []
-    out = df
+    hits = stored(passing_combinations(df.select(*AGENCY_COLUMNS).distinct(), specs), "agency-combinations")
+    there = reduce(lambda x, y: x & y, [F.col(f"r.{c}").eqNullSafe(F.col(f"h.{c}")) for c in AGENCY_COLUMNS])
+    return df.alias("r").join(hits.alias("h"), there, "left_semi")
+
+
+#: The columns that agency specs are about.
+AGENCY_COLUMNS = ("awarding_toptier", "awarding_subtier", "funding_toptier", "funding_subtier")
+
+
+def passing_combinations(combinations: DataFrame, specs: DataFrame) -> DataFrame:
+    """The combinations of ``AGENCY_COLUMNS`` that meet at least one parsed spec."""
+    marks, out = [], combinations
     for kind in ("awarding", "funding"):
-        for tier in ("toptier", "subtier"):
-            mark = f"_{kind}_{tier}_hit"
+        for tier, keys in (("toptier", [f"{kind}_toptier"]), ("subtier", [f"{kind}_subtier", f"{kind}_toptier"])):
             chosen = specs.filter((F.col("type") == kind) & (F.col("tier") == tier))
-            if tier == "toptier":
-                keys = [f"{kind}_toptier"]
-                names = chosen.select(F.col("name").alias(keys[0]))
-            else:
-                keys = [f"{kind}_subtier", f"{kind}_toptier"]
-                names = chosen.select(
-                    F.col("name").alias(keys[0]), F.col("toptier_name").alias(keys[1])
-                )
-            names = names.distinct().withColumn(mark, F.lit(True))
-            out = out.join(names, keys, "left")
-            marks.append(mark)
-    hit = F.coalesce(*[F.col(m) for m in marks], F.lit(False))
-    return out.filter(hit).select(*[q(c) for c in df.columns])
+            names = chosen.select(*[F.col(n).alias(k) for n, k in zip(("name", "toptier_name"), keys)]).distinct()
+            marks.append(f"_{kind}_{tier}")
+            out = out.join(names.withColumn(marks[-1], F.lit(True)), keys, "left")
+    return out.filter(F.coalesce(*[F.col(m) for m in marks], F.lit(False))).select(*combinations.columns)
 
 
 def bulk_request(
@@ -228,6 +230,49 @@ def search_page(
     )
 
 
+def index_pages(rows: DataFrame, stage: str, tie_break: Sequence[str]) -> str:
+    """Write the sorted result to ``stage`` once, so that any page is a seek: the rows in folders by part, each with its line
+    there, and beside them a small table of the parts with their bounds, rows and the rows before them.
+
+    The rows are range-partitioned, so no task sorts the whole result; ``tie_break`` should make the order unique.
+    """
+    spark = rows.sparkSession
+    order = [F.col("amount").desc(), *[q(c) for c in tie_break]]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # The generated id holds the partition in its upper bits and the row in the lower 33.
+    fresh = F.monotonically_increasing_id()
+    numbered = ordered.withColumn("_id", fresh).select(*[q(c) for c in rows.columns], F.shiftright("_id", 33).cast("int").alias("_part"), F.col("_id").bitwiseAND(F.lit(2**33 - 1)).alias("_line"))
+    numbered.write.partitionBy("_part").parquet(f"{stage}/rows")
+    put_text(spark, f"{stage}/schema", numbered.schema.json())  # a result without rows leaves no file to take it from
+    kept = _indexed_rows(spark, stage)
+    largest = F.struct("amount", *[q(c) for c in tie_break])
+    sizes = kept.groupBy("_part").agg(F.count("*").alias("rows"), F.min_by(largest, "_line").alias("first"), F.max_by(largest, "_line").alias("last"))
+    before = F.sum("rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # a row a part
+    sizes.withColumn("before", F.coalesce(before, F.lit(0))).write.parquet(f"{stage}/index")
+    return stage
+
+
+def _indexed_rows(spark: SparkSession, stage: str) -> DataFrame:
+    schema = spark.read.text(f"{stage}/schema", wholetext=True).first().value
+    return spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(f"{stage}/rows")
+
+
+def indexed_page(spark: SparkSession, stage: str, page: int, page_size: int = SEARCH_PAGE_SIZE) -> DataFrame:
+    """One page of an indexed result, with its number and a has-next flag: reads the parts and lines it lies in only.
+
+    The index has a row a part; the parts of the page are looked up in it first. A page beyond the end has no rows.
+    """
+    start, end = page_size * (page - 1), page_size * page
+    parts = spark.read.parquet(f"{stage}/index").select("_part", "rows", "before").collect()
+    total = sum(r.rows for r in parts)
+    met = [r for r in parts if r.before < end and r.before + r.rows > start]
+    lines = [(F.col("_part") == r["_part"]) & F.col("_line").between(max(0, start - r.before), end - r.before - 1) for r in met]
+    rows = _indexed_rows(spark, stage)
+    found = rows.filter(reduce(lambda x, y: x | y, lines)) if lines else rows.filter(F.lit(False))
+    return found.drop("_part", "_line").withColumns({"page": F.lit(page), "has_next": F.lit(total > end)})
+
+
 def number_pages(
     rows: DataFrame, stage: str, tie_break: Sequence[str], page_size: int = SEARCH_PAGE_SIZE
 ) -> DataFrame:

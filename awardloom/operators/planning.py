@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,36 +93,94 @@ def daily_counts(df: DataFrame, day: str) -> DataFrame:
     return df.groupBy(F.to_date(q(day)).alias("day")).agg(F.count("*").alias("n"))
 
 
+def running_totals(daily: DataFrame) -> DataFrame:
+    """One row: the first day with data and, for it and every later day up to the last, the rows until then (an array).
+
+    The ordered window and the array have one entry a calendar day between the first and the last, whatever the data's size.
+    """
+    span = daily.filter("day is not null").agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    spine = span.filter("a is not null").select(F.explode(F.sequence("a", "b")).alias("day"))
+    until = F.sum(F.coalesce("n", F.lit(0))).over(Window.orderBy("day"))
+    dense = spine.join(daily, "day", "left").select("day", until.alias("total"))
+    found = dense.agg(F.min("day").alias("first_day"), F.sort_array(F.collect_list(F.struct("day", "total"))).alias("x"))
+    return found.select("first_day", F.col("x.total").alias("totals"))
+
+
+def rows_between(start: Column, end: Column, running: DataFrame) -> Column:
+    """Rows from one day to another, both included: two look-ups in the running totals."""
+    first, totals = running.select("first_day").scalar(), running.select("totals").scalar()
+
+    def until(day: Column) -> Column:
+        place = F.least(F.date_diff(day, first), F.size(totals) - 1)
+        return F.when(place >= 0, F.get(totals, place)).otherwise(F.lit(0).cast("bigint"))
+
+    return F.when(start <= end, until(end) - until(F.date_sub(start, 1))).otherwise(F.lit(0).cast("bigint"))
+
+
 def count_ranges(ranges: DataFrame, daily: DataFrame) -> DataFrame:
-    """Rows per date range. Ranges are spread to days, so the join is on equality."""
-    days = ranges.withColumn("day", F.explode(F.sequence("range_start", "range_end")))
-    keys = [q(c) for c in ranges.columns]
-    return days.join(daily, "day", "left").groupBy(*keys).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count")
-    )
+    """Rows per date range ``(range_start, range_end)``, whatever its length; no range is spread to days."""
+    running = stored(running_totals(daily), "running-totals")
+    return ranges.withColumn("row_count", rows_between(F.col("range_start"), F.col("range_end"), running))
 
 
 def split_until(ranges: DataFrame, daily: DataFrame, max_rows: int, min_days: int = MIN_SPLIT_DAYS) -> DataFrame:
     """Split ranges that hold too many rows, again and again, until they fit or have the minimum length.
 
-    Equal ranges count once. A halving round ends when no range is left to split; as each halves the
-    length, there are at most log2(longest range / ``min_days``) + 1 of them. Per-day counts and the ranges
-    of each round are stored, so no round repeats another; all of them have one row per day or range.
+    Equal ranges count once. Every halving is a projection, as counts are look-ups; there are as many as the longest range
+    can need, log2(its length / ``min_days``) + 1.
+    """
+    running = stored(running_totals(daily), "running-totals")
+    start, end = F.col("range_start"), F.col("range_end")
+    days = dates.days_inclusive(start, end)
+    out = ranges.select("range_start", "range_end").distinct()
+    longest = out.agg(F.coalesce(F.max(days), F.lit(1)).alias("n")).first().n
+    while True:
+        out = out.select("range_start", "range_end", rows_between(start, end, running).alias("row_count"))
+        if longest <= min_days:
+            break
+        middle = F.date_add(start, F.floor(F.date_diff(end, start) / 2).cast("int"))
+        pair = lambda a, b: F.struct(a.alias("range_start"), b.alias("range_end"))
+        halves = F.array(pair(start, middle), pair(F.date_add(middle, 1), end))
+        too_big = (F.col("row_count") > max_rows) & (days > min_days)
+        out = out.select(F.inline(F.when(too_big, halves).otherwise(F.array(pair(start, end)))))
+        longest = -(-longest // 2)
+    return out.distinct().withColumn("days", days).withColumn("within_limit", F.col("row_count") <= max_rows)
+
+
+def parse_spans(labels: DataFrame, label: str = "shard") -> DataFrame:
+    """Landed labels ``start_to_end`` as days (span_start, span_end); others give null days and cover nothing."""
+    ends = F.split(q(label), "_to_")
+    day = lambda i: F.try_to_date(F.get(ends, F.lit(i)), "yyyy-MM-dd")
+    whole = (F.size(ends) == 2) & (day(0) <= day(1))
+    return labels.withColumn("span_start", F.when(whole, day(0))).withColumn("span_end", F.when(whole, day(1)))
+
+
+def missing_spans(wanted: DataFrame, covered: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Days of each wanted span (keys, first_day, last_day) that no covered span (keys, span_start, span_end) holds,
+    as spans. Keys may be null; covered spans may overlap, touch or lie in one another.
+
+    Spans of a key that start on one day are one before anything is sorted, so a key has at most a row a calendar day.
     """
-    daily = stored(daily, "per-day")
-    too_big = (F.col("row_count") > max_rows) & (
-        dates.days_inclusive(F.col("range_start"), F.col("range_end")) > min_days
+    same = lambda a, b: reduce(lambda x, y: x & y, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys])
+    spans = covered.filter("span_start is not null").groupBy(*keys, "span_start").agg(F.max("span_end").alias("span_end"))
+    bounds = wanted.filter("first_day <= last_day").groupBy(*keys).agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
+    inside = spans.alias("c").join(bounds.alias("w"), same("c", "w")).filter("span_end >= first_day and span_start <= last_day")
+    clipped = inside.select(*[F.col(f"w.{k}") for k in keys], F.greatest("span_start", "first_day").alias("a"), F.least("span_end", "last_day").alias("b"))
+    # A span of no length after the last day closes the wanted one; before the first, nothing is covered.
+    closing = bounds.select(*keys, F.date_add("last_day", 1).alias("a"), F.date_add("last_day", 1).alias("b"))
+    so_far = Window.partitionBy(*keys).orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
+    seen = clipped.unionByName(closing).withColumn("reached", F.max("b").over(so_far))
+    gaps = seen.alias("s").join(bounds.alias("w"), same("s", "w")).select(
+        *[F.col(f"s.{k}") for k in keys], F.coalesce(F.date_add("reached", 1), "first_day").alias("span_start"), F.date_sub("a", 1).alias("span_end")
     )
-    sized = stored(count_ranges(ranges.select("range_start", "range_end").distinct(), daily), "ranges")
-    out = sized.filter(~too_big)
-    while not (open_ranges := sized.filter(too_big)).isEmpty():
-        halves = split_ranges(open_ranges, min_days).select("range_start", "range_end").distinct()
-        sized = stored(count_ranges(halves, daily), "ranges")
-        out = out.unionByName(sized.filter(~too_big))
-    return (
-        out.distinct()
-        .withColumn("days", dates.days_inclusive(F.col("range_start"), F.col("range_end")))
-        .withColumn("within_limit", F.col("row_count") <= max_rows)
+    return gaps.filter("span_start <= span_end")
+
+
+def repull_list(missing: DataFrame, keys: Sequence[str], chunk_days: int = SHARD_DAYS) -> DataFrame:
+    """Missing spans cut into shards to pull again."""
+    starts = F.sequence("span_start", "span_end", F.expr(f"interval {int(chunk_days)} days"))
+    return missing.select(*keys, "span_end", F.explode(starts).alias("shard_start")).select(
+        *keys, "shard_start", F.least(F.date_add("shard_start", chunk_days - 1), "span_end").alias("shard_end")
     )
 
 

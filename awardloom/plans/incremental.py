@@ -37,6 +37,18 @@ def shard_rows(
     )
 
 
+def planned_shards(bounds: DataFrame, groups: Sequence[str], agencies: Sequence[str], chunk_days: int = SHARD_DAYS) -> DataFrame:
+    """The shards of a pull under the labels that ``shard_rows`` gives them, with their bounds, whether they have rows or not."""
+    planned = planning.plan_shards(bounds, groups, agencies, chunk_days)
+    return planned.select(
+        safe_slug(F.col("award_group")).alias("award_group"),
+        planning.shard_label(F.col("shard_start"), F.col("shard_end")).alias("shard"),
+        safe_slug(F.coalesce("agency", F.lit("all"))).alias("agency_slug"),
+        "shard_start",
+        "shard_end",
+    )
+
+
 def write_shards(rows: DataFrame, path: str) -> str:
     """Replace the partitions that ``rows`` covers; a repeated pull gives the same table."""
     return sinks.write_partitions(rows, path, PARTITION_KEYS)

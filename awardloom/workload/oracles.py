@@ -6,9 +6,14 @@ Each text starts from the same fixture views as the Spark side and states the re
 
 from __future__ import annotations
 
+import re
+
+from ..config import EngineConfig
 from . import bindings
 from .bindings import ansi
 
+CONFIG = EngineConfig()
+
 ORACLES: dict[str, str] = {}
 
 RAW = f"awards_raw AS ({ansi(bindings.AWARDS_RAW)})"
@@ -123,9 +128,11 @@ register("awards_stream", f'SELECT * EXCLUDE (source_file, row_order, "Dollars O
 register(
     "landed_file_inventory",
     """
-SELECT CASE WHEN modification_number <= '3' THEN 'low' ELSE 'high' END AS folder, 'csv' AS format,
-  23 AS column_count, count(*) AS "rows", CAST(0 AS BIGINT) AS unreadable_files, CAST(0 AS BIGINT) AS empty_files
-FROM awards_raw GROUP BY 1""",
+SELECT folder, CASE folder WHEN 'typed+' THEN 'parquet' ELSE 'csv' END AS format, 22 AS column_count, count(*)::BIGINT AS "rows",
+  0::BIGINT AS unreadable_files, 0::BIGINT AS empty_files
+FROM awards_raw, (VALUES ('low [0]', '1'), ('low [0]', '2'), ('high 50%25 off', '3'), ('high 50%25 off', '4'), ('typed+', '5'),
+  ('with space (1)', '6'), ('with space (1)', '7'), ('{again}', '7')) f(folder, modification) WHERE modification_number = modification GROUP BY folder
+UNION ALL SELECT * FROM (VALUES ('odd', 'csv', 0, NULL, 1, 1), ('odd', 'csv', 22, 0, 1, 0), ('odd', 'csv', 2, 1, 0, 0), ('odd', 'parquet', 0, NULL, 1, 0))""",
     RAW,
 )
 register(
@@ -163,6 +170,35 @@ GROUP BY ALL""",
     GROUPS,
 )
 
+_repull_shard = f"""strftime({shard_start(90)}, '%Y-%m-%d') || '_to_' || strftime(least({shard_start(90)} + 89, DATE '2001-08-01'), '%Y-%m-%d')"""
+REPULLED = "DATE '1995-01-01' + 1800"
+register(
+    "incremental_repull",
+    f"""
+SELECT award_group, shard, agency_slug, count(amount) AS logged_rows, count(amount) AS row_count, CAST(sum(amount) AS DOUBLE) AS amount
+FROM planned LEFT JOIN (
+  SELECT award_group, {_repull_shard} AS shard, replace(awarding_toptier, ' ', '_') AS agency_slug,
+    CASE WHEN action_date >= {REPULLED} AND order_key % 3 = 0 THEN amount + 1 ELSE amount END AS amount
+  FROM awards_predicate JOIN award_groups USING (award_type_code)
+  WHERE action_date BETWEEN DATE '1995-01-01' AND DATE '2001-08-01' AND NOT (action_date >= {REPULLED} AND (part_key % 5 = 0 OR awarding_toptier = 'ASIA'))
+) USING (award_group, shard, agency_slug) GROUP BY ALL""",
+    PREDICATE,
+    GROUPS,
+    """planned AS (
+  SELECT g AS award_group, replace(r_name, ' ', '_') AS agency_slug,
+    strftime(d, '%Y-%m-%d') || '_to_' || strftime(least(d + 89, DATE '2001-08-01'), '%Y-%m-%d') AS shard
+  FROM (SELECT DATE '1995-01-01' + CAST(90 * i AS INTEGER) AS d FROM range(0, (DATE '2001-08-01' - DATE '1995-01-01') // 90 + 1) r(i)), (VALUES ('contracts'), ('loans')) t(g), region)""",
+)
+register(
+    "awards_merge",
+    f"""
+SELECT * EXCLUDE (pull, source_file, "Dollars Obligated", "{BASE}"), {AS_DOUBLE} FROM (
+  SELECT *, 1 AS pull FROM cleaned WHERE "Modification Number" <= '5'
+  UNION ALL SELECT * REPLACE ("Dollars Obligated" * 2 AS "Dollars Obligated"), 2 FROM cleaned WHERE "Modification Number" >= '4'
+) QUALIFY row_number() OVER (PARTITION BY "PIID", "Modification Number", "Date Signed" ORDER BY pull DESC, row_order) = 1""",
+    CLEANED,
+)
+
 # -- projection and typing ----------------------------------------------------
 
 register("conform_columns", "SELECT * FROM conformed", CONFORMED)
@@ -257,6 +293,14 @@ register(
     PREDICATE,
 )
 register("agency_semi_filter", f"{PREDICATE_ROWS} WHERE {AGENCY_MATCH}", PREDICATE)
+register(
+    "agency_filter_specs",
+    f"""{PREDICATE_ROWS} WHERE EXISTS (FROM parsed WHERE
+  (tier = 'toptier' AND name = CASE type WHEN 'funding' THEN funding_toptier ELSE awarding_toptier END) OR
+  (tier = 'subtier' AND name = CASE type WHEN 'funding' THEN funding_subtier ELSE awarding_subtier END AND toptier_name = CASE type WHEN 'funding' THEN funding_toptier ELSE awarding_toptier END))""",
+    PREDICATE,
+    ORACLES["agency_spec_parse"].replace("WITH ", "", 1).replace("SELECT spec_id, spec, type,", "parsed AS (SELECT DISTINCT type,", 1).replace(")\nparsed", "),\nparsed", 1) + ")",
+)
 register(
     "award_group_lookup",
     """
@@ -291,6 +335,14 @@ FROM awards_predicate WHERE award_type_code IN ('A', 'B', 'C', 'D')
   AND action_date BETWEEN DATE '1995-01-01' AND DATE '2001-08-01'""",
     PREDICATE,
 )
+register(
+    "search_page_deep",
+    """
+SELECT * EXCLUDE (amount), CAST(amount AS DOUBLE) AS amount, 11 AS page, (SELECT count(*) FROM found) > 1100 AS has_next
+FROM (SELECT order_key, line_number, part_key, supplier_key, amount FROM found ORDER BY found.amount DESC, order_key, line_number, part_key, supplier_key LIMIT 100 OFFSET 1000)""",
+    PREDICATE,
+    """found AS (SELECT * FROM awards_predicate WHERE award_type_code IN ('A', 'B', 'C', 'D') AND action_date BETWEEN DATE '1995-01-01' AND DATE '2001-08-01')""",
+)
 for _name, _first in {
     "window_daily": "2001-08-01",
     "window_weekly": "2001-07-26",
@@ -410,6 +462,34 @@ register(
     'twice AS (SELECT * FROM conformed UNION ALL SELECT * FROM conformed WHERE "Modification Number" = \'7\')',
 )
 
+_texts = {"required": "Required field '{}' has # null values", "fiscal_year": "Found # records with invalid fiscal years",
+          "min_dollars": "Found # records below minimum dollar threshold", "dates": "Column '{}': # invalid dates converted to null",
+          "numerics": "Column '{}': # invalid numeric values converted to null"}
+_of = [*("PIID", "Fiscal Year", "Legal Business Name"), "", "", *DATES, *NUMBERS]
+_quoted = lambda x: "'" + x.replace("'", "''") + "'"
+_odd = [("other.csv", "ERROR" if src not in CONFIG.optional_columns else "WARNING", "missing_column", f"Missing column: {src} -> {dst}") for src, dst in CONFIG.column_mapping.items()]
+_odd = [(p, s, r, re.sub("[0-9]+", "#", m)) for p, s, r, m in _odd] + [
+    ("other.csv", "ERROR", "load", "No required columns found in dataset"),
+    ("header only.csv", "WARNING", "missing_column", "Missing column: ordering_period_end_date -> Last Date to Order"),
+    ("empty.csv", "ERROR", "load", "Failed to load file empty.csv: file is empty"),
+    ("ragged.csv", "ERROR", "load", "Failed to load file ragged.csv: expected # fields, saw #"),
+    ("broken [1].parquet", "ERROR", "load", "Failed to load file broken [#].parquet:"),
+]
+register(
+    "process_landing_messages",
+    "SELECT place, severity, rule, message FROM ("
+    + " UNION ALL ".join(
+        f"SELECT folder AS place, '{s}' AS severity, '{r}' AS rule, {_quoted(_texts[r].format(c))} AS message, count(*) FILTER (WHERE {x}) AS n FROM placed GROUP BY folder"
+        for (s, r, x), c in zip(_landed, _of)
+    )
+    + ") WHERE n > 0 UNION ALL SELECT DISTINCT folder, 'WARNING', 'missing_column', 'Missing column: ordering_period_end_date -> Last Date to Order' FROM placed"
+    + " UNION ALL SELECT NULL, 'INFO', 'duplicates', 'Removed # duplicate rows'"
+    + "".join(f" UNION ALL SELECT {', '.join(map(_quoted, x))}" for x in _odd),
+    CONFORMED.replace(RAW, f"{RAW}, {HOSTILE}", 1).replace("row_order FROM awards_raw)", "row_order FROM hostile)", 1),
+    """placed AS (SELECT * FROM conformed JOIN (VALUES ('low [0]', '1'), ('low [0]', '2'), ('high 50%25 off', '3'), ('high 50%25 off', '4'), ('typed+', '5'),
+  ('with space (1)', '6'), ('with space (1)', '7'), ('{again}', '7')) f(folder, modification) ON "Modification Number" = modification)""",
+)
+
 # -- union and dedup ----------------------------------------------------------
 
 register(
@@ -537,6 +617,26 @@ register(
     ),
     AWARDS,
 )
+_exact_kinds = ("int", "decimal(20,2)")
+register(
+    "profile_merged",
+    each(
+        lambda i, c, t: f"count(*) AS row_count, {nulls(c)} AS null_count, "
+        + (f'CAST(sum("{c}") AS DOUBLE) AS total, CAST(min("{c}") AS DOUBLE) AS least, CAST(max("{c}") AS DOUBLE) AS most, ' if t in _exact_kinds else "CAST(NULL AS DOUBLE) AS total, CAST(NULL AS DOUBLE) AS least, CAST(NULL AS DOUBLE) AS most, ")
+        + (f'CAST(sum(length("{c}")) AS BIGINT) AS text_length, CAST(max(length("{c}")) AS BIGINT) AS longest, ' if t == "string" else "CAST(NULL AS BIGINT) AS text_length, CAST(NULL AS BIGINT) AS longest, ")
+        + "true AS distinct_near, " + ("true AS median_near" if t in _exact_kinds else "CAST(NULL AS BOOLEAN) AS median_near")
+    ).replace("FROM awards", "FROM cleaned"),
+    CLEANED,
+)
+register(
+    "quality_report_issues",
+    "SELECT 'summary' AS part, column_name AS name, data_type AS kind, null_count AS n, total_rows AS \"of\" FROM ("
+    + each(lambda i, c, t: f"'{t}' AS data_type, {nulls(c)} AS null_count, count(*) AS total_rows")
+    + ") UNION ALL SELECT 'issues', rule, severity, CAST(sum(n) AS BIGINT), count(*) FROM ("
+    + " UNION ALL ".join(f"SELECT '{s}' AS severity, '{r}' AS rule, count(*) FILTER (WHERE {x}) AS n FROM conformed GROUP BY source_file" for s, r, x in _landed)
+    + ") WHERE n > 0 GROUP BY ALL UNION ALL SELECT 'issues', 'missing_column', 'WARNING', NULL, count(DISTINCT source_file) FROM conformed",
+    AWARDS,
+)
 MISSING = f"""SELECT * FROM ({each(lambda i, c, t: f"{nulls(c)} AS null_count, {percent(nulls(c), 'count(*)')} AS null_percentage")})
 WHERE null_count > 0"""
 register("missing_data_ranked", MISSING, AWARDS)
@@ -736,6 +836,35 @@ FROM (SELECT d, d - CAST(row_number() OVER (ORDER BY d) AS INTEGER) AS island
   WHERE d NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders))
 GROUP BY island""",
 )
+register(
+    "missing_shards",
+    """
+SELECT award_group, agency_slug, a + CAST(7 * i AS INTEGER) AS shard_start, least(a + CAST(7 * i + 6 AS INTEGER), b) AS shard_end
+FROM (SELECT award_group, agency_slug, min(d) AS a, max(d) AS b, unnest(range(0, (max(d) - min(d)) // 7 + 1)) AS i FROM (
+  SELECT award_group, agency_slug, d, d - CAST(row_number() OVER (PARTITION BY award_group, agency_slug ORDER BY d) AS INTEGER) AS island
+  FROM (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 DAY)) AS DATE) AS d), (VALUES ('contracts'), ('loans')) t(award_group),
+    (SELECT replace(r_name, ' ', '_') AS agency_slug FROM region)
+  WHERE (award_group, agency_slug, d) NOT IN (SELECT award_group, agency_slug, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) FROM landed)
+) GROUP BY award_group, agency_slug, island)""",
+    PREDICATE,
+    GROUPS,
+    f"""landed AS (
+  SELECT DISTINCT award_group, replace(awarding_toptier, ' ', '_') AS agency_slug, {shard_start(7)} AS a, least({shard_start(7)} + 6, DATE '2001-08-01') AS b
+  FROM awards_predicate JOIN award_groups USING (award_type_code)
+  WHERE award_group IN ('contracts', 'loans') AND action_date BETWEEN DATE '1995-01-01' AND DATE '2001-08-01' AND part_key % 3 <> 0 AND month(action_date) NOT IN (2, 7)
+  UNION SELECT DISTINCT award_group, replace(awarding_toptier, ' ', '_'), {shard_start(28)}, least({shard_start(28)} + 27, DATE '2001-08-01')
+  FROM awards_predicate JOIN award_groups USING (award_type_code)
+  WHERE award_group IN ('contracts', 'loans') AND action_date BETWEEN DATE '1995-01-01' AND DATE '2001-08-01' AND month(action_date) = 7 AND supplier_key % 2 = 0)""",
+)
+register(
+    "range_counts",
+    """
+SELECT r.o_orderkey, r.a AS range_start, r.b AS range_end, (coalesce(u.t, 0) - coalesce(v.t, 0))::BIGINT AS row_count
+FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) - 400 AS a, CAST(o_orderdate AS DATE) - 400 + [29, 89, 364, 3651][CAST(o_orderkey % 4 + 1 AS INTEGER)] AS b FROM orders) r
+ASOF LEFT JOIN running u ON r.b >= u.d
+ASOF LEFT JOIN running v ON r.a > v.d""",
+    "running AS (SELECT CAST(o_orderdate AS DATE) AS d, sum(count(*)) OVER (ORDER BY CAST(o_orderdate AS DATE)) AS t FROM orders GROUP BY 1)",
+)
 register(
     "month_bucket",
     """

@@ -11,11 +11,11 @@ from pyspark.sql import types as T
 
 from ..config import EngineConfig
 from ..functions import casts, dates, text
-from ..operators import conform, dedup, filters, monitor, planning, profile, reports, validate
+from ..operators import conform, dedup, filters, monitor, planning, profile, reports, sketches, validate
 from ..plans import incremental, transform
 from ..schema import AWARD_KEYS, AWARD_TYPE_GROUPS, BOOLEAN_COLUMNS, DATE_COLUMNS, TEXT_COLUMNS, q
-from ..session import fresh_dir, put_text
-from ..sources import documents, landing, sinks
+from ..session import fresh_dir, put_text, stored
+from ..sources import documents, history, landing, manifest, sinks
 from ..streaming import pages as pages_stream
 from . import bindings
 from . import staging as S
@@ -41,6 +41,9 @@ KEEP = ("source_file", "row_order")
 SPECS = ["ASIA", "funding:EUROPE", "NATION_3|AMERICA", " Funding: NATION_7 | AFRICA "]
 SHARD_GROUPS = ["contracts", "loans", "no_such_group"]
 SPLIT_WINDOWS, SPLIT_ROWS = (3, 28, 92, 400), 170
+REPULL_DAYS = 90
+#: A shard's first day, from which on everything is pulled again.
+REPULL_FROM = FIRST_DAY + dt.timedelta(days=20 * REPULL_DAYS)
 
 
 def query(fn: Query) -> Query:
@@ -178,6 +181,19 @@ def process_landing_issues(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def process_landing_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Every different issue of a folder's files, or of an odd file, with # for numbers."""
+    report = _hostile_run(spark, sf, "parquet").report_path
+    issues = spark.read.schema("source_file string, severity string, rule string, message string").json(f"{report}/issues")
+    steps = F.split("source_file", "/")
+    folder, name = F.element_at(steps, -2), F.element_at(steps, -1)
+    message = F.regexp_replace("message", "[0-9]+", "#")
+    # What a Parquet reader says of a file that is none is its own.
+    message = F.regexp_replace(message, r"(Failed to load file [^:]*\.parquet:).*", "$1")
+    return issues.select(F.when(folder == "odd", name).otherwise(folder).alias("place"), "severity", "rule", message.alias("message")).distinct()
+
+
 @query
 def awards_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Files of two column orders, taken in one at a time."""
@@ -188,7 +204,8 @@ def awards_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def landed_file_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    files = landing.inventory(landing.scan_landing(spark, landed(spark, sf, "csv"), ("csv",), multi_line=False))
+    """The odd landing as it is: line breaks, empty, ragged and broken files, other headers."""
+    files = landing.inventory(landing.scan_landing(spark, hostile_landing(spark, sf)))
     return files.groupBy(
         F.element_at(F.split("path", "/"), -2).alias("folder"), "format", "column_count"
     ).agg(
@@ -221,6 +238,21 @@ def quality_report_json(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(wanted).json(f"{out}/profiles")
 
 
+@query
+def quality_report_issues(spark: SparkSession, sf: str) -> DataFrame:
+    """The issues and the summary of the same report, read back."""
+    awards = S.awards(spark, sf)
+    issues = transform.prepare([S.awards_raw(spark, sf)], S.CONFIG).issues
+    summary = profile.summary_stats(awards)
+    out = sinks.write_quality_report(summary.select("column_name"), issues, summary, fresh_dir(spark, "quality"))
+    found = spark.read.schema("severity string, rule string, issue_count bigint").json(f"{out}/issues")
+    columns = spark.read.schema("column_name string, data_type string, null_count bigint, total_rows bigint").json(f"{out}/summary")
+    counted = found.groupBy("rule", "severity").agg(F.sum("issue_count").alias("n"), F.count("*").alias("of"))
+    return columns.select(F.lit("summary").alias("part"), F.col("column_name").alias("name"), F.col("data_type").alias("kind"), F.col("null_count").alias("n"), F.col("total_rows").alias("of")).unionByName(
+        counted.select(F.lit("issues").alias("part"), F.col("rule").alias("name"), F.col("severity").alias("kind"), "n", "of")
+    )
+
+
 @query
 def search_pages_explode(spark: SparkSession, sf: str) -> DataFrame:
     return documents.flatten_pages(S.search_pages(spark, sf))
@@ -249,6 +281,62 @@ def incremental_partitions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _repull_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return incremental.shard_rows(S.awards_predicate(spark, sf), SHARD_GROUPS, FIRST_DAY, LAST_DAY, "awarding_toptier", REPULL_DAYS)
+
+
+@query
+def incremental_repull(spark: SparkSession, sf: str) -> DataFrame:
+    """Shards after a pull of everything, a later one of the newest shards, in which rows have changed, gone, or all gone from
+    a shard, and one that was never committed."""
+    path, keys = fresh_dir(spark, "shard-table"), list(incremental.PARTITION_KEYS)
+    kinds = "order_key bigint, part_key bigint, action_date date, awarding_toptier string, amount decimal(20,2)"
+    rows = _repull_rows(spark, sf).select(*[c.split()[0] for c in kinds.split(", ")], *keys)
+    agencies = [r.r_name for r in S.table(spark, sf, "region").select("r_name").collect()]
+    bounds = spark.createDataFrame([(FIRST_DAY, LAST_DAY)], "first_day date, last_day date")
+    planned = incremental.planned_shards(bounds, ["contracts", "loans"], agencies, REPULL_DAYS)
+    manifest.pull_shards(rows, planned, path, keys)
+    late = rows.filter((F.col("action_date") >= F.lit(REPULL_FROM)) & (F.col("part_key") % 5 != 0) & (F.col("awarding_toptier") != "ASIA"))
+    late = late.withColumn("amount", F.when(F.col("order_key") % 3 == 0, F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(20,2)"))
+    again = planned.filter(F.col("shard_start") >= F.lit(REPULL_FROM))
+    manifest.pull_shards(late, again, path, keys)
+    manifest.write_pull(late.filter("order_key % 2 = 0"), again, path, keys)  # cut short
+    back = manifest.read_shards(spark, path, keys, kinds).groupBy(*keys).agg(F.count("*").alias("row_count"), F.sum("amount").alias("amount"))
+    shards = manifest.current_shards(spark, path, keys)
+    return plain(shards.join(back, keys, "left").select(*keys, F.col("rows").alias("logged_rows"), F.coalesce("row_count", F.lit(0)).alias("row_count"), "amount"))
+
+
+@query
+def awards_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """The history after two pulls that overlap: of an award that both have, the later pull's row."""
+    rows = cleaned(spark, sf)
+    mod = q("Modification Number")
+    later = rows.filter(mod >= "4").withColumn("Dollars Obligated", (q("Dollars Obligated") * 2).cast("decimal(20,2)"))
+    buckets, order = 8, ["row_order"]
+    first = history.create([rows.filter(mod <= "5")], fresh_dir(spark, "history"), AWARD_KEYS, order, buckets)
+    schema = spark.read.parquet(first).schema.toDDL()
+    out = history.merge(spark, first, schema, [later], fresh_dir(spark, "history"), AWARD_KEYS, order, buckets)
+    return plain(spark.read.parquet(out).drop(history.KEY, "source_file"))
+
+
+@query
+def profile_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The profile of all rows from sketches kept for every file, and whether the estimates are within their stated errors."""
+    rows = cleaned(spark, sf).drop("row_order")
+    kept = stored(sketches.column_sketches(rows, ["source_file"]), "sketches")
+    merged = stored(sketches.estimates(sketches.merge_sketches(kept)), "profile")
+    rows = rows.drop("source_file")
+    medians = {r.column_name: r.median_estimate for r in merged.filter("median_estimate is not null").select("column_name", "median_estimate").collect()}
+    value = lambda c: q(c).cast("double")
+    share = lambda c, x: F.count_if(x) / F.count(q(c))
+    met = lambda c, m: (share(c, value(c) < m) <= 0.5 + sketches.RANK_ERROR) & (share(c, value(c) <= m) >= 0.5 - sketches.RANK_ERROR)
+    near = rows.agg(F.array(*[F.struct(F.lit(c).alias("column_name"), met(c, m).alias("median_near")) for c, m in medians.items()]).alias("x")).select(F.inline("x"))
+    distinct = profile.profile_distinct(rows).select("column_name", "unique_count")
+    error = F.abs(F.col("distinct_estimate") - F.col("unique_count")) <= 1 + sketches.DISTINCT_ERROR * F.col("unique_count")
+    out = merged.join(distinct, "column_name").join(near, "column_name", "left")
+    return plain(out.select("column_name", "row_count", "null_count", "total", "least", "most", "text_length", F.col("longest").cast("bigint").alias("longest"), error.alias("distinct_near"), "median_near"))
+
+
 # -- projection and typing ----------------------------------------------------
 
 
@@ -393,6 +481,13 @@ def agency_semi_filter(spark: SparkSession, sf: str) -> DataFrame:
     return plain(filters.agency_filter(S.awards_predicate(spark, sf), SPECS))
 
 
+@query
+def agency_filter_specs(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with a frame of specs, a spec for every supplier and customer."""
+    specs = filters.parse_agency_specs(S.view(spark, sf, bindings.AGENCY_SPECS))
+    return plain(filters.agency_filter(S.awards_predicate(spark, sf), specs))
+
+
 @query
 def search_page(spark: SparkSession, sf: str) -> DataFrame:
     rows = filters.search_request(
@@ -410,6 +505,15 @@ def search_drain(spark: SparkSession, sf: str) -> DataFrame:
     return plain(filters.number_pages(rows, fresh_dir(spark, "drain"), ties))
 
 
+@query
+def search_page_deep(spark: SparkSession, sf: str) -> DataFrame:
+    """A late page by way of the page index."""
+    ties = ["order_key", "line_number", "part_key", "supplier_key"]
+    rows = filters.search_request(S.awards_predicate(spark, sf), filters.codes_of(["contracts"]), FIRST_DAY, LAST_DAY).select(*ties, "amount")
+    stage = filters.index_pages(rows, fresh_dir(spark, "pages"), ties)
+    return plain(filters.indexed_page(spark, stage, 11, 100))
+
+
 def _window(spark: SparkSession, sf: str, mode: str, days: int = 30) -> DataFrame:
     orders = S.table(spark, sf, "orders")
     picked = filters.relative_window(orders, "o_orderdate", mode, AS_OF_DATE, days)
@@ -624,6 +728,33 @@ def date_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return planning.date_gaps(S.table(spark, sf, "orders"), "o_orderdate", first, last)
 
 
+@query
+def missing_shards(spark: SparkSession, sf: str) -> DataFrame:
+    """What is to be pulled again, from the labels of landed shards of two lengths, which overlap."""
+    rows = S.awards_predicate(spark, sf)
+    month = F.month("action_date")
+    short = rows.filter((F.col("part_key") % 3 != 0) & ~month.isin(2, 7))
+    long = rows.filter((month == 7) & (F.col("supplier_key") % 2 == 0))
+    parts = [incremental.shard_rows(r, SHARD_GROUPS, FIRST_DAY, LAST_DAY, "awarding_toptier", n) for r, n in ((short, 7), (long, 28))]
+    keys = ["award_group", "agency_slug"]
+    landed = planning.parse_spans(dedup.union_all([p.select(*keys, "shard").distinct() for p in parts]))
+    regions = S.table(spark, sf, "region").select(text.safe_slug(F.col("r_name")).alias("agency_slug"))
+    wanted = regions.select("agency_slug", F.explode(F.array(F.lit("contracts"), F.lit("loans"))).alias("award_group")).withColumns(
+        {"first_day": F.lit(FIRST_DAY), "last_day": F.lit(LAST_DAY)}
+    )
+    return planning.repull_list(planning.missing_spans(wanted, landed, keys), keys)
+
+
+@query
+def range_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of every range from an order's date to a month, a quarter, a year and ten years later: as many ranges as orders."""
+    orders = S.table(spark, sf, "orders")
+    day = F.to_date("o_orderdate")
+    lengths = F.element_at(F.array(*[F.lit(n) for n in (29, 89, 364, 3651)]), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    ranges = orders.select("o_orderkey", F.date_sub(day, 400).alias("range_start"), F.date_add(F.date_sub(day, 400), lengths).alias("range_end"))
+    return planning.count_ranges(ranges, planning.daily_counts(orders, "o_orderdate"))
+
+
 @query
 def month_bucket(spark: SparkSession, sf: str) -> DataFrame:
     orders = planning.month_buckets(S.table(spark, sf, "orders"), "o_orderdate")
