@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import prepare, ids_and_texts, in_batches
+from .common import ids_and_texts, in_batches, prepare, worker_state
 from .tokens import WordEncoder, packed, spoken
 
 #: Byte b is written as the character FIRST + b: letters, none of them white space.
@@ -110,13 +110,8 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
-
-
 def codec(path: str, pattern: str) -> Codec:
-    if (path, pattern) not in _codecs:
-        _codecs[path, pattern] = Codec(path, pattern)
-    return _codecs[path, pattern]
+    return worker_state(("codec", path, pattern), lambda: Codec(path, pattern))
 
 
 def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -18,7 +18,7 @@ from ..session import fresh_dir
 
 #: Rows and bytes of one Arrow batch handed to Python; the byte bound is what counts for long texts.
 BATCH_ROWS = 2000
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 8 << 20
 
 
 _shipped: set[str] = set()
@@ -47,6 +47,17 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+_state: dict = {}
+
+
+def worker_state(key, build: Callable):
+    """What a Python worker keeps from task to task, such as a tokenizer: of one owner, as a new owner drops the last one's."""
+    if key not in _state:
+        _state.clear()
+        _state[key] = build()
+    return _state[key]
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors."""
     path = fresh_dir(df.sparkSession, label)

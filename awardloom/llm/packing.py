@@ -5,6 +5,10 @@ each. The bin being filled takes, of the examples at hand that still fit, the on
 largest dot product with the bin's remaining room (both as shares of the limits): it favours examples
 that are large where room is left. Every input task packs its own rows, so no row moves; a task holds at
 most ``POOL`` examples at a time, and every example ends up in a sequence.
+
+Texts are taken as instruction data: of each document's tokens a first share is its prompt, which bears no loss, and the
+rest its answer, every token of which does. So pieces of one length differ in loss, and a sequence is filled by
+answers up to its loss limit and by prompts beside them.
 """
 
 from __future__ import annotations
@@ -34,45 +38,56 @@ class Limits(NamedTuple):
 
 
 class Pool:
-    """Examples at hand, as rows (tokens, 1, loss) of a matrix of shares of the limits."""
+    """Examples at hand: the columns of their vectors (tokens, 1, loss), and the tokens before their first loss."""
 
     def __init__(self, limits: Limits, size: int = POOL):
-        self.limits = np.array(limits, dtype=np.int64)
-        self.size = size
-        self.vectors = np.zeros((size, 3), dtype=np.int64)
+        self.limits, self.size = limits, size
+        self.tokens, self.loss, self.free_head = (np.zeros(size, dtype=np.int64) for _ in range(3))
         self.examples: list = [None] * size
-        self.free = list(range(size - 1, -1, -1))
+        self.places = list(range(size - 1, -1, -1))
         self.used = np.zeros(size, dtype=bool)
 
-    def add(self, tokens: int, loss: int, example) -> None:
-        i = self.free.pop()
-        self.vectors[i] = tokens, 1, loss
+    def add(self, tokens: int, loss: int, example, free_head: int = 0) -> None:
+        i = self.places.pop()
+        self.tokens[i], self.loss[i], self.free_head[i] = tokens, loss, free_head
         self.examples[i] = example
         self.used[i] = True
 
     def __len__(self) -> int:
-        return self.size - len(self.free)
+        return self.size - len(self.places)
+
+    def _best(self, can: np.ndarray, room: list[int]) -> int | None:
+        """Of the examples that can, the one with the largest dot product with the room; ties go to the lowest place."""
+        limits = self.limits
+        # One segment each: that part of the product is the same for all.
+        worth = self.tokens * (room[0] / max(limits.tokens, 1) ** 2) + self.loss * (room[2] / max(limits.loss, 1) ** 2)
+        i = int(np.where(can, worth, -1.0).argmax())
+        return i if can[i] else None
+
+    def best(self, room: list[int]) -> int | None:
+        """The best of those that fit the room (tokens, segments, loss)."""
+        if room[1] < 1:
+            return None
+        return self._best(self.used & (self.tokens <= room[0]) & (self.loss <= room[2]), room)
 
-    def best(self, room: np.ndarray, must_fit: bool = True) -> int | None:
-        """The example with the largest dot product with the room; ties go to the lowest place."""
-        can = self.used & (self.vectors <= room).all(axis=1) if must_fit else self.used
-        if not can.any():
+    def best_to_cut(self, room: list[int]) -> int | None:
+        """The best of those of which at least a token fits."""
+        if room[0] < 1 or room[1] < 1:
             return None
-        worth = (self.vectors / self.limits) @ (room / self.limits)
-        return int(np.argmax(np.where(can, worth, -1.0)))
+        return self._best(self.used & (self.free_head > 0) if room[2] < 1 else self.used, room)
 
     def take(self, i: int):
         self.used[i] = False
-        self.free.append(i)
+        self.places.append(i)
         example, self.examples[i] = self.examples[i], None
-        return tuple(self.vectors[i].tolist()), example
+        return (int(self.tokens[i]), 1, int(self.loss[i])), example
 
     def fill(self) -> list:
         """One bin: (vector, example) in order of placement."""
-        room, placed = self.limits.copy(), []
+        room, placed = list(self.limits), []
         while (i := self.best(room)) is not None:
             vector, example = self.take(i)
-            room -= vector
+            room = [r - x for r, x in zip(room, vector)]
             placed.append((vector, example))
         return placed
 
@@ -122,65 +137,84 @@ def pack(spark: SparkSession, items: DataFrame, limits: Limits, id_col: str, tok
 
 
 class Piece(NamedTuple):
+    """Some of a document's ids, from ``start`` on; those before ``answer`` (counted from the document's start) bear no loss."""
+
     doc_id: int | None
     ids: np.ndarray
     start: int
     doc_tokens: int
+    answer: int
+
+    @property
+    def free_head(self) -> int:
+        return min(len(self.ids), max(0, self.answer - self.start))
+
+    @property
+    def loss(self) -> int:
+        return len(self.ids) - self.free_head
+
+    def cut(self, n: int) -> tuple[Piece, Piece]:
+        return self._replace(ids=self.ids[:n]), self._replace(ids=self.ids[n:], start=self.start + n)
 
 
 def pack_texts(
     spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int, limits: Limits, id_col: str = "doc_id",
-    text_col: str = "text", loss_free: int = 1,
+    text_col: str = "text", prompt_percent: int = 50,
 ) -> DataFrame:
     """Tokenise whole texts, cut them freely and pack the pieces; one row a piece.
 
-    Each piece's first ``loss_free`` tokens bear no loss (nothing precedes them). Full-length pieces are
-    cut off first and fill a sequence alone; what is left of each document is packed by the heuristic, and
-    where nothing fits any more, the example with the largest dot product is cut to fill the rest. What a
-    task has left at its end is cut into sequences whose lengths are powers of two, which need no padding.
-    Columns: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, n_loss. A null text is an
-    empty one (its end id alone); repeated rows are separate documents; an empty table gives no rows.
+    The first ``prompt_percent`` of a document's tokens (rounded down) are its prompt and bear no loss, the others do.
+    Documents are cut into examples of half a sequence, which are packed by the heuristic; where nothing fits any more, the
+    example with the largest dot product is cut to fill the rest. A sequence that ends before it is full, because of the limit on
+    segments or on loss, or as nothing is left, is cut back to a power of two, which needs no padding: whatever the texts,
+    there is none. Columns: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, n_loss. A null text is an
+    empty one (its end id alone); repeated rows are separate documents; an empty table gives no rows. All limits must be
+    positive.
     """
+    if min(limits) < 1:
+        raise ValueError("all limits must be positive")
     prepare(spark)
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "n_loss"]
-    capacity = min(limits.tokens, limits.loss + loss_free)
-    bears = lambda n: max(0, n - loss_free)
+    example = max(1, limits.tokens // 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = tokenizer_encoder(tokenizer), np.array([end_id], "<u4")
         pool, next_id = Pool(limits), TaskContext.get().partitionId() * TASK_STEP
         out: list[tuple] = []
 
-        def place(pieces: list[Piece]) -> None:
-            nonlocal next_id
-            offset = 0
-            for p in pieces:
-                n = len(p.ids)
-                out.append((p.doc_id, p.start, n, crc(p.ids.tobytes()), p.doc_tokens, next_id, offset, bears(n)))
-                offset += n
-            next_id += 1
-
-        def cut(p: Piece, n: int) -> tuple[Piece, Piece]:
-            return p._replace(ids=p.ids[:n]), p._replace(ids=p.ids[n:], start=p.start + n)
-
         def put(p: Piece) -> None:
-            pool.add(len(p.ids), bears(len(p.ids)), p)
+            pool.add(len(p.ids), p.loss, p, p.free_head)
 
         def fill(most: int) -> None:
-            """One sequence of ``most`` tokens, or fewer if a limit or the pool ends it."""
-            room, pieces = np.minimum(pool.limits, [most, limits.segments, limits.loss]), []
-            while room[0] and room[1] and len(pool):
+            """One sequence of ``most`` tokens (a power of two or the limit), or of fewer, then a power of two."""
+            nonlocal next_id
+            room, pieces = [most, limits.segments, limits.loss], []
+            while room[0] and room[1]:
                 i = pool.best(room)
-                if i is None:
-                    n = min(int(room[0]), int(room[2]) + loss_free)
-                    _, p = pool.take(pool.best(room, must_fit=False))
-                    p, rest = cut(p, n)
+                if i is not None:
+                    _, p = pool.take(i)
+                elif (i := pool.best_to_cut(room)) is not None:
+                    _, p = pool.take(i)
+                    p, rest = p.cut(min(room[0], p.free_head + room[2]))
                     put(rest)
                 else:
-                    _, p = pool.take(i)
-                room -= [len(p.ids), 1, bears(len(p.ids))]
+                    break
+                room = [room[0] - len(p.ids), room[1] - 1, room[2] - p.loss]
                 pieces.append(p)
-            place(pieces)
+            length = most - room[0]
+            if room[0]:
+                length = 1 << length.bit_length() - 1
+            offset = 0
+            for p in pieces:
+                if offset >= length:
+                    put(p)
+                    continue
+                if offset + len(p.ids) > length:
+                    p, rest = p.cut(length - offset)
+                    put(rest)
+                out.append((p.doc_id, p.start, len(p.ids), crc(p.ids.tobytes()), p.doc_tokens, next_id, offset, p.loss))
+                offset += len(p.ids)
+            next_id += 1
 
         def rows() -> Iterator[pa.RecordBatch]:
             if out:
@@ -190,20 +224,15 @@ def pack_texts(
         for batch in batches:
             for doc_id, raw in zip(batch.column(0).to_pylist(), encoder(batch.column(1).to_pylist())):
                 ids = np.concatenate([np.frombuffer(raw, "<u4"), end])
-                p = Piece(doc_id, ids, 0, len(ids))
-                while len(p.ids) >= capacity:
-                    full, p = cut(p, capacity)
-                    place([full])
-                if len(p.ids):
+                p = Piece(doc_id, ids, 0, len(ids), len(ids) * prompt_percent // 100)
+                while len(p.ids):
+                    head, p = p.cut(example)
                     if len(pool) == pool.size:
                         fill(limits.tokens)
-                    put(p._replace(ids=p.ids.copy()))
+                    put(head if len(ids) <= example else head._replace(ids=head.ids.copy()))
             yield from rows()
-        while (left := int(pool.vectors[pool.used, 0].sum())) >= limits.tokens:
-            fill(limits.tokens)
-        while left:
-            fill(1 << left.bit_length() - 1)
-            left = int(pool.vectors[pool.used, 0].sum())
+        while left := int(pool.tokens[pool.used].sum()):
+            fill(limits.tokens if left >= limits.tokens else 1 << left.bit_length() - 1)
         yield from rows()
 
     schema = ", ".join(f"{n} long" for n in names)

@@ -13,8 +13,8 @@ from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
 
-#: Fixed by the queries' contracts: sequence length and the ids that end a document.
-SEQUENCE = packing.Limits(tokens=1024, segments=64, loss=1024)
+#: Sequence length and the ids that end a document are fixed by the queries' contracts; of a sequence's tokens at most five eighths bear loss.
+SEQUENCE = packing.Limits(tokens=1024, segments=64, loss=640)
 WORD_END_ID, BYTE_END_ID = 2, 0
 #: Fetch date of the crawl that the pages table stands for.
 CRAWL_DATE = "2024-01-01T00:00:00Z"

@@ -114,7 +114,7 @@ def test_bpe_equals_tiktoken_on_the_table(spark, tik):
     assert got == {r.doc_id: hashlib.sha256(u4(tik.encode_ordinary(r.text))).hexdigest() for r in df.collect()}
 
 
-LIMITS = packing.Limits(1024, 64, 1024)
+LIMITS = packing.Limits(1024, 64, 640)
 
 
 def check_packing(rows, tokens, limits=LIMITS):
@@ -145,11 +145,54 @@ def check_packing(rows, tokens, limits=LIMITS):
 def test_packing_of_texts(spark, docs):
     tokens = {7 * i - 3: [*ids, 0] for i, ids in enumerate(plain(BYTE))}
     assert check_packing(packing.pack_texts(spark, docs, BYTE, 0, LIMITS).collect(), tokens) == 0
-    tight = packing.Limits(100, 3, 60)
-    check_packing(packing.pack_texts(spark, docs, BYTE, 0, tight).collect(), tokens, tight)
+    for tight in (packing.Limits(100, 3, 60), packing.Limits(128, 3, 60)):
+        rows = packing.pack_texts(spark, docs, BYTE, 0, tight).collect()
+        padding = check_packing(rows, tokens, tight)
+        assert padding == 0 or tight.tokens == 100
+    for percent in (0, 100):
+        assert check_packing(packing.pack_texts(spark, docs, BYTE, 0, LIMITS, prompt_percent=percent).collect(), tokens) == 0
+    few = docs.where("length(text) < 300 or text is null")
+    some = {r.doc_id: tokens[r.doc_id] for r in few.collect()}
+    for tiny in (packing.Limits(1, 1, 1), packing.Limits(64, 64, 1)):
+        assert check_packing(packing.pack_texts(spark, few, BYTE, 0, tiny).collect(), some, tiny) == 0
+    with pytest.raises(ValueError):
+        packing.pack_texts(spark, docs, BYTE, 0, packing.Limits(5, 0, 1))
     assert packing.pack_texts(spark, docs.limit(0), BYTE, 0, LIMITS).count() == 0
 
 
+def test_short_texts_need_no_padding(spark):
+    """64 segments of five tokens are far from a full sequence."""
+    df = spark.createDataFrame([(i, "one two three four") for i in range(3000)], "doc_id long, text string").coalesce(2)
+    rows = packing.pack_texts(spark, df, BYTE, 0, LIMITS).collect()
+    ids = [*plain_of("one two three four"), 0]
+    tokens = dict.fromkeys(range(3000), ids)
+    assert check_packing(rows, tokens) == 0
+    assert sum(r.length for r in rows) / len({r.sequence_id for r in rows}) > 200
+
+
+def plain_of(text):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(BYTE).encode(text, add_special_tokens=False).ids
+
+
+def test_the_limit_on_loss_binds(spark):
+    """With it, answers are mixed with prompts; without it, some sequences would bear more."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").coalesce(1)
+
+    def sequences(limits):
+        out = {}
+        for r in packing.pack_texts(spark, df, BYTE, 0, limits).collect():
+            n, loss = out.get(r.sequence_id, (0, 0))
+            out[r.sequence_id] = n + r.length, loss + r.n_loss
+        return list(out.values())
+
+    bound, free = sequences(LIMITS), sequences(LIMITS._replace(loss=1024))
+    assert max(s for _, s in bound) == 640 and sum(s == 640 for _, s in bound) > len(bound) / 10
+    assert sum(s > 640 for _, s in free) > len(free) / 10
+    assert sum(n == 1024 for n, _ in bound) > 0.97 * len(bound)
+
+
 def test_packing_of_the_table(spark):
     from tokenizers import Tokenizer
 
