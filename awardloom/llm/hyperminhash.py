@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ids_and_texts, in_batches, prepare, words, written
+from .common import ids_and_texts, in_batches, prepare, words, worker_state, written
 
 BANDS, ROWS = 40, 4
 REGISTERS = BANDS * ROWS
@@ -118,6 +118,7 @@ def _signed(table: DataFrame, size: int, kinds: str) -> DataFrame:
     """The columns of the table (of these kinds) but for the last, the text; n_shingles, digest, registers."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        worker_state(("shingles",), list)  # drops what other stages left in this worker
         n, digests, regs = [], [], []
         for text in batch.column(batch.num_columns - 1).to_pylist():
             s = shingle_set(text, size)
@@ -391,22 +392,24 @@ def keep_rows(spark: SparkSession, docs: DataFrame, size: int = 5, percent: int
     """
     prepare(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
+    # Written with a number a row, so that only numbers, ids and hashes go through the grouping and no text does.
+    number = next(n for n in (f"_row{i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns)
+    table = written(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
     worded = F.coalesce(F.col(text_col).rlike("[^\\x09-\\x0d ]"), F.lit(False))
-    # A row is known by its text's and its whole content's hash; rows that are equal in both have one text.
-    fingerprint, content = F.unhex(F.md5(text.cast("binary"))), F.xxhash64(*[F.col(c) for c in docs.columns])
-    rows = docs.where(worded).select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("doc_id"), fingerprint.alias("print"), content.alias("content"), text.alias("text"))
-    signed = _signed(rows.select("doc_id", "print", "content", "text"), size, "doc_id long, print binary, content long")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "print", "content")
-    classes = signed.groupBy("digest").agg(F.min(order).alias("first"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
+    prints = F.unhex(F.md5(text.cast("binary"))), F.xxhash64(*[F.col(c) for c in docs.columns])
+    rows = table.where(worded).select(F.col(number).alias("row"), F.col(id_col).cast("long").alias("doc_id"), prints[0].alias("print"), prints[1].alias("content"), text.alias("text"))
+    signed = _signed(rows, size, "row long, doc_id long, print binary, content long")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "print", "content", "row")
+    signed = written(signed.select(order.alias("first"), "n_shingles", "digest", "registers"), "signatures")
+    classes = signed.groupBy("digest").agg(F.min("first").alias("first"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
     # Written once, so that the numbers stay.
     classes = written(classes.select(F.monotonically_increasing_id().alias("id"), "first", "n", "registers"), "classes")
 
     def texts_of(involved: DataFrame) -> DataFrame:
-        wanted = classes.join(involved, "id", "left_semi").select("id", "first.print", "first.content")
-        return rows.select("print", "content", "text").dropDuplicates(["print", "content"]).join(wanted, ["print", "content"]).select("id", "text")
+        wanted = classes.join(involved, "id", "left_semi").select("id", F.col("first.row").alias(number))
+        return table.select(number, text.alias("text")).join(wanted, number).select("id", "text")
 
     whole = _linked(classes, texts_of, None, size, percent)
     grouped = classes.join(whole, "id", "left").groupBy(F.coalesce("component", "id").alias("component")).agg(F.min("first").alias("first"))
-    once = rows.select("row", "print", "content").dropDuplicates(["print", "content"])
-    kept = once.join(grouped.select("first.print", "first.content"), ["print", "content"], "left_semi").select("row.*")
-    return kept.unionByName(docs.where(~worded))
+    stays = grouped.select(F.col("first.row").alias(number)).unionByName(table.where(~worded).select(number))
+    return table.join(stays, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
