@@ -10,7 +10,7 @@ Spark's text writer with that ending as the line separator, and recover from los
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,7 +31,7 @@ REFERENCES = {
     "&copy;": "©", "&reg;": "®", "&middot;": "·", "&bull;": "•", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—", "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“",
     "&rdquo;": "”", "&laquo;": "«", "&raquo;": "»", "&euro;": "€", "&sect;": "§", "&deg;": "°", "&times;": "×", "&amp;": "&", "&#38;": "&",
 }
-UNSEEN = "(?is)<!--.*?(?:-->|\\z)|" + "|".join(f"<{e}\\b[^>]*>.*?(?:</{e}[^>]*>|\\z)" for e in HIDDEN)
+UNSEEN = "(?is)<(?:!--.*?(?:-->|\\z)|" + "|".join(f"{e}\\b[^>]*>.*?(?:</{e}[^>]*>|\\z)" for e in HIDDEN) + ")"
 BREAK = "(?i)</?(?:" + "|".join(BREAKS) + ")\\b[^>]*>"
 TAG = "<[a-zA-Z/!?][^>]*(?:>|\\z)"
 BLANKS, LINES, EDGES = "[ \\t\\r\\f\\x{00A0}]+", " ?\\n[ \\n]*", "^[ \\n]+|[ \\n]+\\z"
@@ -39,20 +39,32 @@ TITLE = "(?is)<title\\b[^>]*>(.*?)</title"
 LINK = "(?is)<a\\b[^>]*?[ \\t\\r\\n]href[ \\t\\r\\n]*=[ \\t\\r\\n]*(\"[^\"]*\"|'[^']*'|[^ \\t\\r\\n>\"']+)"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def resolved(text: Column) -> Column:
-    for name, char in REFERENCES.items():
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+    def all_of(text: Column) -> Column:
+        for name, char in REFERENCES.items():
+            text = F.replace(text, F.lit(name), F.lit(char))
+        return text
+
+    return bound(text, lambda t: F.when(t.contains("&"), all_of(t)).otherwise(t))
+
+
+def visible(html: Column) -> Column:
+    """The page without comments and elements whose content is no text."""
+    return F.regexp_replace(html, UNSEEN, "")
 
 
 def one_line(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, "[ \\t\\r\\n\\f\\x{00A0}]+", " "))
 
 
-def plain_text(html: Column) -> Column:
-    """Visible text: one line a block element, blanks collapsed, references resolved."""
-    text = F.regexp_replace(html, UNSEEN, "")
-    text = F.regexp_replace(F.regexp_replace(F.replace(text, F.lit("\n"), F.lit(" ")), BREAK, "\n"), TAG, "")
+def plain_text(seen: Column) -> Column:
+    """Text of what is visible: one line a block element, blanks collapsed, references resolved."""
+    text = F.regexp_replace(F.regexp_replace(F.replace(seen, F.lit("\n"), F.lit(" ")), BREAK, "\n"), TAG, "")
     text = F.regexp_replace(resolved(text), BLANKS, " ")
     return F.trim(F.regexp_replace(F.regexp_replace(text, LINES, "\n"), EDGES, ""))
 
@@ -61,26 +73,27 @@ def title(html: Column) -> Column:
     return one_line(resolved(F.regexp_extract(html, TITLE, 1)))
 
 
-def links(html: Column, base: Column) -> Column:
-    """Targets of anchors in order, resolved against the page's address (dot segments stay)."""
-    found = F.regexp_extract_all(F.regexp_replace(html, UNSEEN, ""), F.lit(LINK), F.lit(1))
-    scheme = F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
-    host = F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
-    folder = F.regexp_extract(base, "^([^?#]*/)", 1)
-    page = F.regexp_extract(base, "^([^?#]*)", 1)
+def links(seen: Column, base: Column) -> Column:
+    """Targets of visible anchors in order, resolved against the page's address (dot segments stay)."""
+    quoted = F.regexp_extract_all(seen, F.lit(LINK), F.lit(1))
+    found = F.transform(quoted, lambda raw: F.trim(resolved(F.regexp_replace(raw, "^[\"']|[\"']\\z", ""))))
+    part = lambda pattern, name: F.regexp_extract(base, pattern, 1).alias(name)
+    parts = F.struct(
+        part("^([a-zA-Z][a-zA-Z0-9+.-]*:)", "scheme"), part("^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", "host"), part("^([^?#]*/)", "folder"),
+        part("^([^?#]*)", "page"), part("^([^#]*)", "bare"),
+    )
 
-    def one(raw: Column) -> Column:
-        ref = F.trim(resolved(F.regexp_replace(raw, "^[\"']|[\"']\\z", "")))
+    def one(ref: Column, at: Column) -> Column:
         return (
             F.when(ref.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), ref)
-            .when(ref.startswith("//"), F.concat(scheme, ref))
-            .when(ref.startswith("/"), F.concat(host, ref))
-            .when(ref.startswith("?") | (ref == ""), F.concat(page, ref))
-            .when(ref.startswith("#"), F.concat(F.regexp_extract(base, "^([^#]*)", 1), ref))
-            .otherwise(F.concat(F.when(F.length(folder) > F.length(host), folder).otherwise(F.concat(host, F.lit("/"))), ref))
+            .when(ref.startswith("//"), F.concat(at["scheme"], ref))
+            .when(ref.startswith("/"), F.concat(at["host"], ref))
+            .when(ref.startswith("?") | (ref == ""), F.concat(at["page"], ref))
+            .when(ref.startswith("#"), F.concat(at["bare"], ref))
+            .otherwise(F.concat(F.when(F.length(at["folder"]) > F.length(at["host"]), at["folder"]).otherwise(F.concat(at["host"], F.lit("/"))), ref))
         )
 
-    return F.transform(found, one)
+    return bound(parts, lambda at: F.transform(found, lambda ref: one(ref, at)))
 
 
 def record_id(seed: Column) -> Column:
@@ -112,7 +125,8 @@ def derive(source: DataFrame) -> DataFrame:
 
     No row moves. Repeated responses give repeated records; an empty payload gives an empty conversion block.
     """
-    made = source.select("*", title(F.col("payload")).alias("title"), links(F.col("payload"), F.col("target_uri")).alias("links"), plain_text(F.col("payload")).alias("text"))
+    body = bound(visible(F.col("payload")), lambda seen: F.struct(plain_text(seen).alias("text"), links(seen, F.col("target_uri")).alias("links")))
+    made = source.select("*", title(F.col("payload")).alias("title"), body.alias("body")).select("*", "body.text", "body.links")
     fields = lambda *pairs: F.concat_ws(CRLF, *[F.concat(F.lit(f"{k}: "), v) for k, v in pairs])
     headers = F.transform(F.split("http_headers", CRLF), lambda line: F.concat(F.lit("source-http: "), line))
     out = F.transform("links", lambda to: F.concat(F.lit("outlink: "), to))
