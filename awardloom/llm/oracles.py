@@ -10,9 +10,15 @@ def _quoted(text: str) -> str:
 
 
 def _resolved(sql: str) -> str:
-    for name, char in warc.REFERENCES.items():
-        sql = f"replace({sql}, {_quoted(name)}, {_quoted(char)})"
-    return sql
+    name = "split_part(piece, ';', 1)"
+    code = f"""CASE WHEN regexp_full_match({name}, '#[0-9]{{1,7}}') THEN try_cast({name}[2:] AS INTEGER)
+      WHEN regexp_full_match({name}, '#[xX][0-9a-fA-F]{{1,6}}') THEN try_cast('0x' || {name}[3:] AS INTEGER) END"""
+    named = " ".join(f"WHEN {_quoted(n)} THEN {_quoted(c)}" for n, c in warc.NAMES.items())
+    char = f"""CASE WHEN instr(piece, ';') BETWEEN 2 AND {warc.LONGEST + 1} THEN
+      CASE WHEN NOT starts_with(piece, '#') THEN CASE {name} {named} END
+        WHEN ({code}) BETWEEN 1 AND 55295 OR ({code}) BETWEEN 57344 AND 1114111 THEN chr({code}) END END"""
+    one = f"CASE WHEN place = 1 THEN piece ELSE coalesce({char} || substr(piece, instr(piece, ';') + 1), '&' || piece) END"
+    return f"array_to_string(list_transform(string_split({sql}, '&'), lambda piece, place: {one}), '')"
 
 
 def _warc(date: str) -> str:
@@ -32,7 +38,7 @@ t AS (
     trim(regexp_replace({_resolved(f"regexp_extract(html, {_quoted(warc.TITLE)}, 1)")}, '[ \\t\\r\\n\\f\\x{{00A0}}]+', ' ', 'g')) AS title,
     list_transform(regexp_extract_all(seen, {_quoted(warc.LINK)}, 1), lambda x: trim({_resolved(f"regexp_replace(x, {edge}, '', 'g')")})) AS refs,
     trim(regexp_replace(regexp_replace(regexp_replace({_resolved(f"regexp_replace(regexp_replace(replace(seen, chr(10), ' '), {_quoted(warc.BREAK)}, chr(10), 'g'), {_quoted(warc.TAG)}, '', 'g')")},
-      {_quoted(warc.BLANKS)}, ' ', 'g'), {_quoted(warc.LINES)}, chr(10), 'g'), {_quoted(warc.EDGES)}, '', 'g')) AS plain
+      {_quoted(warc.BLANKS)}, ' ', 'g'), {_quoted(warc.LINES)}, chr(10), 'g'), '^[ \\n]+|[ \\n]+\\z', '', 'g')) AS plain
   FROM r
 ),
 b AS (

@@ -25,16 +25,17 @@ BREAKS = (
     "address article aside blockquote body br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html "
     "li main nav ol option p pre section table tbody td tfoot th thead title tr ul"
 ).split()
-#: Named and numbered character references that are resolved, the ampersand last (fixed values).
-REFERENCES = {
-    "&nbsp;": " ", "&#160;": " ", "&lt;": "<", "&#60;": "<", "&gt;": ">", "&#62;": ">", "&quot;": '"', "&#34;": '"', "&apos;": "'", "&#39;": "'", "&#x27;": "'",
-    "&copy;": "©", "&reg;": "®", "&middot;": "·", "&bull;": "•", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—", "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“",
-    "&rdquo;": "”", "&laquo;": "«", "&raquo;": "»", "&euro;": "€", "&sect;": "§", "&deg;": "°", "&times;": "×", "&amp;": "&", "&#38;": "&",
+#: Named character references that are resolved (fixed values); numbered ones follow a rule.
+NAMES = {
+    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©", "reg": "®", "middot": "·", "bull": "•", "hellip": "…", "ndash": "–",
+    "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»", "euro": "€", "sect": "§", "deg": "°", "times": "×",
 }
+#: Longest name or number of a reference.
+LONGEST = 8
 UNSEEN = "(?is)<(?:!--.*?(?:-->|\\z)|" + "|".join(f"{e}\\b[^>]*>.*?(?:</{e}[^>]*>|\\z)" for e in HIDDEN) + ")"
 BREAK = "(?i)</?(?:" + "|".join(BREAKS) + ")\\b[^>]*>"
 TAG = "<[a-zA-Z/!?][^>]*(?:>|\\z)"
-BLANKS, LINES, EDGES = "[ \\t\\r\\f\\x{00A0}]+", " ?\\n[ \\n]*", "^[ \\n]+|[ \\n]+\\z"
+BLANKS, LINES = "[ \\t\\r\\f\\x{00A0}]+", " ?\\n[ \\n]*"
 TITLE = "(?is)<title\\b[^>]*>(.*?)</title"
 LINK = "(?is)<a\\b[^>]*?[ \\t\\r\\n]href[ \\t\\r\\n]*=[ \\t\\r\\n]*(\"[^\"]*\"|'[^']*'|[^ \\t\\r\\n>\"']+)"
 
@@ -44,13 +45,26 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def referred(name: Column) -> Column:
+    """The character that a reference's name or number stands for, or null."""
+    decimal, hexadecimal = name.rlike("^#[0-9]{1,7}$"), name.rlike("^#[xX][0-9a-fA-F]{1,6}$")
+    code = F.when(decimal, F.substring(name, 2, 7).cast("int")).when(hexadecimal, F.conv(F.substring(name, 3, 6), 16, 10).cast("int"))
+    char = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    number = bound(code, lambda n: F.when(n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF), char(n)))
+    known = F.create_map(*[F.lit(x) for pair in NAMES.items() for x in pair])
+    return F.when(name.startswith("#"), number).otherwise(F.try_element_at(known, name))
+
+
 def resolved(text: Column) -> Column:
-    def all_of(text: Column) -> Column:
-        for name, char in REFERENCES.items():
-            text = F.replace(text, F.lit(name), F.lit(char))
-        return text
+    """Character references replaced, each once: what a replaced one forms with the text after it is no reference."""
+
+    def one(piece: Column, place: Column) -> Column:
+        end = F.locate(";", piece)
+        char = F.when(end.between(2, LONGEST + 1), referred(F.substring(piece, F.lit(1), end - 1)))
+        rest = F.substring(piece, end + 1, F.length(piece))
+        return F.when(place == 0, piece).otherwise(bound(char, lambda c: F.when(c.isNull(), F.concat(F.lit("&"), piece)).otherwise(F.concat(c, rest))))
 
-    return bound(text, lambda t: F.when(t.contains("&"), all_of(t)).otherwise(t))
+    return bound(text, lambda t: F.when(t.contains("&"), F.array_join(F.transform(F.split(t, "&"), one), "")).otherwise(t))
 
 
 def visible(html: Column) -> Column:
@@ -66,7 +80,7 @@ def plain_text(seen: Column) -> Column:
     """Text of what is visible: one line a block element, blanks collapsed, references resolved."""
     text = F.regexp_replace(F.regexp_replace(F.replace(seen, F.lit("\n"), F.lit(" ")), BREAK, "\n"), TAG, "")
     text = F.regexp_replace(resolved(text), BLANKS, " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(text, LINES, "\n"), EDGES, ""))
+    return F.btrim(F.regexp_replace(text, LINES, "\n"), F.lit(" \n"))
 
 
 def title(html: Column) -> Column:

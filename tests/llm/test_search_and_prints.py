@@ -5,6 +5,7 @@ import math
 import os
 import sys
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -137,6 +138,24 @@ def test_text_title_and_links(spark):
     assert f"source-payload-digest: sha256:{hashlib.sha256(html.encode()).hexdigest()}" in lines
 
 
+def test_references_are_resolved_once_and_by_number(spark, tmp_path):
+    html = [
+        "a &amp;#38; b", "it&#8217;s &#x2014; &#X2014; &eacute; &#0; &#55296; &#1114112; &#128512;", "&lt", "&;&&amp;&lt;b&gt;", "x & y; &toolongname; z;",
+        "<a href='?a=1&amp;b=2&amp;amp;c'>l</a>", "&", "&amp", "&#;&#x;&#xg;&#1234567;&#12345678;",
+    ]
+    df = spark.createDataFrame([(i, "http://h.net/", h) for i, h in enumerate(html)], "page_id long, url string, html string")
+    got = warc.derive(warc.responses(df, "2024-01-01T00:00:00Z"))
+    text = [r.block for r in got.where("warc_type = 'conversion'").orderBy("page_id").collect()]
+    assert text == [
+        "a &#38; b", "it’s — — &eacute; &#0; &#55296; &#1114112; 😀", "&lt", "&;&&<b>", "x & y; &toolongname; z;", "l", "&", "&amp", "&#;&#x;&#xg;&#1234567;&#12345678;",
+    ]
+    df.write.parquet(f"{tmp_path}/pages.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW pages AS FROM '{tmp_path}/pages.parquet/*.parquet'")
+    sql = db.execute(f"SELECT page_id, warc_type, block FROM ({oracles.ORACLES['op1_warc_derivatives']})").fetchall()
+    assert sorted(sql) == sorted((r.page_id, r.warc_type, r.block) for r in got.collect())
+
+
 def test_warc_files_round_trip(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     records = warc.derive(warc.responses(pages, "2024-01-01T00:00:00Z"))
