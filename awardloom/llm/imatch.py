@@ -24,6 +24,8 @@ SUBSETS, BOUNDS = 64, ("10", "04", "01", "004")
 #: What separates terms.
 APART = "[^\\p{L}\\p{N}]+"
 HASH_DIGITS = 8
+#: Of a document's rows, the one that stands for itself; its facts.
+ITSELF, FACTS = 2, "struct<n_chars: bigint, edited_sha256: string, t: string, e: string>"
 
 
 def terms(text: Column) -> Column:
@@ -157,18 +159,30 @@ def compare_edits(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     words = written(lexicon(table, low, high), "lexicon")
     order = written(successors(spark, table), "successors")
     both = edited_texts(table, order)
-    facts = both.select("k", "h", F.length("text").alias("n_chars"), _text_hash("text").alias("t"), _text_hash("edited").alias("e"), F.sha2("edited", 256).alias("edited_sha256"))
-    sides = lambda c, name: kept_terms(both.select("k", "h", F.col(c).alias("text")), words).select("k", "h", fingerprint(F.col("kept")).alias(name))
-    whole = facts.join(sides("text", "p"), ["k", "h"], "left").join(sides("edited", "q"), ["k", "h"], "left")
-    whole = whole.select("k", "h", "n_chars", "edited_sha256", or_whole(F.col("p"), F.col("t")).alias("p"), or_whole(F.col("q"), F.col("e")).alias("q"))
+    facts = F.struct(
+        F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), _text_hash("text").alias("t"), _text_hash("edited").alias("e"),
+    )
+    # One row a term of either side and one, without a term, a document: that one bears the facts and counts repeated rows.
+    side = lambda name, i: F.transform(terms(F.col(name)), lambda x: F.struct(x.alias("term"), F.lit(i).alias("side"), F.lit(None).cast(FACTS).alias("facts")))
+    itself = F.array(F.struct(F.lit("").alias("term"), F.lit(ITSELF).alias("side"), facts.alias("facts")))
+    rows = both.select("k", "h", F.inline(F.concat(itself, side("text", 0), side("edited", 1))))
+    listed = words.unionByName(words.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(0).cast("long").alias("mask")))
+    found = rows.join(F.broadcast(listed), "term")
+    kept = lambda i: F.sort_array(F.collect_set(F.when(F.col("side") == i, F.struct("term", "mask"))))
+    whole = found.groupBy("k", "h").agg(
+        kept(0).alias("text"), kept(1).alias("edited"), F.max("facts").alias("facts"), F.count_if(F.col("side") == ITSELF).cast("int").alias("copies"),
+    )
+    whole = whole.select("k", "h", "copies", "facts.*", fingerprint(F.col("text")).alias("p"), fingerprint(F.col("edited")).alias("q"))
+    whole = whole.select("k", "h", "copies", "n_chars", "edited_sha256", or_whole(F.col("p"), F.col("t")).alias("p"), or_whole(F.col("q"), F.col("e")).alias("q"))
     whole = whole.select(
-        "k", "h", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", rendered(F.col("p")).alias("fingerprint"),
+        "k", "h", "copies", "n_chars", "edited_sha256", rendered(F.col("p")).alias("fingerprint"),
         rendered(F.col("q")).alias("edited_fingerprint"), likeness(F.col("p"), F.col("q")).alias("near_edited"),
     )
     whole = written(whole, "fingerprints")
-    other = whole.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), F.col("fingerprint").alias("other")).dropDuplicates(["next_k", "next_h"])
+    other = whole.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), F.col("fingerprint").alias("other"))
     nexts = order.select("doc_id", "k", "h", "next_k", "next_h").join(other, ["next_k", "next_h"]).select("doc_id", "k", "h", "other")
-    return whole.join(nexts, ["k", "h"]).select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
+    result = whole.join(nexts, ["k", "h"]).select(
+        "copies", "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
         likeness(hashes(F.col("fingerprint")), hashes(F.col("other"))).alias("near_next"),
     )
+    return result.withColumn("copies", F.explode(F.sequence(F.lit(1), "copies"))).drop("copies")
