@@ -19,6 +19,8 @@ from ..session import fresh_dir
 #: Rows and bytes of one Arrow batch handed to Python; the byte bound is what counts for long texts.
 BATCH_ROWS = 2000
 BATCH_BYTES = 8 << 20
+#: Object-store schemes that Spark and Arrow name differently (here again, so that workers need not load the scans).
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
 _shipped: set[str] = set()
@@ -101,15 +103,21 @@ def in_batches(fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.Reco
     return run
 
 
+def arrow_uri(uri: str) -> str:
+    """An address as Arrow names it: its own scheme for object stores, two slashes after ``file:``."""
+    scheme, colon, rest = uri.partition(":")
+    if scheme == "file" and not rest.startswith("//"):
+        rest = "//" + rest
+    return ARROW_SCHEMES.get(scheme, scheme) + colon + rest
+
+
 def filesystem(uri: str):
     """(file system, path) for a path or URI that all executors reach."""
     from pyarrow import fs
 
     if "://" not in uri and not uri.startswith("file:"):
         return fs.LocalFileSystem(), uri
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    return fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(arrow_uri(uri))
 
 
 class Committed:

@@ -9,7 +9,7 @@ import public_tokenizers as P
 import pytest
 
 from awardloom.llm import bpe, eliasfano, packing
-from awardloom.llm.common import crc
+from awardloom.llm.common import arrow_uri, crc, filesystem
 from awardloom.session import fresh_dir
 
 TEXTS = [
@@ -59,6 +59,12 @@ def test_elias_fano_is_small():
     assert 8 * len(eliasfano.EliasFano.of(values).to_bytes()) / len(values) < 2 + np.log2(values[-1] / len(values)) + 1.5
 
 
+def test_addresses_as_arrow_names_them():
+    assert arrow_uri("s3a://bucket/a/b") == "s3://bucket/a/b" and arrow_uri("hdfs://host:8020/a") == "hdfs://host:8020/a"
+    assert arrow_uri("file:/a/b") == arrow_uri("file:///a/b") == "file:///a/b"
+    assert filesystem("file:/a/b")[1] == filesystem("/a/b")[1] == "/a/b"
+
+
 def test_token_files(spark, docs):
     want, before = [], 0
     for i, ids in enumerate(plain(WORD)):
