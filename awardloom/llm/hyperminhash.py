@@ -5,7 +5,7 @@ function as a count of leading zeros and ten mantissa bits, 16 bits in all; four
 fill one 64-bit integer. Documents that agree in a band are candidates. The share of equal registers, less
 what chance collisions of the short registers add, estimates the Jaccard index; what may reach the
 threshold is verified on the full sets. With 40 bands of 4, a pair at an index of 0.8 shares no band with
-a probability of 7e-10.
+a probability of 7e-10, and its estimate rules it out with a probability of 9e-11.
 
 Groups of any size are handled without emitting all their pairs:
 
@@ -13,8 +13,8 @@ Groups of any size are handled without emitting all their pairs:
 2. Of the classes in a bucket, each is compared with the smallest id there; one such candidate a class is
    verified, so verification grows with the classes, not with their pairs.
 3. The links found give components. Buckets whose members lie in one component can add nothing. In the
-   others, the members outside the bucket's largest component meet all other members in blocks of bounded
-   size, where pairs that the estimate allows are verified at once, each in the first band that it shares; only links leave a block.
+   others, the members outside the bucket's largest component meet all other members in blocks, bounded in
+   members and in shingles, where pairs that the estimate allows are verified at once, each in the first band that it shares; only links leave a block.
 
 After step 3 every pair that shares a bucket has been verified, ruled out by its estimate, or lies in one
 component, so the components are those of all links.
@@ -36,9 +36,9 @@ BANDS, ROWS = 40, 4
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
 #: Standard deviations of the estimate by which a pair may stay below the threshold and still be verified.
-SLACK = 5.0
-#: Members of a bucket that are compared at once in step 3, and members that one hub is compared with at once.
-BLOCK = 1024
+SLACK = 7.0
+#: Members of a bucket and their shingles that are compared at once in step 3, members that one hub is compared with at once.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
 SALT = 128
 #: Shingle hashes that are multiplied at once.
 CHUNK = 2048
@@ -245,13 +245,19 @@ def _cross_links(buckets: DataFrame, classes: DataFrame, texts: DataFrame, size:
     """Links (a, b) between components, of buckets (key, band, id, component) that hold several.
 
     The members of a bucket's largest component are not compared with one another, and lie in blocks of
-    some ``BLOCK``; the others lie in blocks of their own, and each of these meets every block. A group is a
-    pair of blocks, so no group grows with its bucket.
+    some ``BLOCK`` members or ``BLOCK_SHINGLES`` shingles; the others lie in blocks of their own, and each of these
+    meets every block. A group is a pair of blocks, so no group grows with its bucket or with the length of its texts.
     """
-    parts = buckets.groupBy("key", "component").agg(F.count(F.lit(1)).alias("members"))
-    sizes = parts.groupBy("key").agg(F.max_by("component", F.struct("members", "component")).alias("largest"), F.max("members").alias("most"), F.sum("members").alias("all"))
-    blocks = lambda n: F.expr(f"cast(ceil(({n}) / {BLOCK}) as bigint)")
-    sizes = sizes.select("key", "largest", blocks("most").alias("inner_blocks"), blocks("all - most").alias("outer_blocks"))
+    buckets = buckets.join(classes.select("id", "n"), "id")
+    parts = buckets.groupBy("key", "component").agg(F.struct(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles")).alias("size"))
+    sizes = parts.groupBy("key").agg(
+        F.max_by("component", F.struct("size.members", "component")).alias("largest"),
+        F.max_by("size", F.struct("size.members", "component")).alias("most"),
+        F.struct(F.sum("size.members").alias("members"), F.sum("size.shingles").alias("shingles")).alias("all"),
+    )
+    blocks = lambda n, m: F.expr(f"cast(ceil(greatest(({n}) / {BLOCK}, ({m}) / {BLOCK_SHINGLES})) as bigint)")
+    inner, outer = blocks("most.members", "most.shingles"), blocks("all.members - most.members", "all.shingles - most.shingles")
+    sizes = sizes.select("key", "largest", inner.alias("inner_blocks"), outer.alias("outer_blocks"))
     placed = buckets.join(sizes, "key").withColumn("outer", F.col("component") != F.col("largest"))
     placed = placed.withColumn("block", F.expr("pmod(xxhash64(id), if(outer, outer_blocks, inner_blocks))"))
     # Group (i, j): outer block j with inner block i, or with outer block -1 - i.
@@ -259,9 +265,9 @@ def _cross_links(buckets: DataFrame, classes: DataFrame, texts: DataFrame, size:
         concat(transform(sequence(0L, inner_blocks - 1), i -> struct(i, block as j)),
                transform(sequence(0L, outer_blocks - 1), c -> struct(-1 - least(c, block) as i, greatest(c, block) as j))),
         transform(sequence(0L, outer_blocks - 1), j -> struct(block as i, j)))"""
-    dealt = placed.select("key", "band", "outer", "block", "id", "component", F.explode(F.expr(meets)).alias("g"))
+    dealt = placed.select("key", "band", "outer", "block", "id", "component", "n", F.explode(F.expr(meets)).alias("g"))
     rows = (
-        dealt.join(classes.select("id", "n", "registers"), "id")
+        dealt.join(classes.select("id", "registers"), "id")
         .join(texts, "id")
         .select("key", F.col("g.i").alias("i"), F.col("g.j").alias("j"), "band", "outer", "block", "id", "component", "n", "registers", "text")
         .repartition("key", "i", "j")

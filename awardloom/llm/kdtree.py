@@ -7,7 +7,8 @@ ends when the next bound is below the query's kth score. Blocks of queries first
 the kth scores found there are passed to the search of all other shards, which then skips most boxes.
 
 Queries travel to the trees in blocks of bounded size, and each (block, shard) is a row of its own, so
-a task holds one tree and one block. Vectors are dealt to shards by a hash of their id.
+a task holds one tree and one block. Vectors are dealt to shards by a hash of their row's number, so that rows that share an
+id, equal ones too, spread over all shards; queries are dealt to blocks by a hash of id and vector.
 """
 
 from __future__ import annotations
@@ -128,7 +129,7 @@ def top_k(
         .select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v"), is_query.alias("asks"))
         .withColumn("d", F.size("v"))
     )
-    table = written(table, "vectors")
+    table = written(table.withColumn("row", F.monotonically_increasing_id()), "vectors")  # written, so that the numbers stay
     sizes = table.groupBy("d").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("asks").cast("long")).alias("q"))
     sizes = sizes.select("d", F.expr(f"cast(ceil(n / {shard}) as bigint)").alias("shards"), F.expr(f"cast(ceil(q / {block}) as bigint)").alias("blocks"))
     dealt = table.join(F.broadcast(sizes), "d")  # one row a vector length
@@ -139,7 +140,7 @@ def top_k(
         d, s = group.column("d")[0].as_py(), group.column("shard")[0].as_py()
         return pa.table({"d": pa.array([d], pa.int32()), "shard": pa.array([s], pa.int64()), "tree": pa.array([pickle.dumps(tree)], pa.binary())})
 
-    trees = dealt.select("d", F.expr("pmod(xxhash64(vec_id), shards)").alias("shard"), "vec_id", "v")
+    trees = dealt.select("d", F.expr("pmod(xxhash64(row), shards)").alias("shard"), "vec_id", "v")
     trees = written(trees.groupBy("d", "shard").applyInArrow(plant, "d int, shard long, tree binary"), "trees")
 
     def bundle(group: pa.Table) -> pa.Table:
@@ -169,7 +170,7 @@ def top_k(
                     yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out)], names=["query_id", "vec_id", "score"])
 
     result = "query_id long, vec_id long, score long"
-    queries = dealt.where("asks").dropDuplicates(["vec_id", "v"]).select("d", "shards", F.expr("pmod(xxhash64(vec_id, 7), blocks)").alias("block"), "vec_id", "v")
+    queries = dealt.where("asks").dropDuplicates(["vec_id", "v"]).select("d", "shards", F.expr("pmod(xxhash64(vec_id, v), blocks)").alias("block"), "vec_id", "v")
     per_block = "d int, block long, queries binary"
 
     # First each block searches one shard ...

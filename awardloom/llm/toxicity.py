@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import in_batches, prepare, written
 
-#: Labelled documents to learn from, at most (about; chosen by a hash of their ids), and words with a weight.
-SAMPLE, WORDS = 60_000, 20_000
+#: Labelled documents to learn from, at most (about; chosen by a hash of their ids).
+SAMPLE = 60_000
 #: Prior counts as a share of all counts, least z-score of a weight, cost of each other word.
 PRIOR, SIGNIFICANT, DRIFT = 0.1, 3.0, 0.05
 #: A passage is significant if fewer than this many are expected in clean text of that length.
@@ -162,7 +162,9 @@ def fit(
     """Learn from about ``sample`` labelled documents at most, of those for which ``may_learn`` (over id_col) holds.
 
     The sampled labels, a table of bounded size, are broadcast to the scan of the texts; word counts are
-    aggregated by Spark. Null labels, ids and texts teach nothing. Without a toxic and a clean text there is no weight, and every text gets
+    aggregated by Spark. All words that are clear enough have a weight; as each takes several toxic texts, the sample
+    bounds them. Rows that share an id all count as words; the curve is fitted to about ``sample`` different texts at most, and
+    texts that share an id and are equal count once in it. Null labels, ids and texts teach nothing. Without a toxic and a clean text there is no weight, and every text gets
     the share of toxic labels (0 without labels).
     """
     prepare(spark)
@@ -174,21 +176,25 @@ def fit(
     share = min(1.0, sample / max(n, 1))
     chosen = known.where(F.expr(f"pmod(xxhash64(doc_id), 1048576) < {math.ceil(share * 1048576)}"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col(text_col).isNotNull())
-    train = texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    train = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", F.xxhash64("text").alias("print"), "text", "toxic")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = Counter(), Counter()
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             found[toxic != 0].update(set(folded(text).split()))
         both = list(found[0].keys() | found[1].keys())
+        columns = [[f[w] for w in both] for f in found]
+        # The null word counts the rows.
         return pa.record_batch(
-            [pa.array(both, pa.binary()), *(pa.array([f[w] for w in both], pa.int64()) for f in found)],
+            [pa.array([*both, None], pa.binary()), pa.array([*columns[0], batch.num_rows], pa.int64()), pa.array([*columns[1], 0], pa.int64())],
             names=["word", "clean", "toxic"],
         )
 
-    counts = train.mapInArrow(in_batches(count), "word binary, clean long, toxic long")
+    counts = train.select("text", "toxic").mapInArrow(in_batches(count), "word binary, clean long, toxic long")
     counts = counts.groupBy("word").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
     counts = written(counts, "toxic-words")
+    n_rows = counts.where("word is null").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    counts = counts.where("word is not null")
     clean, toxic = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))).first()
     if not clean or not toxic:
         tox = known.agg(F.avg("toxic")).first()[0] or 0.0
@@ -201,41 +207,40 @@ def fit(
     deviation = F.sqrt(1 / (F.col("t") + prior) + 1 / (F.col("c") + prior))
     strong = counts.select("word", (F.col("c") + prior).alias("p"), (delta - deviation).alias("weight"), (delta / deviation).alias("z"))
     strong = strong.where((F.col("z") >= SIGNIFICANT) & (F.col("weight") > DRIFT))
-    rows = strong.orderBy(F.desc("z"), "word").limit(WORDS).collect()
+    rows = strong.orderBy("word").collect()
     weights = {bytes(r.word): r.weight for r in rows}
     listed = np.array([r.p for r in rows]) / (clean + total)
     lam = _lambda(np.array([-DRIFT, *[r.weight for r in rows]]), np.array([1 - listed.sum(), *listed]))
     draft = Model(weights, lam, 0.0, (0.0,) * 4)
-
-    def rate(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = folded(text).split()
-            out.append((*features(words, draft), float(max(len(words), 1)), toxic != 0))
-        kinds = [pa.float64()] * 4 + [pa.bool_()]
-        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["best", "total", "share", "n", "toxic"])
-
-    # Rows with K = 1, at most ``sample`` of them.
-    seen = train.mapInArrow(in_batches(rate), "best double, total double, share double, n double, toxic boolean").collect()
-    best, n_words, y = (np.array([r[k] for r in seen], dtype=float) for k in ("best", "n", "toxic"))
+    part = math.ceil(min(1.0, sample / max(n_rows, 1)) * 1048576)
+    judged = train.where(F.expr(f"pmod(xxhash64(doc_id, print), 1048576) < {part}"))
+
+    def rated(model: Model) -> list:
+        """best, total, share, n (words), toxic of the judged texts, about ``sample`` of them at most."""
+
+        def rate(batch: pa.RecordBatch) -> pa.RecordBatch:
+            out = []
+            for text in batch.column(2).to_pylist():
+                words = folded(text).split()
+                out.append((*features(words, model), float(max(len(words), 1))))
+            values = [pa.array(c, pa.float64()) for c in zip(*out)]
+            return pa.record_batch([batch.column(0), batch.column(1), *values, batch.column(3)], names=["doc_id", "print", "best", "total", "share", "n", "toxic"])
+
+        kinds = "doc_id long, print long, best double, total double, share double, n double, toxic int"
+        return judged.mapInArrow(in_batches(rate), kinds).distinct().orderBy("doc_id", "print").collect()
+
+    seen = rated(draft)  # with K = 1
+    best, n_words = (np.array([r[k] for r in seen], dtype=float) for k in ("best", "n"))
+    y = np.array([r.toxic != 0 for r in seen], dtype=float)
     # P(best >= x) = 1 - exp(-K exp(-x)), about K exp(-x): half of the clean texts with any hit reach their median.
     clean_best = best[(y == 0) & (best > -np.log(n_words))]
     share_hit = max(len(clean_best), 1) / max(1.0, float((y == 0).sum()))
     log_k = math.log(share_hit / 2) + (float(np.median(clean_best)) if len(clean_best) else 0.0)
     log_k = max(-10.0, min(10.0, log_k))
     model = draft._replace(log_k=log_k)
-
-    def rate_again(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [
-            (*features(folded(text).split(), model), toxic != 0)
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-        ]
-        kinds = [pa.float64()] * 3 + [pa.bool_()]
-        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["best", "total", "share", "toxic"])
-
-    seen = train.mapInArrow(in_batches(rate_again), "best double, total double, share double, toxic boolean").collect()
+    seen = rated(model)
     x = np.array([[r.best, r.total, r.share] for r in seen])
-    return model._replace(curve=_logistic(x, np.array([r.toxic for r in seen], dtype=float)))
+    return model._replace(curve=_logistic(x, np.array([r.toxic != 0 for r in seen], dtype=float)))
 
 
 def score_batch(texts: list[str | None], model: Model) -> list[float]:

@@ -205,6 +205,21 @@ def test_toxicity_edge_cases(spark):
         assert toxicity.score(spark, df.limit(0), model).count() == 0
 
 
+def test_an_id_that_many_rows_share_is_sampled_by_its_texts(spark, monkeypatch):
+    words = [f"w{i}" for i in range(50)]
+    clean = [(1, " ".join(words[i % 40 : i % 40 + 9]) + f" n{i}") for i in range(400)] + [(1, "the same text")] * 200
+    toxic = [(2, f"{words[i % 50]} vile scum n{i}") for i in range(60)]
+    df = spark.createDataFrame(clean + toxic, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int")
+    fitted = []
+    logistic = toxicity._logistic
+    monkeypatch.setattr(toxicity, "_logistic", lambda x, y: fitted.append(len(y)) or logistic(x, y))
+    whole, part = toxicity.fit(spark, df, labels), toxicity.fit(spark, df, labels, sample=100)
+    assert fitted[0] == 461 and 30 < fitted[1] < 170
+    assert whole.weights == part.weights and {b"vile", b"scum"} <= whole.weights.keys()  # all rows count as words
+    assert toxicity.fit(spark, df, labels, sample=100) == part
+
+
 # Language identification
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pickle
 import os
 import sys
 
@@ -51,6 +52,20 @@ def test_top_k_equals_brute_force(spark, shard, block):
     assert sorted(map(tuple, got)) == brute_top(rows, 5, 256.0, lambda i: i % 5 == 0)
 
 
+def test_rows_under_one_id_spread_over_shards(spark, monkeypatch):
+    grown = []
+    table = kdtree.written
+    monkeypatch.setattr(kdtree, "written", lambda df, label: grown.append((label, table(df, label))) or grown[-1][1])
+    rng = np.random.default_rng(8)
+    rows = [(7, [1.0, 2.0, 3.0, 4.0])] * 100 + [(7, [float(x) for x in rng.normal(0, 1, 4)]) for _ in range(100)]
+    rows += [(10 + i, [float(x) for x in rng.normal(0, 1, 4)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = kdtree.top_k(spark, df, 5, 256.0, F.col("vec_id") % 10 == 0, shard=40).collect()
+    assert sorted(map(tuple, got)) == brute_top(rows, 5, 256.0, lambda i: i % 10 == 0)
+    trees = [pickle.loads(r.tree) for r in dict(grown)["trees"].collect()]
+    assert len(trees) == 6 and max(len(t.ids) for t in trees) < 80
+
+
 def test_top_k_beyond_exact_doubles_and_empty(spark):
     rows = [(i, [float(1 << 30) + i, float(1 << 28) - i]) for i in range(40)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
