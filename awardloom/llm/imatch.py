@@ -102,23 +102,23 @@ def hashes(text: Column) -> Column:
 
 
 def successors(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, k, h, n_chars, next_k, next_h: the next document in descending id order (nulls last, ties by h), the first
-    after the last.
+    """doc_id, k, h, n_chars, next_k, next_h, next_t: the next document in descending id order (nulls last, ties by h), the
+    first after the last; t is the hash of its whole text.
 
     Ids alone are sorted, over range partitions; only one row a partition meets in one place.
     """
-    ids = docs.select("doc_id", "k", "h", F.length("text").alias("n_chars")).distinct()
+    ids = docs.select("doc_id", "k", "h", F.length("text").alias("n_chars"), _text_hash("text").alias("t")).distinct()
     down = [F.desc_nulls_last("doc_id"), F.asc("h")]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = written(ids.repartitionByRange(n, *down).withColumn("part", F.spark_partition_id()), "ordered-ids")
-    this = F.struct("k", "h")
+    this = F.struct("k", "h", "t")
     within = Window.partitionBy("part").orderBy(*down)
     linked = ranged.withColumn("next", F.lead(this).over(within))
     first = ranged.withColumn("r", F.row_number().over(within)).where("r = 1").select("part", this.alias("head"))
     parts = Window.orderBy("part")  # one row a range partition
     heads = first.select("part", F.coalesce(F.lead("head").over(parts), F.first("head").over(parts)).alias("after"))
     out = linked.join(F.broadcast(heads), "part").withColumn("next", F.coalesce("next", "after"))
-    return out.select("doc_id", "k", "h", "n_chars", F.col("next.k").alias("next_k"), F.col("next.h").alias("next_h"))
+    return out.select("doc_id", "k", "h", "n_chars", *[F.col(f"next.{c}").alias(f"next_{c}") for c in ("k", "h", "t")])
 
 
 def edited_texts(docs: DataFrame, order: DataFrame) -> DataFrame:
@@ -156,19 +156,20 @@ def compare_edits(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     table = keyed(docs, id_col, text_col)
     words = written(lexicon(table, low, high), "lexicon")
     order = written(successors(spark, table), "successors")
+    # The texts' own hashes come from the texts as they lie, so that only kept terms move, and meet both neighbours as written.
+    prints = written(kept_terms(table, words).select("k", "h", rendered(fingerprint(F.col("kept"))).alias("own")), "fingerprints")
+    other = prints.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), F.col("own").alias("other"))
+    nexts = order.select("doc_id", "k", "h", "next_k", "next_h", "next_t").join(other, ["next_k", "next_h"], "left")
+    nexts = nexts.select("doc_id", "k", "h", "next_t", "other")
     both = edited_texts(table, order)
     facts = both.select("k", "h", F.length("text").alias("n_chars"), _text_hash("text").alias("t"), _text_hash("edited").alias("e"), F.sha2("edited", 256).alias("edited_sha256"))
-    sides = lambda c, name: kept_terms(both.select("k", "h", F.col(c).alias("text")), words).select("k", "h", fingerprint(F.col("kept")).alias(name))
-    whole = facts.join(sides("text", "p"), ["k", "h"], "left").join(sides("edited", "q"), ["k", "h"], "left")
-    whole = whole.select("k", "h", "n_chars", "edited_sha256", or_whole(F.col("p"), F.col("t")).alias("p"), or_whole(F.col("q"), F.col("e")).alias("q"))
+    changed = kept_terms(both.select("k", "h", F.col("edited").alias("text")), words).select("k", "h", fingerprint(F.col("kept")).alias("q"))
+    whole = facts.join(prints, ["k", "h"], "left").join(changed, ["k", "h"], "left").join(nexts, ["k", "h"])
     whole = whole.select(
-        "k", "h", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", rendered(F.col("p")).alias("fingerprint"),
-        rendered(F.col("q")).alias("edited_fingerprint"), likeness(F.col("p"), F.col("q")).alias("near_edited"),
+        "doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", or_whole(hashes(F.col("own")), F.col("t")).alias("p"),
+        or_whole(F.col("q"), F.col("e")).alias("q"), or_whole(hashes(F.col("other")), F.col("next_t")).alias("o"),
     )
-    whole = written(whole, "fingerprints")
-    other = whole.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), F.col("fingerprint").alias("other")).dropDuplicates(["next_k", "next_h"])
-    nexts = order.select("doc_id", "k", "h", "next_k", "next_h").join(other, ["next_k", "next_h"]).select("doc_id", "k", "h", "other")
-    return whole.join(nexts, ["k", "h"]).select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
-        likeness(hashes(F.col("fingerprint")), hashes(F.col("other"))).alias("near_next"),
+    return whole.select(
+        "doc_id", "n_chars", "edited_sha256", rendered(F.col("p")).alias("fingerprint"), rendered(F.col("q")).alias("edited_fingerprint"),
+        likeness(F.col("p"), F.col("q")).alias("near_edited"), likeness(F.col("p"), F.col("o")).alias("near_next"),
     )
