@@ -125,7 +125,7 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str, id_col
         ids = codec(path, pattern).encode(batch.column(1).to_pylist())
         return pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
-    return ids_and_texts(docs, id_col, text_col).mapInArrow(in_batches(run), "doc_id long, ids binary")
+    return ids_and_texts(docs, id_col, text_col).mapInArrow(in_batches(run, keeps=True), "doc_id long, ids binary")
 
 
 def decode(spark: SparkSession, encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -137,7 +137,7 @@ def decode(spark: SparkSession, encoded: DataFrame, path: str, pattern: str) ->
         data = [None if ids is None else turn(ids) for ids in batch.column(1).to_pylist()]
         return pa.record_batch([batch.column(0), pa.array(data, pa.binary())], names=["doc_id", "data"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(in_batches(run), "doc_id long, data binary")
+    return encoded.select("doc_id", "ids").mapInArrow(in_batches(run, keeps=True), "doc_id long, data binary")
 
 
 def round_trip(spark: SparkSession, docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -158,4 +158,4 @@ def round_trip(spark: SparkSession, docs: DataFrame, path: str, pattern: str, id
         )
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return ids_and_texts(docs, id_col, text_col).mapInArrow(in_batches(run), schema)
+    return ids_and_texts(docs, id_col, text_col).mapInArrow(in_batches(run, keeps=True), schema)

@@ -55,11 +55,18 @@ _state: dict = {}
 def worker_state(key, build: Callable):
     """What a Python worker keeps from task to task, such as a tokenizer: of one owner, as a new owner drops the last one's."""
     if key not in _state:
-        _state.clear()
+        forget()
         _state[key] = build()
     return _state[key]
 
 
+def forget() -> None:
+    """Drop what earlier stages left in this worker; for tasks that keep nothing themselves."""
+    if _state:
+        _state.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors."""
     path = fresh_dir(df.sparkSession, label)
@@ -91,10 +98,12 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def in_batches(fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch]) -> Callable:
-    """Apply ``fn`` to each non-empty Arrow batch; it returns one batch or several."""
+def in_batches(fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch], keeps: bool = False) -> Callable:
+    """Apply ``fn`` to each non-empty Arrow batch; it returns one batch or several. ``keeps``: it uses ``worker_state``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            forget()
         for batch in batches:
             if batch.num_rows:
                 out = fn(batch)

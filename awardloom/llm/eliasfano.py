@@ -249,7 +249,7 @@ def write_token_files(
             )
 
     done = (
-        table.mapInArrow(in_batches(encode), "shard int, doc_id long, ids binary")
+        table.mapInArrow(in_batches(encode, keeps=True), "shard int, doc_id long, ids binary")
         .repartitionById(shards, "shard")
         .sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "ids")
         .mapInArrow(write, "shard int, file string, documents long, tokens long")

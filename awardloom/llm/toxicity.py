@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_batches, prepare, written
+from .common import forget, in_batches, prepare, written
 
 #: Labelled documents to learn from, at most (about; chosen by a hash of their ids).
 SAMPLE = 60_000
@@ -276,6 +276,7 @@ def keep_clean(spark: SparkSession, docs: DataFrame, model: Model, text_col: str
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             scores = score_batch(batch.column(at).to_pylist(), model)
             yield batch.filter(pa.array([s < THRESHOLD for s in scores], pa.bool_()))
