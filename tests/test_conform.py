@@ -2,8 +2,9 @@ import datetime as dt
 from decimal import Decimal
 
 from awardloom.config import EngineConfig
-from awardloom.operators import conform, filters, validate
+from awardloom.operators import conform, dedup, filters, validate
 from awardloom.schema import AWARD_COLUMNS, AWARD_SCHEMA, COLUMN_MAPPING, q
+from awardloom.session import stored
 
 CFG = EngineConfig()
 
@@ -200,3 +201,17 @@ def test_config_survives_null_sections():
 
 def test_quoting():
     assert "a.b" in str(q("a.b"))
+
+
+def test_first_rows_of_a_stored_table_stay_where_they_lie(spark, plan_of):
+    keys, order = ["k", "m"], ["o"]
+    rows = spark.range(200_000).selectExpr(
+        "nullif(id % 30000, 7) AS k", "cast(id % 2 AS string) AS m", "pmod(hash(id), 50) AS o", "id", "repeat('x', 50) AS wide"
+    )
+    table = stored(rows.repartition(5), "placed")
+    got = dedup.keep_first_placed(dedup.placed(table), keys, order)
+    assert plan_of(got).count("Exchange") == plan_of(got).count("BroadcastExchange")  # no row moves
+    seen = [tuple(r) for r in got.select("k", "m", "o").collect()]
+    assert sorted(seen, key=str) == sorted((tuple(r) for r in dedup.keep_first(rows, keys, order).select("k", "m", "o").collect()), key=str)
+    assert got.columns == table.columns
+    assert dedup.keep_first_placed(dedup.placed(table), ["absent"], order).count() == 200_000
