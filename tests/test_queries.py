@@ -105,3 +105,12 @@ def test_staged_tables_are_written_once(spark):
     before = dict(S._staged)
     S.awards(spark, SF_DIR)
     assert S._staged == before
+
+
+def test_landed_json_is_packed_and_streams_alike(spark):
+    """Text of landed JSON repeats itself; packed in files of bounded size it takes a small part of the space."""
+    for name, build in (("run_ledger", S.run_ledger), ("quality_reports", S.quality_reports), ("search_pages", S.search_pages)):
+        path = S.staged_path(spark, SF_DIR, name, build)
+        assert {f.rsplit(".json", 1)[1] for f in os.listdir(path) if f.startswith("part-")} == {".gz"}
+    pages, streamed = (entry.queries()[n](spark, SF_DIR) for n in ("search_pages_explode", "search_pages_stream"))
+    assert pages.count() == streamed.count() and pages.exceptAll(streamed).isEmpty()
