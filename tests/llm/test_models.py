@@ -298,3 +298,22 @@ def test_foreign_text_is_rejected(spark):
     model = langid.fit(spark, docs)
     odd = spark.createDataFrame([(1, "Ελληνικά κείμενα που κανένα μοντέλο δεν έχει δει " * 20), (2, "日本語の文章です " * 50)], "doc_id long, text string")
     assert not any(r.accepted for r in langid.predict(spark, odd, model).collect())
+
+
+def test_rejection_limits_come_from_all_training_texts(spark):
+    rng = np.random.default_rng(3)
+    words = np.array(["der", "und", "haus", "maus", "baum", "stadt", "fluss", "berg"])
+    texts = [" ".join(rng.choice(words, rng.integers(1, 30))) for _ in range(45_000)]
+    docs = spark.createDataFrame([(i, "de" if i % 3 else "xx", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string").repartition(4)
+    model = langid.fit(spark, docs)
+    sums, size = langid.Scorer(model)(texts)
+    for j, mine in ((0, [i for i in range(45_000) if i % 3]), (1, range(0, 45_000, 3))):
+        e, s = (-sums[mine, j] / size[mine]), size[mine]
+        centre = np.average(e, weights=s)
+        a, b = np.linalg.lstsq(np.column_stack([np.ones(len(e)), 1 / s]), (e - centre) ** 2, rcond=None)[0]
+        a, b = max(a, 1e-4), max(b, 1e-4)
+        limit = max(0.0, np.quantile((e - centre) / np.sqrt(a + b / s), 0.9999)) + langid.MARGIN
+        assert np.allclose([model.centre[j], *model.spread[j], model.limit[j]], [centre, a, b, limit], rtol=1e-6, atol=1e-9)
+    want = sorted(map(tuple, langid.predict(spark, docs, langid.fit(spark, docs, F.col("doc_id") % 7 != 1)).collect()))
+    got = sorted(map(tuple, langid.fit_predict(spark, docs, F.col("doc_id") % 7 != 1).collect()))
+    assert [r[:2] + r[3:] for r in got] == [r[:2] + r[3:] for r in want] and np.allclose([r[2] for r in got], [r[2] for r in want])
