@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedup import keep_first
+from ..operators.dedup import PLACE, keep_first, keep_first_placed
 from ..schema import q
 
 KEY = "award_key"
@@ -29,16 +29,20 @@ def award_key(keys: Sequence[str]) -> Column:
 
 
 def _latest(pulls: Sequence[DataFrame], keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row a key: of the last pull that has it the first in ``order``, with the key's text."""
-    numbered = [p.withColumn(PULL, F.lit(-i)) for i, p in enumerate(pulls)]
+    """One row a key: of the last pull that has it the first in ``order``, with the key's text. Pulls of stored tables that all
+    come with the places of their rows stay where they lie."""
+    numbered, keep = [p.withColumn(PULL, F.lit(-i)) for i, p in enumerate(pulls)], keep_first
+    if all(set(PLACE) <= set(p.columns) for p in pulls):  # a row may be in several pulls
+        numbered = [p.withColumn(PLACE[0], F.concat_ws(":", F.lit(str(i)), PLACE[0])) for i, p in enumerate(numbered)]
+        keep = keep_first_placed
     rows = reduce(lambda a, b: a.unionByName(b), numbered)
-    return keep_first(rows, keys, [PULL, *order]).drop(PULL).withColumn(KEY, award_key(keys))
+    return keep(rows, keys, [PULL, *order]).drop(PULL).withColumn(KEY, award_key(keys))
 
 
 def _write(rows: DataFrame, path: str, buckets: int) -> None:
     """Rows that lie in their buckets already, as bucketed and sorted files below ``path``."""
     spark, name = rows.sparkSession, f"history_{uuid.uuid4().hex}"
-    rows.write.bucketBy(buckets, KEY).sortBy(KEY).option("path", path).saveAsTable(name)
+    rows.write.option("compression", "zstd").bucketBy(buckets, KEY).sortBy(KEY).option("path", path).saveAsTable(name)
     spark.sql(f"DROP TABLE {name}")  # the name only: the files are not the catalog's
 
 

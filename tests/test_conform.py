@@ -5,6 +5,7 @@ from awardloom.config import EngineConfig
 from awardloom.operators import conform, dedup, filters, validate
 from awardloom.schema import AWARD_COLUMNS, AWARD_SCHEMA, COLUMN_MAPPING, q
 from awardloom.session import stored
+from awardloom.sources import history
 
 CFG = EngineConfig()
 
@@ -215,3 +216,12 @@ def test_first_rows_of_a_stored_table_stay_where_they_lie(spark, plan_of):
     assert sorted(seen, key=str) == sorted((tuple(r) for r in dedup.keep_first(rows, keys, order).select("k", "m", "o").collect()), key=str)
     assert got.columns == table.columns
     assert dedup.keep_first_placed(dedup.placed(table), ["absent"], order).count() == 200_000
+
+
+def test_placed_pulls_of_a_history_stay_where_they_lie(spark, plan_of):
+    table = stored(spark.range(9_000).selectExpr("id % 5000 AS k", "id AS o", "id % 7 AS v"), "pulls")
+    pulls = lambda t: [t.filter("v < 5"), t.filter("v > 2").withColumn("v", q("v") + 100)]
+    got = history._latest(pulls(dedup.placed(table)), ["k"], ["o"])
+    assert plan_of(got).count("Exchange") == plan_of(got).count("BroadcastExchange")
+    want = history._latest(pulls(table), ["k"], ["o"])
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
