@@ -174,3 +174,15 @@ def test_marks_count_what_the_rules_count(spark, tmp_path):
     assert not [k for k in got if k[0] == "head.csv"]
     ords = [r.ord for r in spark.read.json(f"{done.report_path}/issues").where("source_file like '%a.csv'").orderBy("ord").collect()]
     assert ords == sorted(set(ords))
+
+
+def test_wide_rows_run_compiled(spark, tmp_path):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(key)
+    put(tmp_path / "a.csv", HEAD + "\n" + "\n".join(LINES) + "\n")
+    rows, _ = scan(spark, tmp_path)
+    assert spark.conf.get(key) == "8000" and rows.count() == len(LINES)
+    spark.conf.set(key, "9000")
+    scan(spark, tmp_path)
+    assert spark.conf.get(key) == "9000"
+    spark.conf.unset(key)
