@@ -276,3 +276,19 @@ def test_line_breaks_survive_the_whole_transform(spark, tmp_path, fmt):
         assert all(r["Description of Requirement"].endswith("\nsecond") for r in df.collect())
     profiles = {r.column_name: r for r in spark.read.json(f"{done.report_path}/profiles").collect()}
     assert profiles["PIID"].null_count == 0
+
+
+def test_paths_take_one_form_and_separators_are_counted(spark):
+    paths = {"file:///a/b+c.csv": "file:/a/b+c.csv", "file:/a/50%2525%20off%5B1%5D+.csv": "file:/a/50%25 off[1]+.csv", "s3a://b//c%20d": "s3a://b//c d", "/a/b": "/a/b"}
+    df = spark.createDataFrame(list(paths), "string")
+    assert [r[0] for r in df.select(landing.one_form(df.value)).collect()] == list(paths.values())
+    texts = spark.createDataFrame([("a,b,é",), ("",), (',"x,y",',)], "value string")
+    assert [r[0] for r in texts.select(landing._separators(texts.value, ",")).collect()] == [2, 0, 3]
+
+
+def test_ragged_rows_beside_line_breaks(spark, tmp_path):
+    put(tmp_path / "a.csv", 'i,x\n1,"one, two\nthree, four"\n2,b\n')
+    put(tmp_path / "b.csv", 'i,x\n3,"one\ntwo"\n4,b,c\n')
+    rows, found = scan(spark, tmp_path)
+    assert sorted((r.i, r.x) for r in rows.collect()) == [("1", "one, two\nthree, four"), ("2", "b")]
+    assert [r.message for r in found.issues.collect()] == ["Failed to load file b.csv: expected 2 fields, saw 3"]
