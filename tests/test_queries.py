@@ -114,3 +114,50 @@ def test_landed_json_is_packed_and_streams_alike(spark):
         assert {f.rsplit(".json", 1)[1] for f in os.listdir(path) if f.startswith("part-")} == {".gz"}
     pages, streamed = (entry.queries()[n](spark, SF_DIR) for n in ("search_pages_explode", "search_pages_stream"))
     assert pages.count() == streamed.count() and pages.exceptAll(streamed).isEmpty()
+
+
+ONE_PASS = [
+    "conform_missing_columns", "missing_column_issues", "clean_dates", "clean_numerics", "clean_booleans", "clean_text", "safe_slug",
+    "filter_fiscal_year", "filter_min_dollars", "filter_instrument_type", "filter_agency", "filter_combined", "filter_accounting",
+    "validate_required", "validate_fiscal_year", "validate_min_dollars", "validate_max_dollars", "coercion_loss_dates", "coercion_loss_numeric",
+]
+
+
+@pytest.mark.parametrize("name", ONE_PASS)
+def test_one_pass_stores_no_raw_rows(spark, con, name, monkeypatch):
+    """Alone, such a query takes its few columns from the tables, and does not write all columns of all rows before."""
+    monkeypatch.setattr(S, "_staged", {})
+    ok, note, _ = compare(spark, con, name, SF_DIR)
+    assert ok and not S._staged, note
+
+
+def test_one_pass_reads_raw_rows_that_are_stored(spark, plan_of):
+    S.awards_raw(spark, SF_DIR)
+    plan = plan_of(registry.QUERIES["filter_agency"](spark, SF_DIR))
+    assert plan.count("FileScan") == 1 and "awards_raw-" in plan
+
+
+def _below(plan: str, node: str) -> str:
+    """The part of a plan below its first line with such a node."""
+    lines = plan.splitlines()
+    depths = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    at = next(i for i, line in enumerate(lines) if node in line)
+    end = next((i for i in range(at + 1, len(lines)) if depths[i] <= depths[at]), len(lines))
+    return "\n".join(lines[at + 1:end])
+
+
+def test_line_items_are_not_exchanged_for_what_orders_name(spark, plan_of, monkeypatch):
+    """At a size where nothing is broadcast: customers and nations meet the orders, and listed agencies are looked at there."""
+    monkeypatch.setattr(S, "_staged", {})
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        asked = plan_of(registry.QUERIES["filter_agency"](spark, SF_DIR))
+        stored = plan_of(S.view(spark, SF_DIR, S.bindings.AWARDS_RAW_BY_ORDER))
+        for plan in (asked, stored):
+            for key in ("o_custkey", "c_nationkey"):
+                below = _below(plan, f"Exchange hashpartitioning({key}")
+                assert "FileScan" in below and "l_orderkey" not in below
+        assert "NATION_3" in _below(asked, "Exchange hashpartitioning(o_orderkey")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
