@@ -1,8 +1,12 @@
+import bz2
+import gzip
 import json
 import os
+import time
 
 import pytest
 
+from awardloom import session
 from awardloom.config import EngineConfig
 from awardloom.operators import dedup
 from awardloom.plans import transform
@@ -292,3 +296,37 @@ def test_ragged_rows_beside_line_breaks(spark, tmp_path):
     rows, found = scan(spark, tmp_path)
     assert sorted((r.i, r.x) for r in rows.collect()) == [("1", "one, two\nthree, four"), ("2", "b")]
     assert [r.message for r in found.issues.collect()] == ["Failed to load file b.csv: expected 2 fields, saw 3"]
+
+
+def put_packed(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes((bz2 if path.suffix == ".bz2" else gzip).compress(text.encode()))
+
+
+def test_packed_text_is_read_as_plain_text_is(spark, tmp_path):
+    texts = {"plain.csv": 'i,x\n1,"a,b"\n2,\n', "other order.csv": "x,i\nc,3\n", "broken.csv": 'i,x\n4,"one\ntwo"\n5,d\n', "long.csv": "i,x\n6,7,8\n", "empty.csv": ""}
+    for name, text in texts.items():
+        put(tmp_path / "plain" / name, text)
+        put_packed(tmp_path / "packed" / f"{name}.{'bz2' if 'order' in name else 'gz'}", text)
+    put_packed(tmp_path / "packed" / "no text.gz", "i,x\n9,9\n")
+    (plain, was), (packed, now) = scan(spark, tmp_path / "plain"), scan(spark, tmp_path / "packed")
+    rows = lambda df: sorted((r.i, r.x) for r in df.collect())
+    assert rows(packed) == rows(plain) == [("1", "a,b"), ("2", None), ("3", "c"), ("4", "one\ntwo"), ("5", "d")]
+    files = lambda found: {os.path.basename(r.path).split(".")[0]: (r.format, r.readable, r.column_count, r.row_count) for r in landing.inventory(found).collect()}
+    assert files(now) == files(was) and len(files(now)) == 5
+
+
+def test_shuffle_files_go_with_the_step_that_wrote_them(spark):
+    def shuffles():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {n.split("_")[1] for n in names if n.startswith("shuffle_")}
+
+    session.free_shuffles(spark)
+    before = shuffles()
+    session.stored(spark.range(100_000).repartition(7, "id"), "dealt")
+    for _ in range(100):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before

@@ -161,3 +161,15 @@ def test_line_items_are_not_exchanged_for_what_orders_name(spark, plan_of, monke
         assert "NATION_3" in _below(asked, "Exchange hashpartitioning(o_orderkey")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_landing_is_packed_and_keeps_no_raw_rows(spark, monkeypatch):
+    """Raw rows that only a landing was built of are gone once it is; those that were there before stay."""
+    monkeypatch.setattr(S, "_staged", {})
+    at = registry.hostile_landing(spark, SF_DIR)
+    assert [k[-1] for k in S._staged] == ["landed_hostile"]
+    ends = {f.split(".", 1)[1] for d, _, fs in os.walk(at) for f in fs if f.startswith("part-") and "typed" not in d}
+    assert ends == {"csv.gz"}
+    S.awards_raw(spark, SF_DIR)
+    registry.landed(spark, SF_DIR, "tsv")
+    assert S.is_staged(spark, SF_DIR, "awards_raw")
