@@ -33,7 +33,7 @@ def _latest(pulls: Sequence[DataFrame], keys: Sequence[str], order: Sequence[str
     come with the places of their rows stay where they lie."""
     numbered, keep = [p.withColumn(PULL, F.lit(-i)) for i, p in enumerate(pulls)], keep_first
     if all(set(PLACE) <= set(p.columns) for p in pulls):  # a row may be in several pulls
-        numbered = [p.withColumn(PLACE[0], F.concat_ws(":", F.lit(str(i)), PLACE[0])) for i, p in enumerate(numbered)]
+        numbered = [p.withColumn(PLACE[0], F.col(PLACE[0]) * len(pulls) + i) for i, p in enumerate(numbered)]
         keep = keep_first_placed
     rows = reduce(lambda a, b: a.unionByName(b), numbered)
     return keep(rows, keys, [PULL, *order]).drop(PULL).withColumn(KEY, award_key(keys))

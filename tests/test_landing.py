@@ -316,6 +316,19 @@ def test_packed_text_is_read_as_plain_text_is(spark, tmp_path):
     assert files(now) == files(was) and len(files(now)) == 5
 
 
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_a_run_leaves_no_tables_between_its_steps(spark, tmp_path, fmt):
+    put(tmp_path / "in" / "a.csv", HEAD + "\n" + "\n".join(LINES) + "\n")
+    put(tmp_path / "in" / "b.csv", 'recipient_name,award_id_piid\n"line\nbreak",p9\n')
+    before = set(os.listdir(session.shared_dir(spark)))
+    done = transform.process_landing(spark, str(tmp_path / "in"), str(tmp_path / "out"), "r", EngineConfig(output_format=fmt))
+    sinks.landing_to_parquet(spark, str(tmp_path / "in"), str(tmp_path / "converted"))
+    pages.ingest_awards(spark, str(tmp_path / "in"), str(tmp_path / "stream"), str(tmp_path / "progress"))
+    assert set(os.listdir(session.shared_dir(spark))) == before
+    assert landing.read_processed(spark, done.awards_path).count() == 3
+    assert spark.read.parquet(str(tmp_path / "converted")).count() == 4
+
+
 def test_shuffle_files_go_with_the_step_that_wrote_them(spark):
     def shuffles():
         files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
