@@ -316,6 +316,15 @@ def test_packed_text_is_read_as_plain_text_is(spark, tmp_path):
     assert files(now) == files(was) and len(files(now)) == 5
 
 
+@pytest.mark.parametrize("pack", [True, False])
+def test_a_csv_result_is_packed_unless_told_otherwise(spark, tmp_path, pack):
+    put(tmp_path / "in" / "a.csv", HEAD + "\n" + "\n".join(LINES) + "\n")
+    cfg = EngineConfig.from_dict({"output": {"format": "csv", "pack_text": pack}})
+    done = transform.process_landing(spark, str(tmp_path / "in"), str(tmp_path / "out"), "r", cfg)
+    assert {f.partition(".")[2] for f in os.listdir(done.awards_path) if f.startswith("part-")} == {"csv.gz" if pack else "csv"}
+    assert sorted(r["Legal Business Name"] for r in landing.read_processed(spark, done.awards_path).collect()) == ["Acme", "Beta"]
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_a_run_leaves_no_tables_between_its_steps(spark, tmp_path, fmt):
     put(tmp_path / "in" / "a.csv", HEAD + "\n" + "\n".join(LINES) + "\n")
