@@ -9,17 +9,20 @@ history is rewritten as seldom as wanted.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import PLACE, keep_first, keep_first_placed
-from ..schema import q
+from ..schema import q, quoted
+from ..session import free_shuffles
 
 KEY = "award_key"
 PULL = "_pull"
+#: Buckets that are written at once, and stored bytes of pulls that suit one: a task sorts a bucket whole.
+AT_ONCE, BUCKET_BYTES = 64, 32 << 20
 
 
 def award_key(keys: Sequence[str]) -> Column:
@@ -39,16 +42,31 @@ def _latest(pulls: Sequence[DataFrame], keys: Sequence[str], order: Sequence[str
     return keep(rows, keys, [PULL, *order]).drop(PULL).withColumn(KEY, award_key(keys))
 
 
-def _write(rows: DataFrame, path: str, buckets: int) -> None:
-    """Rows that lie in their buckets already, as bucketed and sorted files below ``path``."""
-    spark, name = rows.sparkSession, f"history_{uuid.uuid4().hex}"
-    rows.write.option("compression", "zstd").bucketBy(buckets, KEY).sortBy(KEY).option("path", path).saveAsTable(name)
+def _write(rows: Callable[[range], DataFrame], spark: SparkSession, path: str, buckets: int) -> None:
+    """Rows of a range of buckets, that lie in their buckets already, as bucketed and sorted files below ``path``, a range after the
+    other: the pulls' rows of one range at a time are on disk for their exchange."""
+    name = f"history_{uuid.uuid4().hex}"
+    for start in range(0, buckets, AT_ONCE):
+        writer = rows(range(start, min(buckets, start + AT_ONCE))).write.mode("append").option("compression", "zstd")
+        writer.bucketBy(buckets, KEY).sortBy(KEY).option("path", path).saveAsTable(name)
+        free_shuffles(spark)
     spark.sql(f"DROP TABLE {name}")  # the name only: the files are not the catalog's
 
 
+def _within(rows: DataFrame, some: range, buckets: int) -> DataFrame:
+    """The rows of a range of buckets."""
+    return rows if len(some) == buckets else rows.filter(F.pmod(F.hash(KEY), F.lit(buckets)).between(some[0], some[-1]))
+
+
+def buckets_for(size: int, least: int = 1) -> int:
+    """How many buckets suit a history of pulls of so many stored bytes."""
+    return max(least, -(-size // BUCKET_BYTES))
+
+
 def create(pulls: Sequence[DataFrame], path: str, keys: Sequence[str], order: Sequence[str], buckets: int) -> str:
     """The first version of a history, from one or more pulls, the latest last."""
-    _write(_latest(pulls, keys, order).repartition(buckets, KEY), path, buckets)
+    news = _latest(pulls, keys, order)
+    _write(lambda some: _within(news, some, buckets).repartition(buckets, KEY), news.sparkSession, path, buckets)
     return path
 
 
@@ -60,14 +78,19 @@ def opened(spark: SparkSession, path: str, schema: str, buckets: int) -> DataFra
 
 
 def merged(history: DataFrame, pulls: Sequence[DataFrame], keys: Sequence[str], order: Sequence[str], buckets: int) -> DataFrame:
-    """History and pulls with one row a key, that of the latest pull that has it. Only the pulls are dealt anew."""
-    news = _latest(pulls, keys, order).repartition(buckets, KEY)
+    """History and pulls with one row a key, that of the latest pull that has it. Only the pulls are dealt anew, once."""
+    return _met(history, _latest(pulls, keys, order).repartition(buckets, KEY))
+
+
+def _met(history: DataFrame, news: DataFrame) -> DataFrame:
+    old, new = history.alias("old"), news.withColumn(PULL, F.lit(True)).hint("merge").alias("new")
     # By sorted buckets on both sides, whatever the pull's size, so that the result lies in buckets too.
-    old = history.join(news.select(KEY).hint("merge"), KEY, "left_anti")
-    return old.unionByName(news.select(*[q(c) for c in history.columns]))
+    met = old.join(new, F.col(f"old.{KEY}") == F.col(f"new.{KEY}"), "full_outer")
+    return met.select(*[F.when(F.col(f"new.{PULL}"), F.col(f"new.{quoted(c)}")).otherwise(F.col(f"old.{quoted(c)}")).alias(c) for c in history.columns])
 
 
 def merge(spark: SparkSession, path: str, schema: str, pulls: Sequence[DataFrame], out: str, keys: Sequence[str], order: Sequence[str], buckets: int) -> str:
     """Write the next version of the history at ``path`` to ``out``."""
-    _write(merged(opened(spark, path, schema, buckets), pulls, keys, order, buckets), out, buckets)
+    history, news = opened(spark, path, schema, buckets), _latest(pulls, keys, order)
+    _write(lambda some: _met(_within(history, some, buckets), _within(news, some, buckets).repartition(buckets, KEY)), spark, out, buckets)
     return out

@@ -1,6 +1,7 @@
 """Shard table with a commit log, merged history, coverage, running totals, page index, sketches."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -118,6 +119,28 @@ def test_a_merge_leaves_the_history_where_it_is(spark, tmp_path):
     assert again.groupBy(history.KEY).count().filter("count > 1").count() == 0
 
 
+def test_a_history_is_written_range_after_range_of_buckets(spark, tmp_path, monkeypatch):
+    kinds, keys, order = "k string, n long", ["k"], ["n"]
+    old = spark.createDataFrame([(f"k{i % 90}" if i % 7 else None, i) for i in range(300)], kinds)
+    new = spark.createDataFrame([(f"k{i}" if i % 9 else None, -i) for i in range(60, 120)], kinds)
+    assert (history.buckets_for(5, 8), history.buckets_for(history.BUCKET_BYTES * 20 + 1, 8)) == (8, 21)
+
+    def versions(name):
+        first = history.create([old], str(tmp_path / f"{name}1"), keys, order, 8)
+        schema = spark.read.parquet(first).schema.toDDL()
+        out = history.merge(spark, first, schema, [new], str(tmp_path / f"{name}2"), keys, order, 8)
+        files = [f for f in os.listdir(out) if f.startswith("part-")]
+        assert len(files) == len({f.split("_")[1][:5] for f in files})  # one a bucket, as a join without a sort needs
+        return [sorted(map(str, spark.read.parquet(p).collect())) for p in (first, out)]
+
+    want = versions("whole")
+    writes, real = [], history.free_shuffles
+    monkeypatch.setattr(history, "free_shuffles", lambda s: writes.append(1) or real(s))
+    monkeypatch.setattr(history, "AT_ONCE", 3)
+    assert versions("ranges") == want and len(writes) == 6
+
+
+
 # Coverage and running totals
 
 
