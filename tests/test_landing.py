@@ -316,6 +316,12 @@ def test_packed_text_is_read_as_plain_text_is(spark, tmp_path):
     assert files(now) == files(was) and len(files(now)) == 5
 
 
+def test_stream_takes_packed_award_files(spark, tmp_path):
+    put_packed(tmp_path / "in" / "a.csv.gz", HEAD + "\n" + "\n".join(LINES) + "\n")
+    got = pages.ingest_awards(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "progress"))
+    assert sorted(r["Legal Business Name"] for r in got.collect()) == ["Acme", "Beta", "Later copy"]
+
+
 @pytest.mark.parametrize("pack", [True, False])
 def test_a_csv_result_is_packed_unless_told_otherwise(spark, tmp_path, pack):
     put(tmp_path / "in" / "a.csv", HEAD + "\n" + "\n".join(LINES) + "\n")
