@@ -21,8 +21,9 @@ from ..session import free_shuffles
 
 KEY = "award_key"
 PULL = "_pull"
-#: Buckets that are written at once, and stored bytes of pulls that suit one: a task sorts a bucket whole.
-AT_ONCE, BUCKET_BYTES = 64, 32 << 20
+#: Stored bytes of pulls that suit a bucket, which a task sorts whole. Buckets are written in so many ranges at most, each a scan of
+#: the pulls, and at least so many at once.
+BUCKET_BYTES, RANGES, LEAST_AT_ONCE = 16 << 20, 4, 12
 
 
 def award_key(keys: Sequence[str]) -> Column:
@@ -46,8 +47,9 @@ def _write(rows: Callable[[range], DataFrame], spark: SparkSession, path: str, b
     """Rows of a range of buckets, that lie in their buckets already, as bucketed and sorted files below ``path``, a range after the
     other: the pulls' rows of one range at a time are on disk for their exchange."""
     name = f"history_{uuid.uuid4().hex}"
-    for start in range(0, buckets, AT_ONCE):
-        writer = rows(range(start, min(buckets, start + AT_ONCE))).write.mode("append").option("compression", "zstd")
+    step = max(LEAST_AT_ONCE, -(-buckets // RANGES))
+    for start in range(0, buckets, step):
+        writer = rows(range(start, min(buckets, start + step))).write.mode("append").option("compression", "zstd")
         writer.bucketBy(buckets, KEY).sortBy(KEY).option("path", path).saveAsTable(name)
         free_shuffles(spark)
     spark.sql(f"DROP TABLE {name}")  # the name only: the files are not the catalog's

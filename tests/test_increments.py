@@ -136,7 +136,7 @@ def test_a_history_is_written_range_after_range_of_buckets(spark, tmp_path, monk
     want = versions("whole")
     writes, real = [], history.free_shuffles
     monkeypatch.setattr(history, "free_shuffles", lambda s: writes.append(1) or real(s))
-    monkeypatch.setattr(history, "AT_ONCE", 3)
+    monkeypatch.setattr(history, "LEAST_AT_ONCE", 3)
     assert versions("ranges") == want and len(writes) == 6
 
 
